@@ -1,0 +1 @@
+"""No streaming operators: every job of this library is one batch recompute over landed layers."""
