@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Executors get the code inside the UDF, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -85,7 +86,7 @@ def _jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(jaro_winkler_batch(a, b))
 
 
-_udf = F.pandas_udf(_jaro_winkler, "double")
+_udf = F.pandas_udf(_jaro_winkler, DoubleType())
 
 
 def jaro_winkler(left: Column, right: Column) -> Column:

@@ -162,50 +162,45 @@ def funnel_audit(
     Counts come from the written tables; a dozen rows are all that is put together here.
     """
     spark = roster.sparkSession
-    counts = None
-    previous = roster
-    for (name, _), table in zip(RESOLVE_STEPS, resolved):
-        before = previous.agg(F.count(F.lit(1)).alias("a"))
-        after = table.agg(F.count(F.lit(1)).alias("b"))
-        removed = before.join(after).select(
-            F.lit(name).alias("step_name"), (F.col("a") - F.col("b")).alias("removed")
-        )
-        counts = removed if counts is None else counts.unionByName(removed)
-        previous = table
-    counts = counts.unionByName(
+    steps = [(i, n, r, None) for i, (n, r) in enumerate(RESOLVE_STEPS + FILTER_STEPS)]
+    steps += [(len(steps) + i, n, None, by) for i, (n, by) in enumerate(FILL_STEPS)]
+    table = spark.createDataFrame(steps, "pos int, step_name string, reason string, filled_by string")
+    sizes = None
+    for pos, stage in enumerate([roster, *resolved], start=-1):
+        size = stage.agg(F.count(F.lit(1)).alias("n")).select(F.lit(pos).alias("pos"), "n")
+        sizes = size if sizes is None else sizes.unionByName(size)
+    in_order = W.orderBy("pos")
+    # The first size counts as rows gained, so that what is left is the negative running sum.
+    gone = F.coalesce(F.lag("n").over(in_order), F.lit(0)) - F.col("n")
+    position = F.create_map(*[F.lit(x) for pos, name, *_ in steps for x in (name, pos)])
+    dropped = (
         tagged.filter("drop_step IS NOT NULL")
-        .groupBy(F.col("drop_step").alias("step_name"))
+        .groupBy("drop_step")
         .agg(F.count(F.lit(1)).alias("removed"))
+        .select(F.try_element_at(position, F.col("drop_step")).alias("pos"), "removed")
     )
+    removed = sizes.select("pos", gone.alias("removed")).unionByName(dropped)
     filled = final.groupBy(F.col("_year_source").alias("filled_by")).agg(
         F.count(F.lit(1)).alias("filled")
     )
-    steps = [(i, n, r, None) for i, (n, r) in enumerate(RESOLVE_STEPS + FILTER_STEPS)]
-    steps += [(len(steps) + i, n, None, by) for i, (n, by) in enumerate(FILL_STEPS)]
-    table = spark.createDataFrame(steps, "pos int, step_name string, reason string, filled_by string")
-    total = roster.agg(F.count(F.lit(1)).alias("total"))
-    running = F.sum("removed").over(W.orderBy("pos"))
     zero = F.lit(0).cast("bigint")
+    cells = F.concat(
+        F.lit("filled +"), F.coalesce("filled", zero).cast("string"), F.lit(" founded_year cells")
+    )
     return (
-        table.join(counts, "step_name", "left")
+        removed.join(table, "pos", "full_outer")
         .join(filled, "filled_by", "left")
-        .join(total)
-        .withColumn("removed", F.coalesce("removed", zero))
-        .withColumn("rows_out", F.col("total") - running)
+        .withColumn("rows_removed", F.coalesce("removed", zero))
+        .withColumn("rows_out", -F.sum("rows_removed").over(in_order))
+        .filter("pos >= 0")
+        .orderBy("pos")
         .select(
-            "pos",
             "step_name",
-            (F.col("rows_out") + F.col("removed")).alias("rows_in"),
+            (F.col("rows_out") + F.col("rows_removed")).alias("rows_in"),
             "rows_out",
-            F.col("removed").alias("rows_removed"),
-            F.coalesce(
-                "reason",
-                F.concat(F.lit("filled +"), F.coalesce("filled", zero).cast("string"),
-                         F.lit(" founded_year cells")),
-            ).alias("reason"),
+            "rows_removed",
+            F.coalesce("reason", cells).alias("reason"),
         )
-        .orderBy("pos")
-        .drop("pos")
     )
 
 
