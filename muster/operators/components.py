@@ -22,10 +22,6 @@ def _canonical(edges: DataFrame) -> DataFrame:
     )
 
 
-def _distinct(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a", "b").agg(F.bool_or("moved").alias("moved"))
-
-
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every node's greater neighbours to the least node it knows."""
     ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
@@ -33,10 +29,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     )
     least = ends.groupBy("u").agg(F.min("v").alias("m"))
     m = F.least("u", "m")
-    return _distinct(
-        edges.join(least, edges["b"] == least["u"]).select(
-            "a", m.alias("b"), (m != F.col("b")).alias("moved")
-        )
+    return edges.join(least, edges["b"] == least["u"]).select(
+        "a", m.alias("b"), (m != F.col("b")).alias("moved")
     )
 
 
@@ -44,12 +38,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Link every node, and its lesser neighbours, to the least of these."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     other = F.col("b") != F.col("m")
-    return _distinct(
-        edges.join(least, "a").select(
+    return (
+        edges.join(least, "a")
+        .select(
             F.when(other, F.col("b")).otherwise(F.col("a")).alias("a"),
             F.col("m").alias("b"),
             (F.col("moved") | other).alias("moved"),
         )
+        .groupBy("a", "b")
+        .agg(F.bool_or("moved").alias("moved"))
     )
 
 

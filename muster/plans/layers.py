@@ -55,6 +55,8 @@ def read_filings(spark: SparkSession, root: str) -> DataFrame:
         read_table_files(spark, root, prefix)
         for prefix in ("ISSUERS", "OFFERING", "FORMDSUBMISSION")
     )
+    if issuers is None or offerings is None or submissions is None:
+        raise FileNotFoundError(f"filing tables missing below {root}")
     complete = (
         offerings.select("_quarter").distinct()
         .join(submissions.select("_quarter").distinct(), "_quarter", "left_semi")

@@ -41,17 +41,42 @@ def read_tsv(
     return kept.select(*[quoted(n) for n in names], F.col("_metadata.file_path").alias("_file"))
 
 
-def read_table_files(spark: SparkSession, root: str, prefix: str) -> DataFrame:
+def _first_line(spark: SparkSession, path: str) -> str:
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "ISO-8859-1"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
+def read_table_files(spark: SparkSession, root: str, prefix: str) -> DataFrame | None:
     """All files below ``root`` whose name starts with ``prefix``, in any case, at any depth.
 
-    Column names come out in upper case, and ``_quarter`` is the ``2020q1`` part of the path.
+    Files are read together by header line, so that a column is always found by its name.  Column
+    names come out in upper case, and ``_quarter`` is the ``2020q1`` part of the path.  None when
+    there are no such files.
     """
-    table = read_tsv(
-        spark, root, recursiveFileLookup=True, pathGlobFilter=_glob_any_case(prefix)
+    listing = (
+        spark.read.format("binaryFile")
+        .options(recursiveFileLookup=True, pathGlobFilter=_glob_any_case(prefix))
+        .load(root)
+        .select("path")
     )
-    quarter = F.lower(F.regexp_extract("_file", r"(?i)(\d{4}q[1-4])[^/]*/", 1))
-    names = [c for c in table.columns if c != "_file"]
-    return table.select(*[quoted(c).alias(c.upper()) for c in names], quarter.alias("_quarter"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in listing.collect():
+        header = tuple(_first_line(spark, row.path).rstrip("\r").split("\t"))
+        layouts.setdefault(header, []).append(row.path)
+    quarter = F.lower(F.regexp_extract("_file", r"(?i)(\d{4}q[1-4])[^/]*/", 1)).alias("_quarter")
+    table = None
+    for header, paths in sorted(layouts.items()):
+        rows = read_tsv(spark, paths, header).select(
+            *[quoted(c).alias(c.upper()) for c in header], quarter
+        )
+        table = rows if table is None else table.unionByName(rows, allowMissingColumns=True)
+    return table
 
 
 def read_bulk_csv(spark: SparkSession, path: str) -> DataFrame:
