@@ -151,7 +151,7 @@ _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "A
 
 @query("pivot_tier", f"""
 SELECT n_name AS msa, {", ".join(f"count(*) FILTER (c_mktsegment = '{s}') AS {s}" for s in _SEGMENTS)},
-       count_if(c_mktsegment IN ({", ".join(f"'{s}'" for s in _SEGMENTS)})) AS "TOTAL"
+       count(CASE WHEN c_mktsegment IN ({", ".join(f"'{s}'" for s in _SEGMENTS)}) THEN 1 END) AS "TOTAL"
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def pivot_tier(spark, sf):
     rows = table(spark, sf, "customer").join(

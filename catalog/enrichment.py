@@ -58,8 +58,8 @@ _LOG_SQL = """log AS (
 ),
 wide AS (
   SELECT name, arg_min(value, ord) FILTER (field = 'city') AS city,
-         arg_min(CAST(value AS INTEGER), ord) FILTER (field = 'founded_year' AND value <> 'unknown') AS founded_year
-  FROM (SELECT name, ord, field, CASE WHEN field = 'founded_year' AND value = 'unknown' THEN NULL ELSE value END AS value FROM log)
+         arg_min(TRY_CAST(value AS INTEGER), ord) FILTER (field = 'founded_year' AND value <> 'unknown') AS founded_year
+  FROM log
   GROUP BY name
 )"""
 

@@ -98,7 +98,7 @@ def filing_fan_out(spark, sf):
 
 
 @query("noise_names", with_base(select=f"""
-SELECT page_id, item_pos, name FROM portfolio
+SELECT page_id, CAST(item_pos AS INTEGER) AS item_pos, name FROM portfolio
 WHERE length(name) BETWEEN 2 AND 80 AND lower(name) NOT IN ({quote_list(defaults.NAVIGATION_WORDS + ['la', 'sch'])})
   AND length(name) BETWEEN 3 AND 60 AND NOT regexp_matches(lower(name), 'logo|icon|image|photo|background|(.png|.jpg|.jpeg)$')"""))
 def noise_names(spark, sf):

@@ -18,6 +18,7 @@ from muster.functions.similarity import PREFIX_LIMIT, PREFIX_WEIGHT, jaro_winkle
 from muster.operators.components import linked_components
 from muster.operators.rollup import canonical_agg, classes_of
 from muster.schemas import ID_COLUMNS
+from muster.session import materialize
 
 # Characters counted together by the signature of a name; all others form one more group.
 SIGNATURE_GROUPS = ["e", "a", "io", "nt", "rs", "lcdm", "uhpgyb", "fvwkxjqz", "01234", "56789"]
@@ -147,9 +148,11 @@ def similar_names(
     short_name = (F.col("tokens") <= 2).alias("few")
     sig = F.concat_ws(",", *[F.col(c).cast("string") for c in ("few", *counts)]).alias("sig")
     signed = signed.select(*block, "norm", "ord", "len", "tokens", short_name, *counts)
-    named = signed.select(*block, "norm", "ord", "len", "tokens", sig)
+    # Read three times below, and computed from whole names only once.
+    signed = materialize(signed.select("*", sig), "names")
+    named = signed.select(*block, "norm", "ord", "len", "tokens", "sig")
 
-    sigs = signed.select(*block, "few", "len", *counts).distinct().withColumn("sig", sig)
+    sigs = signed.select(*block, "few", "len", "sig", *counts).distinct()
     tiles = sigs.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("n"))
     sigs = sigs.join(tiles, block)
 
@@ -254,13 +257,17 @@ def similarity_edges(
     if block is None:
         rows = rows.withColumn("block", block_token(F.col("norm")))
     same = ["area", "block", "norm", *ids]
+    rows = materialize(rows, "rows")
     copies = hub_edges(rows, "ord", same)
-    profiles = rows.groupBy(*same).agg(F.min("ord").alias("rep"))
+    profiles = materialize(rows.groupBy(*same).agg(F.min("ord").alias("rep")), "profiles")
     names = profiles.groupBy("area", "block", "norm").agg(
         F.min("rep").alias("ord"), F.count(F.lit(1)).alias("profiles")
     )
-    pairs = similar_names(names, ["area", "block"], **matching).select(
-        F.col("ord_a").alias("name_a"), F.col("ord_b").alias("name_b")
+    pairs = materialize(
+        similar_names(names, ["area", "block"], **matching).select(
+            F.col("ord_a").alias("name_a"), F.col("ord_b").alias("name_b")
+        ),
+        "pairs",
     )
     homonyms = names.filter("profiles > 1").select(
         F.col("ord").alias("name_a"), F.col("ord").alias("name_b")
