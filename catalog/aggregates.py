@@ -72,7 +72,7 @@ MERGED_SQL = f"""stacked AS (
 ),
 keyed AS (
   SELECT *, {sql_norm('name')} AS name_norm,
-         row_number() OVER (ORDER BY rank, CAST(name AS BLOB)) AS o FROM stacked
+         row_number() OVER (ORDER BY rank, name) AS o FROM stacked
 ),
 merged AS (
   SELECT msa, name_norm, arg_min(name, o) AS name,

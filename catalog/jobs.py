@@ -74,7 +74,7 @@ CLASSIFIED_SQL = f"""stacked4 AS (
 ),
 keyed4 AS (
   SELECT *, {sql_norm('name')} AS name_norm,
-         row_number() OVER (ORDER BY rank, CASE WHEN rank < 3 THEN CAST(name AS BLOB) END, pos) AS o
+         row_number() OVER (ORDER BY rank, CASE WHEN rank < 3 THEN name END, pos) AS o
   FROM stacked4
 ),
 merged4 AS (
@@ -142,7 +142,7 @@ query("flagship", with_base(CLASSIFIED_SQL, f"""ranked AS (
 )""", select="""
 SELECT msa, name, tier, form_d_filings, sbir_awards, round(sbir_total_usd, 2) AS sbir_total_usd, priority_score
 FROM ranked QUALIFY row_number() OVER (
-  PARTITION BY msa ORDER BY priority_score DESC, CAST(name AS BLOB), CAST(name_norm AS BLOB)) <= 25"""))(flagship)
+  PARTITION BY msa ORDER BY priority_score DESC, name, name_norm) <= 25"""))(flagship)
 
 
 # -- funnel ----------------------------------------------------------------------------------
@@ -208,7 +208,7 @@ _CONFLICT = " OR ".join(
 )
 _GENERIC = quote_list(defaults.GENERIC_TOKENS)
 FUNNEL_SQL = f"""numbered AS (
-  SELECT *, row_number() OVER (ORDER BY msa, tier, entity_type, CAST(name AS BLOB), CAST(name_norm AS BLOB)) AS ord
+  SELECT *, row_number() OVER (ORDER BY msa, tier, entity_type, name, name_norm) AS ord
   FROM classified WHERE tier <> 'research_inst'
 ),
 named1 AS (SELECT *, {sql_resolve('name')} AS norm FROM numbered),

@@ -55,7 +55,7 @@ def fill_from_log(
 
     wide = (
         log.filter(F.col("field").isin(*wanted))
-        .groupBy(F.col("name").alias("_log_name"))
+        .groupBy(F.col("name").alias("_logged_entity"))
         .agg(*[logged(f) for f in wanted])
     )
     filled = {}
@@ -63,8 +63,8 @@ def fill_from_log(
         known = F.when(~is_blank(F.col(f)), F.col(f))
         logged_value = F.col(f"_log_{f}").try_cast(df.schema[f].dataType)
         filled[f] = F.coalesce(known, logged_value, F.col(f))
-    joined = df.join(wide, F.col(name) == F.col("_log_name"), "left")
-    return joined.withColumns(filled).drop("_log_name", *[f"_log_{f}" for f in wanted])
+    joined = df.join(wide, F.col(name) == F.col("_logged_entity"), "left")
+    return joined.withColumns(filled).drop("_logged_entity", *[f"_log_{f}" for f in wanted])
 
 
 def fill_years(
