@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -27,7 +28,8 @@ _NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def literal_map(entries: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
+    """Constant map; it is folded into the plan as one value."""
+    return F.from_json(F.lit(json.dumps(dict(entries))), "map<string,string>")
 
 
 def any_of(words: Sequence[str]) -> str:

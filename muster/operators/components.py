@@ -58,6 +58,8 @@ def linked_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFra
     with partial sums and joined to one row.
     """
     current = materialize(_canonical(edges), "edges")
+    if current.isEmpty():
+        return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(max_rounds):
         following = materialize(_small_star(_large_star(current)), "edges")
         discard(current)

@@ -114,6 +114,15 @@ def _needed_jaro(threshold: Column, prefix: Column | int) -> Column:
     return (threshold - lift) / (1.0 - lift) - _SLACK
 
 
+def _agree(ids: Sequence[str]) -> Column:
+    """Whether no identifier is known, and different, on both sides."""
+    agree = F.lit(True)
+    for c in ids:
+        one, other = F.col(f"{c}_a"), F.col(f"{c}_b")
+        agree = agree & ((one == "") | (other == "") | (one == other))
+    return agree
+
+
 def similar_names(
     names: DataFrame,
     block_cols: Sequence[str],
@@ -123,11 +132,15 @@ def similar_names(
     long: float = 0.92,
     groups: Sequence[str] = SIGNATURE_GROUPS,
     tile: int = TILE_SIGNATURES,
+    hard_ids: Sequence[str] = (),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Pairs of different names of one block with at least the threshold similarity.
 
     ``names`` has one row per block and name.  The result has the block columns and
-    ``ord_a, ord_b, norm_a, norm_b, sim`` with ``ord_a < ord_b``.
+    ``ord_a, ord_b, norm_a, norm_b, sim`` with ``ord_a < ord_b``, and the columns to ``carry`` of
+    either name.  Names that contradict each other in a known one of the ``hard_ids`` ('' is unknown)
+    are passed over before their similarity is computed.
 
     Names are never all paired.  Each gets a signature, the counts of its characters by group.  Two
     names cannot match on more characters than their signatures share, which bounds their similarity
@@ -137,20 +150,22 @@ def similar_names(
     block = list(block_cols)
     size = len(groups) + 1
     counts = [f"c{i}" for i in range(size)]
+    extra = list(dict.fromkeys([*hard_ids, *carry]))
     signed = names.select(
         *block,
         F.col(norm).alias("norm"),
         F.col(ord_col).alias("ord"),
         F.length(norm).alias("len"),
         token_count(F.col(norm)).alias("tokens"),
+        *extra,
         *[c.alias(n) for c, n in zip(_signature(F.col(norm), groups), counts)],
     ).filter("len > 0")
     short_name = (F.col("tokens") <= 2).alias("few")
     sig = F.concat_ws(",", *[F.col(c).cast("string") for c in ("few", *counts)]).alias("sig")
-    signed = signed.select(*block, "norm", "ord", "len", "tokens", short_name, *counts)
+    signed = signed.select(*block, "norm", "ord", "len", "tokens", *extra, short_name, *counts)
     # Read three times below, and computed from whole names only once.
     signed = materialize(signed.select("*", sig), "names")
-    named = signed.select(*block, "norm", "ord", "len", "tokens", "sig")
+    payload = ["norm", "ord", "len", "tokens", "sig", *extra]
 
     sigs = signed.select(*block, "few", "len", "sig", *counts).distinct()
     tiles = sigs.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("n"))
@@ -174,9 +189,7 @@ def similar_names(
     )
 
     def name_side(suffix):
-        return named.select(
-            *block, *[F.col(c).alias(f"{c}_{suffix}") for c in ("norm", "ord", "len", "tokens", "sig")]
-        )
+        return signed.select(*block, *[F.col(c).alias(f"{c}_{suffix}") for c in payload])
 
     prefix = F.lit(0)
     for k in range(1, PREFIX_LIMIT + 1):
@@ -189,11 +202,15 @@ def similar_names(
         .join(name_side("b"), [*block, "sig_b"])
         .filter(
             (F.col("ord_a") < F.col("ord_b"))
+            & _agree(hard_ids)
             & (_best_jaro(F.col("shared"), len_a, len_b) >= _needed_jaro(threshold, prefix))
         )
         .withColumn("sim", jaro_winkler(F.col("norm_a"), F.col("norm_b")))
         .filter(F.col("sim") >= threshold)
-        .select(*block, "ord_a", "ord_b", "norm_a", "norm_b", "sim")
+        .select(
+            *block, "ord_a", "ord_b", "norm_a", "norm_b", "sim",
+            *[f"{c}_{s}" for c in carry for s in ("a", "b")],
+        )
     )
 
 
@@ -260,23 +277,30 @@ def similarity_edges(
     rows = materialize(rows, "rows")
     copies = hub_edges(rows, "ord", same)
     profiles = materialize(rows.groupBy(*same).agg(F.min("ord").alias("rep")), "profiles")
+    single = F.count(F.lit(1)) == 1
+    # Only a name with one set of identifiers has them compared as a name.
     names = profiles.groupBy("area", "block", "norm").agg(
-        F.min("rep").alias("ord"), F.count(F.lit(1)).alias("profiles")
+        F.min("rep").alias("ord"), single.alias("single"),
+        *[F.when(single, F.min(c)).otherwise("").alias(c) for c in ids],
     )
+    names = materialize(names, "names")
     pairs = materialize(
-        similar_names(names, ["area", "block"], **matching).select(
-            F.col("ord_a").alias("name_a"), F.col("ord_b").alias("name_b")
+        similar_names(names, ["area", "block"], hard_ids=ids, carry=["single"], **matching).select(
+            F.col("ord_a").alias("name_a"), F.col("ord_b").alias("name_b"),
+            (F.col("single_a") & F.col("single_b")).alias("settled"),
         ),
         "pairs",
     )
-    homonyms = names.filter("profiles > 1").select(
+    settled = pairs.filter("settled").select(F.col("name_a").alias("src"), F.col("name_b").alias("dst"))
+    homonyms = names.filter("NOT single").select(
         F.col("ord").alias("name_a"), F.col("ord").alias("name_b")
     )
+    open_pairs = pairs.filter("NOT settled").drop("settled").unionByName(homonyms)
     keyed = profiles.join(
         names.select("area", "block", "norm", F.col("ord").alias("name_id")),
         ["area", "block", "norm"],
     ).select("name_id", "rep", *ids)
-    return copies.unionByName(_compatible_edges(pairs.unionByName(homonyms), keyed, ids))
+    return copies.unionByName(settled).unionByName(_compatible_edges(open_pairs, keyed, ids))
 
 
 def merge_by_similarity(df: DataFrame, ord_col: str = "ord", **options) -> DataFrame:

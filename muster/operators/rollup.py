@@ -48,42 +48,74 @@ def canonical_agg(
     return df.groupBy(*keys).agg(F.min(order).alias(ord_col), *aggregates)
 
 
+def _rollup(
+    rows: DataFrame, keys: Mapping[str, Column], firsts: Mapping[str, Column], order: Column,
+    amount: Column | None = None, low_high: Column | None = None,
+) -> DataFrame:
+    """One row per key with the first known values, ``rows``, and sum and range where asked for.
+
+    The rows of a key mostly repeat its values.  They are therefore first reduced to their different
+    value combinations by hash aggregation, before anything is shuffled; only these few are put in
+    order.
+    """
+    groups = [c.alias(f"_k_{n}") for n, c in keys.items()]
+    values = [c.alias(f"_v_{n}") for n, c in firsts.items()]
+    extra = [] if low_high is None else [low_high.alias("_range")]
+    totals = [] if amount is None else [F.sum(amount).alias("_sum")]
+    combinations = rows.groupBy(*groups, *values, *extra).agg(
+        F.min(order).alias("_ord"), F.count(F.lit(1)).alias("_rows"), *totals
+    )
+    aggregates = [first_known(F.col(f"_v_{n}"), F.col("_ord")).alias(n) for n in firsts]
+    aggregates.append(F.sum("_rows").alias("rows"))
+    if amount is not None:
+        aggregates.append(F.coalesce(F.sum("_sum"), F.lit(0.0)).alias("amount"))
+    if low_high is not None:
+        aggregates += [F.min("_range").alias("low"), F.max("_range").alias("high")]
+    return combinations.groupBy(*[F.col(f"_k_{n}").alias(n) for n in keys]).agg(*aggregates)
+
+
+def _with_distinct(
+    rolled: DataFrame, rows: DataFrame, keys: Mapping[str, Column], counted: Column, name: str
+) -> DataFrame:
+    """Add the number of different values per key, counted apart from the wide columns."""
+    groups = [c.alias(f"_k_{n}") for n, c in keys.items()]
+    counts = rows.groupBy(*groups).agg(F.countDistinct(counted).alias(name))
+    same = F.lit(True)
+    for n in keys:
+        same = same & F.col(n).eqNullSafe(F.col(f"_k_{n}"))
+    return rolled.join(counts, same).drop(*[f"_k_{n}" for n in keys])
+
+
 def rollup_filings(filings: DataFrame, ord_col: str = "ord") -> DataFrame:
     """Filings to one row per area and filer name; rows without an area or name form groups too."""
-    order = F.col(ord_col)
-    parts = {
+    keys = {"msa": F.col("_msa"), "name": F.col("ENTITYNAME")}
+    firsts = {
         "cik": "CIK", "city": "CITY", "state": "STATEORCOUNTRY", "zip": "ZIPCODE",
         "year_incorp": "YEAROFINC_VALUE_ENTERED", "entity_type": "ENTITYTYPE",
         "industry": "_industry_norm",
     }
-    return (
-        filings.groupBy(F.col("_msa").alias("msa"), F.col("ENTITYNAME").alias("name"))
-        .agg(
-            *[first_known(F.col(c), order).alias(n) for n, c in parts.items()],
-            F.countDistinct("ACCESSIONNUMBER").alias("form_d_filings"),
-        )
-        .withColumn("source_form_d", F.lit(True))
-    )
+    columns = {n: F.col(c) for n, c in firsts.items()}
+    rolled = _rollup(filings, keys, columns, F.col(ord_col)).drop("rows")
+    return _with_distinct(
+        rolled, filings, keys, F.col("ACCESSIONNUMBER"), "form_d_filings"
+    ).withColumn("source_form_d", F.lit(True))
 
 
 def rollup_awards(awards: DataFrame, ord_col: str = "ord") -> DataFrame:
     """Awards to one row per area and firm; the years stay text."""
-    order = F.col(ord_col)
-    parts = {
+    keys = {"msa": F.col("_msa"), "name": F.col("Company")}
+    firsts = {
         "uei": "UEI", "duns": "Duns", "city": "City", "state": "_state_norm", "zip": "Zip",
         "website": "Company Website", "employees": "Number Employees",
     }
+    columns = {n: F.col(c) for n, c in firsts.items()}
     amount = money(F.col("Award Amount")) if "Award Amount" in awards.columns else F.lit(0.0)
-    return (
-        awards.groupBy(F.col("_msa").alias("msa"), F.col("Company").alias("name"))
-        .agg(
-            *[first_known(F.col(c), order).alias(n) for n, c in parts.items()],
-            F.countDistinct("Contract").alias("sbir_awards"),
-            F.sum(amount).alias("sbir_total_usd"),
-            F.min("Award Year").alias("sbir_first_year"),
-            F.max("Award Year").alias("sbir_last_year"),
-        )
-        .withColumn("source_sbir", F.lit(True))
+    rolled = _rollup(awards, keys, columns, F.col(ord_col), amount, F.col("Award Year"))
+    renamed = rolled.drop("rows").withColumnsRenamed(
+        {"amount": "sbir_total_usd", "low": "sbir_first_year", "high": "sbir_last_year"}
+    )
+    return _with_distinct(renamed, awards, keys, F.col("Contract"), "sbir_awards").withColumn(
+        "source_sbir", F.lit(True)
     )
 
 
@@ -92,20 +124,14 @@ def rollup_grants(grants: DataFrame, ord_col: str = "ord") -> DataFrame | None:
     name = resolve_column(grants, defaults.ORG_ALIASES["name"])
     if name is None:
         return None
-    order = F.col(ord_col)
-    found = {
+    keys = {"msa": F.col("_msa"), "name": column_or(grants, [name], F.lit(""))}
+    firsts = {
         n: column_or(grants, defaults.ORG_ALIASES[n], F.lit("")) for n in ("city", "state", "zip")
     }
-    amount = column_or(grants, defaults.AMOUNT_ALIASES, F.lit(0.0))
+    amount = safe_double(column_or(grants, defaults.AMOUNT_ALIASES, F.lit(0.0)))
     return (
-        grants.groupBy(
-            F.col("_msa").alias("msa"), column_or(grants, [name], F.lit("")).alias("name")
-        )
-        .agg(
-            *[first_known(c, order).alias(n) for n, c in found.items()],
-            F.count(F.lit(1)).alias("nih_grants"),
-            F.coalesce(F.sum(safe_double(amount)), F.lit(0.0)).alias("nih_total_usd"),
-        )
+        _rollup(grants, keys, firsts, F.col(ord_col), amount)
+        .withColumnsRenamed({"rows": "nih_grants", "amount": "nih_total_usd"})
         .withColumn("source_nih", F.lit(True))
     )
 

@@ -65,6 +65,10 @@ ROSTER_ORDER = ["msa", "tier", "entity_type", "name", "name_norm"]
 
 
 def number_rows(roster: DataFrame, order: Sequence[str] = ROSTER_ORDER) -> DataFrame:
-    """Roster with its sort order as ``ord``, written once so that the numbers stay as they are."""
-    numbered = roster.orderBy(*order).withColumn("ord", F.monotonically_increasing_id())
-    return materialize(numbered, "roster")
+    """Roster with its sort order as ``ord``, written once so that the numbers stay as they are.
+
+    The roster is written before it is sorted, as sampling for the sort would compute it twice.
+    """
+    landed = materialize(roster, "roster")
+    numbered = landed.orderBy(*order).withColumn("ord", F.monotonically_increasing_id())
+    return materialize(numbered, "numbered")
