@@ -106,8 +106,8 @@ def classify_subcategory(spark, sf):
         F.when(key % 5 == 0, F.left("source", F.lit(1))).otherwise(F.col("text")).alias("text"),
         F.get(kinds, (key % 4).cast("int")).alias("industry"),
     )
-    blob = text_blob(F.col("text"), F.col("industry"), F.lit(""))
-    return told.select("doc_id", rules.subcategory(blob, F.col("industry")).alias("subcategory"))
+    read = told.withColumn("blob", text_blob(F.col("text"), F.col("industry"), F.lit("")))
+    return read.select("doc_id", rules.subcategory(F.col("blob"), F.col("industry")).alias("subcategory"))
 
 
 _SCORED_SQL = """scored AS (

@@ -24,7 +24,7 @@ _BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_NUMBER_CHARACTERS = "0123456789+-.eE"
 
 
 def literal_map(entries: Mapping[str, str]) -> Column:
@@ -32,10 +32,18 @@ def literal_map(entries: Mapping[str, str]) -> Column:
     return F.from_json(F.lit(json.dumps(dict(entries))), "map<string,string>")
 
 
-def any_of(words: Sequence[str]) -> str:
-    """Regular expression that finds any of the words literally."""
-    quote = {c: "\\" + c for c in r"\.^$|?*+()[]{}"}
-    return "|".join("".join(quote.get(c, c) for c in w) for w in words)
+def literal_list(values: Sequence[str]) -> Column:
+    """Constant array; it is folded into the plan as one value."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+
+
+def has_any(text: Column, words: Sequence[str]) -> Column:
+    """Whether the text contains one of the words, anywhere and literally.
+
+    One plain search per word, stopping at the first hit, is several times faster on long texts than
+    one regular expression of all words.
+    """
+    return F.exists(literal_list(words), lambda w: F.contains(text, w))
 
 
 def strip(text: Column) -> Column:
@@ -56,13 +64,17 @@ def is_blank(value: Column) -> Column:
 
 
 def safe_double(value: Column) -> Column:
-    """Number of a text; null for anything that is not wholly a number."""
+    """Number of a text; null for anything that is not wholly a number.
+
+    The cast alone would take type letters as in ``12d``, and words like ``nan``.
+    """
     text = strip(value.cast("string"))
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(F.trim(text, F.lit(_NUMBER_CHARACTERS)) == "", text.try_cast("double"))
 
 
 def money(text: Column) -> Column:
-    return F.coalesce(safe_double(F.translate(text, "$,", "")), F.lit(0.0))
+    plain = F.replace(F.replace(text, F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
+    return F.coalesce(safe_double(plain), F.lit(0.0))
 
 
 def state_abbreviation(state: Column, names: Mapping[str, str] = STATE_ABBREVIATIONS) -> Column:

@@ -27,30 +27,38 @@ def _points(texts, width):
 
 def _matches(a, b, len_a, len_b):
     """Which characters of ``a`` and ``b`` pair up, taking the earliest free partner in reach."""
-    reach = np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0)[:, None]
-    column = np.arange(b.shape[1])[None, :]
+    size, width = b.shape
+    reach = np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0).astype(np.int32)[:, None]
+    column = np.arange(width, dtype=np.int32)[None, :]
     free = column < len_b[:, None]
+    rows = np.arange(size)
     used_a = np.zeros(a.shape, dtype=bool)
-    for i in range(a.shape[1]):
-        able = free & (b == a[:, i : i + 1]) & (abs(column - i) <= reach) & (i < len_a)[:, None]
-        found = np.flatnonzero(able.any(axis=1))
-        free[found, able[found].argmax(axis=1)] = False
-        used_a[found, i] = True
+    widest = int(reach.max())
+    for i in range(int(len_a.max())):
+        low, high = max(0, i - widest), min(width, i + widest + 1)
+        able = b[:, low:high] == a[:, i : i + 1]
+        able &= free[:, low:high]
+        able &= np.abs(column[:, low:high] - i) <= reach
+        first = able.argmax(axis=1)
+        found = able[rows, first] & (i < len_a)
+        free[rows[found], first[found] + low] = False
+        used_a[:, i] = found
     return used_a, (column < len_b[:, None]) & ~free
 
 
 def _similarity(a, b, len_a, len_b):
+    if max(a.max(), b.max()) < 256:
+        a, b = a.astype(np.uint8), b.astype(np.uint8)
     used_a, used_b = _matches(a, b, len_a, len_b)
     matched = used_a.sum(axis=1)
-    width = min(a.shape[1], b.shape[1])
-    in_order_a = np.take_along_axis(a, np.argsort(~used_a, axis=1, kind="stable"), 1)[:, :width]
-    in_order_b = np.take_along_axis(b, np.argsort(~used_b, axis=1, kind="stable"), 1)[:, :width]
-    counted = np.arange(width)[None, :] < matched[:, None]
-    swaps = ((in_order_a != in_order_b) & counted).sum(axis=1) // 2
+    # Both sides list the matched characters row by row, equally many in each.
+    out_of_place = a[used_a] != b[used_b]
+    owner = np.repeat(np.arange(len(matched)), matched)
+    swaps = np.bincount(owner[out_of_place], minlength=len(matched)) // 2
     with np.errstate(divide="ignore", invalid="ignore"):
         jaro = (matched / len_a + matched / len_b + (matched - swaps) / matched) / 3.0
     jaro = np.where(matched == 0, 0.0, jaro)
-    head = min(PREFIX_LIMIT, width)
+    head = min(PREFIX_LIMIT, a.shape[1])
     inside = np.arange(head)[None, :] < np.minimum(len_a, len_b)[:, None]
     prefix = np.cumprod((a[:, :head] == b[:, :head]) & inside, axis=1).sum(axis=1)
     return np.where(jaro > BOOST_FROM, jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro), jaro)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muster import defaults
-from muster.functions.exprs import any_of, is_blank, safe_double, strip
+from muster.functions.exprs import has_any, is_blank, safe_double, strip
 
 
 def holds(condition: Column) -> Column:
@@ -38,11 +38,11 @@ def entity_name_like(name: Column, words: Sequence[str] = defaults.NAVIGATION_WO
 def image_text_like(alt: Column) -> Column:
     """Image text that may be a name: no file name, no word for the picture itself."""
     text = F.lower(alt)
-    ending = any_of(defaults.IMAGE_FILE_ENDINGS)
+    ended = F.lit(False)
+    for ending in defaults.IMAGE_FILE_ENDINGS:
+        ended = ended | text.endswith(ending)
     return holds(
-        F.length(alt).between(3, 60)
-        & ~text.rlike(f"({ending})$")
-        & ~text.rlike(any_of(defaults.IMAGE_STOP_WORDS))
+        F.length(alt).between(3, 60) & ~ended & ~has_any(text, defaults.IMAGE_STOP_WORDS)
     )
 
 
@@ -61,7 +61,7 @@ def out_of_area(
     area = F.lower(msa)
     hit = F.lit(False)
     for key, words in places.items():
-        hit = F.when(area == key, place.rlike(any_of(words))).otherwise(hit)
+        hit = F.when(area == key, has_any(place, words)).otherwise(hit)
     return holds(listed) & holds(~place.isin("", "nan", "none")) & holds(hit)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from muster import defaults
-from muster.functions.exprs import any_of, safe_double, valid_year
+from muster.functions.exprs import has_any, safe_double, valid_year
 from muster.operators.filters import holds
 
 
@@ -27,11 +27,6 @@ def has_words(text: Column, words: str) -> Column:
     return text.rlike(rf"(?iU)\b(?:{words})\b")
 
 
-def has_any(text: Column, keywords: Sequence[str]) -> Column:
-    """Whether the text contains one of the keywords, anywhere and literally."""
-    return text.rlike(any_of(keywords))
-
-
 def entity_type(
     name: Column, name_norm: Column, filer_type: Column, filed: Column, awarded: Column,
     granted: Column,

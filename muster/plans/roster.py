@@ -45,11 +45,11 @@ def classified_roster(
         "entity_type",
         entity_type(F.col("name"), F.col("name_norm"), F.col("entity_type"), *flags),
     ).withColumn(
-        "ls_subcategory",
-        subcategory(
-            text_blob(F.col("name"), F.col("industry"), F.col("tagline")), F.col("industry"), keywords
-        ),
-    )
+        # A column of its own, so that the text is put together once for all rules.
+        "_text", text_blob(F.col("name"), F.col("industry"), F.col("tagline"))
+    ).withColumn(
+        "ls_subcategory", subcategory(F.col("_text"), F.col("industry"), keywords)
+    ).drop("_text")
     tiered = typed.withColumn(
         "tier",
         tier(F.col("entity_type"), F.col("source_form_d"), F.col("source_sbir"), F.col("source_tto")),
