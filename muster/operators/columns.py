@@ -13,23 +13,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def resolve_column(
-    df: DataFrame, aliases: Sequence[str], containing: Sequence[str] = ()
-) -> str | None:
-    """Name of the first column that is called like an alias, or that contains all given words.
-
-    Both comparisons ignore case and outer blanks.
-    """
-    wanted = {a.lower() for a in aliases}
-    for name in df.columns:
-        plain = name.strip().lower()
-        if plain in wanted or (containing and all(w.lower() in plain for w in containing)):
-            return name
-    return None
-
-
-def column_or(df: DataFrame, aliases: Sequence[str], otherwise: Column, **kw) -> Column:
-    name = resolve_column(df, aliases, **kw)
+def resolve_column(df: DataFrame, aliases: Sequence[str]) -> str | None:
+    """Name of the first column called like one of the aliases, ignoring case and outer blanks."""
+    wanted = {a.strip().lower() for a in aliases}
+    return next((c for c in df.columns if c.strip().lower() in wanted), None)
+
+
+def column_or(df: DataFrame, aliases: Sequence[str], otherwise: Column) -> Column:
+    name = resolve_column(df, aliases)
     return otherwise if name is None else quoted(name)
 
 
@@ -41,6 +32,12 @@ def first_present(df: DataFrame, names: Sequence[str], dtype: str = "string") ->
     return F.lit(None).cast(dtype)
 
 
+def first_known_of(df: DataFrame, names: Sequence[str]) -> Column:
+    """Per row the first value among the named columns that exist."""
+    present = [quoted(n) for n in names if n in df.columns]
+    return F.coalesce(*present) if present else F.lit(None).cast("string")
+
+
 def ensure_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Add the missing ones of the columns as typed nulls."""
     missing = {c: F.lit(None).cast(t) for c, t in types.items() if c not in df.columns}

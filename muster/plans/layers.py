@@ -12,7 +12,7 @@ from muster.functions.exprs import lower_key, state_abbreviation, strip, upper_k
 from muster.operators.columns import (
     column_or,
     ensure_columns,
-    first_present,
+    first_known_of,
     flatten_struct,
     resolve_column,
 )
@@ -24,10 +24,14 @@ CITY_STATE = ["_city_norm", "_state_norm"]
 
 
 def normalized_filings(filings: DataFrame) -> DataFrame:
-    """Filings with normalized city, state and industry, whichever column names a quarter has."""
-    city = first_present(filings, ["ISSUER_CITY", "CITY"])
-    state = first_present(filings, ["ISSUER_STATEORCOUNTRY", "STATEORCOUNTRY"])
-    industry = column_or(filings, [], F.lit(""), containing=["INDUSTRY", "TYPE"])
+    """Filings with normalized city, state and industry, whichever column names a quarter has.
+
+    Quarters with different names are in one table, so the names are tried row by row.
+    """
+    city = first_known_of(filings, ["ISSUER_CITY", "CITY"])
+    state = first_known_of(filings, ["ISSUER_STATEORCOUNTRY", "STATEORCOUNTRY"])
+    typed = [c for c in filings.columns if "INDUSTRY" in c and "TYPE" in c]
+    industry = first_known_of(filings, typed)
     return filings.withColumns({
         "_city_norm": lower_key(city),
         "_state_norm": upper_key(state),

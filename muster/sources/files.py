@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,16 @@ def _glob_any_case(prefix: str) -> str:
     return "".join(f"[{c.upper()}{c.lower()}]" if c.isalpha() else c for c in prefix) + "*"
 
 
+def _without_long_lines(rows: DataFrame, names: Sequence[str], fields: Column) -> DataFrame:
+    """Only malformed lines carry their text; of these, short ones stay.
+
+    The reader must see whole lines to tell, hence ``columnPruning`` is off in both readers.  Spark
+    refuses to read the text of malformed lines alone, so the filter looks at a field too.
+    """
+    some_field = F.length(F.coalesce(quoted(names[0]), F.lit(""))) >= 0
+    return rows.filter((F.col(_RAW).isNull() | (fields <= len(names))) & some_field)
+
+
 def read_tsv(
     spark: SparkSession, path: str | Sequence[str], header: Sequence[str] | None = None, **options
 ) -> DataFrame:
@@ -32,12 +42,13 @@ def read_tsv(
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
     rows = (
         reader.schema(schema)
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, enforceSchema=header is None)
+        .options(
+            mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, columnPruning=False,
+            enforceSchema=header is None,
+        )
         .csv(path)
     )
-    fields = F.size(F.split(_RAW, "\t"))
-    # Only malformed lines carry their text; of these, short ones stay.
-    kept = rows.filter(F.col(_RAW).isNull() | (fields <= len(names)))
+    kept = _without_long_lines(rows, names, F.size(F.split(_RAW, "\t")))
     return kept.select(*[quoted(n) for n in names], F.col("_metadata.file_path").alias("_file"))
 
 
@@ -90,12 +101,11 @@ def read_bulk_csv(spark: SparkSession, path: str) -> DataFrame:
     names = reader.csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
     rows = reader.schema(schema).options(
-        mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, enforceSchema=True
+        mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, columnPruning=False
     ).csv(path)
     # A quoted field may hold commas, so fields are counted outside of quotes.
     bare = F.regexp_replace(_RAW, r'"(?:[^"]|"")*"', "")
-    fields = F.size(F.split(bare, ","))
-    kept = rows.filter(F.col(_RAW).isNull() | (fields <= len(names)))
+    kept = _without_long_lines(rows, names, F.size(F.split(bare, ",")))
     return kept.select(*[quoted(n) for n in names])
 
 
