@@ -17,17 +17,19 @@ from muster.schemas import ROSTER_TYPES
 from muster.session import materialize
 
 
-def _merged(parts: Mapping[str, DataFrame | None]) -> DataFrame:
-    """Merged sources with all roster columns; absent flags are false, absent numbers null."""
-    merged = merge_sources(stack_sources(parts))
-    complete = ensure_columns(merged, ROSTER_TYPES)
+INTERIM_TYPES = {c: ROSTER_TYPES[c] for c in defaults.INTERIM_FRONT if c != "tier"}
+
+
+def _merged(parts: Mapping[str, DataFrame | None], types: Mapping[str, str]) -> DataFrame:
+    """Merged sources with all the columns; absent flags are false, other absent columns null."""
+    complete = ensure_columns(merge_sources(stack_sources(parts)), types)
     flags = [c for c in complete.columns if c.startswith("source_")]
     return complete.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in flags})
 
 
 def interim_roster(parts: Mapping[str, DataFrame | None]) -> DataFrame:
     """Roster of filings, awards and grants with the interim tier."""
-    merged = _merged(parts).drop("ord")
+    merged = _merged(parts, INTERIM_TYPES).drop("ord")
     tiered = merged.withColumn(
         "tier", interim_tier(F.col("source_form_d"), F.col("source_sbir"), F.col("source_nih"))
     )
@@ -39,7 +41,7 @@ def classified_roster(
     keywords: Sequence[tuple[str, Sequence[str]]] = defaults.SUBCATEGORY_KEYWORDS,
 ) -> DataFrame:
     """Roster of all sources with entity type, subcategory and tier."""
-    merged = _merged(parts).drop("ord")
+    merged = _merged(parts, ROSTER_TYPES).drop("ord")
     flags = [F.col(c) for c in ("source_form_d", "source_sbir", "source_nih")]
     typed = merged.withColumn(
         "entity_type",

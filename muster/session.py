@@ -24,6 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def session_folder(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables."""
+    return f"{shared_folder(spark)}/muster-{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -31,18 +36,25 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     optimizer for the joins that follow.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/muster-{label}-{uuid.uuid4().hex}"
+    path = f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._muster_path = path
     return table
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(table: DataFrame) -> None:
     """Delete a table written by ``materialize`` that no later step reads."""
     path = getattr(table, "_muster_path", None)
-    if path is None:
-        return
-    spark = table.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path is not None:
+        _delete(table.sparkSession, path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, once its results are written."""
+    _delete(spark, session_folder(spark))
