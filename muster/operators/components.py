@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from muster.operators.joins import HOT_ROWS, join_counted
 from muster.session import discard, materialize
 
 MAX_ROUNDS = 100
@@ -22,24 +23,33 @@ def _canonical(edges: DataFrame) -> DataFrame:
     )
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame, end: str, hot_rows: int | None) -> DataFrame:
+    """Edges with the least neighbour ``m`` of their ``end``; hot nodes apart if there may be any."""
+    if hot_rows is None:
+        return edges.join(least.drop("n"), end)
+    return join_counted(edges, least, [end], "n", hot_rows)
+
+
+def _large_star(edges: DataFrame, hot_rows: int | None) -> DataFrame:
     """Link every node's greater neighbours to the least node it knows."""
     ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
-    least = ends.groupBy("u").agg(F.min("v").alias("m"))
-    m = F.least("u", "m")
-    return edges.join(least, edges["b"] == least["u"]).select(
+    least = ends.groupBy(F.col("u").alias("b")).agg(
+        F.min("v").alias("m"), F.count(F.lit(1)).alias("n")
+    )
+    m = F.least("b", "m")
+    return _with_least(edges, least, "b", hot_rows).select(
         "a", m.alias("b"), (m != F.col("b")).alias("moved")
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hot_rows: int | None) -> DataFrame:
     """Link every node, and its lesser neighbours, to the least of these."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
     other = F.col("b") != F.col("m")
     return (
-        edges.join(least, "a")
+        _with_least(edges, least, "a", hot_rows)
         .select(
             F.when(other, F.col("b")).otherwise(F.col("a")).alias("a"),
             F.col("m").alias("b"),
@@ -50,18 +60,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def linked_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def linked_components(
+    edges: DataFrame, max_rounds: int = MAX_ROUNDS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """``node, component`` of every node that has an edge; the component is its least node.
 
     Each round is one job that writes its edges to the shared folder, and the edges a round moved
     decide whether another one is needed.  A hub with very many neighbours is only ever aggregated
-    with partial sums and joined to one row.
+    with partial results and joined to one row without a shuffle.
     """
     current = materialize(_canonical(edges), "edges")
-    if current.isEmpty():
+    size = current.count()
+    if size == 0:
         return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    # No round has more edges than the first, so fewer edges than that leave no node hot.
+    hot = hot_rows if size >= hot_rows else None
     for _ in range(max_rounds):
-        following = materialize(_small_star(_large_star(current)), "edges")
+        following = materialize(_small_star(_large_star(current, hot), hot), "edges")
         discard(current)
         current = following
         if current.filter("moved").isEmpty():

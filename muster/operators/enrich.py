@@ -30,6 +30,7 @@ from muster.functions.pages import (
     squeeze,
 )
 from muster.operators.filters import entity_name_like, image_text_like
+from muster.operators.joins import lookup
 from muster.operators.rollup import first_known
 
 NUMERIC_FIELDS = ["founded_year"]
@@ -63,7 +64,7 @@ def fill_from_log(
         known = F.when(~is_blank(F.col(f)), F.col(f))
         logged_value = F.col(f"_log_{f}").try_cast(df.schema[f].dataType)
         filled[f] = F.coalesce(known, logged_value, F.col(f))
-    joined = df.join(wide, F.col(name) == F.col("_logged_entity"), "left")
+    joined = lookup(df.withColumn("_logged_entity", F.col(name)), wide, "_logged_entity")
     return joined.withColumns(filled).drop("_logged_entity", *[f"_log_{f}" for f in wanted])
 
 
@@ -80,14 +81,14 @@ def fill_years(
         table = by_cik.groupBy(F.col("key").alias("_cik")).agg(
             F.min(valid_year(F.left(F.col("year").cast("string"), F.lit(4)))).alias("_year_cik")
         )
-        out = out.withColumn("_cik", cik_text(F.col(cik))).join(table, "_cik", "left").drop("_cik")
+        out = lookup(out.withColumn("_cik", cik_text(F.col(cik))), table, "_cik").drop("_cik")
         found.append(("cik", F.col("_year_cik")))
     if by_url is not None and website in df.columns:
         table = by_url.groupBy(F.col("key").alias("_url")).agg(
             F.min(F.col("year").cast("int")).alias("_year_url")
         )
         key = normalize_url(F.col(website))
-        out = out.withColumn("_url", key).join(table, "_url", "left").drop("_url")
+        out = lookup(out.withColumn("_url", key), table, "_url").drop("_url")
         found.append(("url", F.col("_year_url")))
     if source is not None:
         origin = [F.when(c.isNotNull(), F.lit(label)) for label, c in found]

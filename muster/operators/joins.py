@@ -1,6 +1,9 @@
-"""Joins with dimensions and lists.
+"""Joins with dimensions, lists, and tables of one row per key.
 
-No side is broadcast by hint: Catalyst and AQE broadcast a side when its size is known to be small.
+A dimension of known small size is broadcast by Catalyst.  Beyond that, hot keys are taken out of the
+shuffle: AQE cannot split them where a side is aggregated by the key.  A key is hot from ``HOT_ROWS``
+rows on, so there is at most one per that many rows, and the few rows of the other side that belong
+to hot keys are a bounded table, safe to broadcast.
 """
 
 from __future__ import annotations
@@ -14,6 +17,47 @@ from muster.functions.names import cik_text, resolve_name
 from muster.operators.columns import suffix_collisions
 
 
+HOT_ROWS = 1_000_000
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate is below the session's broadcast threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def join_counted(
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], count: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Inner join with a table of one row per key that has the key's number of rows in ``count``.
+
+    Rows of hot keys stay where they are; all others are joined by shuffle.
+    """
+    keys = list(keys)
+    hot = table.filter(F.col(count) >= hot_rows).drop(count)
+    cold = table.filter(F.col(count) < hot_rows).drop(count)
+    spread = rows.join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return spread.unionByName(rest)
+
+
+def lookup(
+    rows: DataFrame, dim: DataFrame, key: str, how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Left or left-anti join with a dimension of one row per key; rows without a key are kept."""
+    if fits_broadcast(dim):
+        return rows.join(dim, key, how)
+    known = rows.filter(F.col(key).isNotNull())
+    hot = known.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.broadcast(hot.filter(F.col("_rows") >= hot_rows).select(key))
+    hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
+    spread = known.join(hot, key, "left_semi").join(hot_dim, key, how)
+    rest = known.join(hot, key, "left_anti").join(dim, key, how)
+    unknown = rows.filter(F.col(key).isNull())
+    return spread.unionByName(rest).unionByName(unknown, allowMissingColumns=True)
+
+
 def scope(df: DataFrame, dim: DataFrame, on: Sequence[str], keep: Column | None = None) -> DataFrame:
     """Rows whose key is in the dimension, with the dimension's columns."""
     rows = df if keep is None else df.filter(keep)
@@ -33,7 +77,7 @@ def join_filing_tables(
 def with_ticker(df: DataFrame, tickers: DataFrame, cik: str = "cik") -> DataFrame:
     """Look the registry number up among listed companies (columns ``cik``, ``ticker``)."""
     listed = tickers.select(F.col("cik").alias("_cik"), "ticker")
-    return df.withColumn("_cik", cik_text(F.col(cik))).join(listed, "_cik", "left").drop("_cik")
+    return lookup(df.withColumn("_cik", cik_text(F.col(cik))), listed, "_cik").drop("_cik")
 
 
 def listed_names(names: DataFrame, column: str = "name") -> DataFrame:
@@ -44,15 +88,15 @@ def listed_names(names: DataFrame, column: str = "name") -> DataFrame:
 def exclude_names(df: DataFrame, names: DataFrame, name: str = "name") -> DataFrame:
     """Rows whose normalized name is not on the list."""
     keyed = df.withColumn("_norm", resolve_name(F.col(name)))
-    return keyed.join(listed_names(names), "_norm", "left_anti").drop("_norm")
+    return lookup(keyed, listed_names(names), "_norm", "left_anti").drop("_norm")
 
 
 def mark_listed(df: DataFrame, names: DataFrame, flag: str, name: str = "name") -> DataFrame:
     """Add a flag that tells whether the normalized name is on the list."""
     listed = listed_names(names).withColumn(flag, F.lit(True))
+    keyed = df.withColumn("_norm", resolve_name(F.col(name)))
     return (
-        df.withColumn("_norm", resolve_name(F.col(name)))
-        .join(listed, "_norm", "left")
+        lookup(keyed, listed, "_norm")
         .drop("_norm")
         .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
     )

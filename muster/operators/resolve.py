@@ -16,6 +16,7 @@ from muster.functions.names import (
 )
 from muster.functions.similarity import PREFIX_LIMIT, PREFIX_WEIGHT, jaro_winkler
 from muster.operators.components import linked_components
+from muster.operators.joins import HOT_ROWS, join_counted
 from muster.operators.rollup import canonical_agg, classes_of
 from muster.schemas import ID_COLUMNS
 from muster.session import materialize
@@ -28,7 +29,8 @@ _SLACK = 1e-9
 
 
 def hub_edges(
-    df: DataFrame, ord_col: str, key_cols: Sequence[str], valid: Column | None = None
+    df: DataFrame, ord_col: str, key_cols: Sequence[str], valid: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``src, dst`` from every row to the least ``ord`` of the rows with its key.
 
@@ -39,14 +41,10 @@ def hub_edges(
         rows.groupBy(*key_cols)
         .agg(F.min(ord_col).alias("dst"), F.count(F.lit(1)).alias("_rows"))
         .filter("_rows > 1")
-        .drop("_rows")
-    )
-    return (
-        rows.select(F.col(ord_col).alias("src"), *key_cols)
-        .join(hubs, list(key_cols))
-        .filter(F.col("src") != F.col("dst"))
-        .select("src", "dst")
     )
+    keyed = rows.select(F.col(ord_col).alias("src"), *key_cols)
+    linked = join_counted(keyed, hubs, key_cols, "_rows", hot_rows)
+    return linked.filter(F.col("src") != F.col("dst")).select("src", "dst")
 
 
 def collapse_clusters(df: DataFrame, components: DataFrame, ord_col: str = "ord") -> DataFrame:
@@ -244,13 +242,15 @@ def _compatible_edges(pairs: DataFrame, profiles: DataFrame, ids: Sequence[str])
     keys = ["name_a", "name_b", "kind_a", "kind_b", *ids]
     hubs = (
         met.groupBy(*keys)
-        .agg(F.min("rep").alias("dst"), F.min("side").alias("_low"), F.max("side").alias("_high"))
+        .agg(
+            F.min("rep").alias("dst"), F.min("side").alias("_low"), F.max("side").alias("_high"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
         .filter("_low <> _high")
         .drop("_low", "_high")
     )
-    return (
-        met.join(hubs, keys).filter("rep <> dst").select(F.col("rep").alias("src"), "dst").distinct()
-    )
+    linked = join_counted(met, hubs, keys, "_rows")
+    return linked.filter("rep <> dst").select(F.col("rep").alias("src"), "dst").distinct()
 
 
 def similarity_edges(

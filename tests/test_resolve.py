@@ -5,7 +5,7 @@ import random
 import pytest
 
 from muster.functions.similarity import jaro_winkler_batch
-from muster.operators import components, resolve
+from muster.operators import components, joins, resolve
 
 SCHEMA = "ord bigint, msa string, name string, cik string, uei string, source_tto boolean, sbir_awards bigint"
 
@@ -46,6 +46,34 @@ def test_components_random(spark):
     assert {r.node: r.component for r in found.collect()} == groups_of(400, edges)
 
 
+def test_components_with_hot_hubs(spark):
+    edges = [(i, i % 3) for i in range(300)] + [(299, i) for i in range(100, 200)] + [(250, 251)]
+    df = spark.createDataFrame(edges, "src bigint, dst bigint")
+    expected = groups_of(300, edges)
+    found = components.linked_components(df, hot_rows=20)
+    assert {r.node: r.component for r in found.collect()} == expected
+
+
+def test_hub_edges_with_hot_keys(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 12}") for i in range(300)], "ord bigint, k string")
+    plain = sorted(map(tuple, resolve.hub_edges(rows, "ord", ["k"]).collect()))
+    hot = resolve.hub_edges(rows, "ord", ["k"], hot_rows=50)
+    assert sorted(map(tuple, hot.collect())) == plain and len(plain) == 300 - 5
+
+
+def test_lookup_with_hot_and_missing_keys(spark):
+    rows = spark.createDataFrame([(i, None if i % 5 == 0 else i % 4) for i in range(200)], "ord bigint, k bigint")
+    dim = spark.createDataFrame([(0, "a"), (1, "b"), (9, "z")], "k bigint, v string").distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for how in ("left", "left_anti"):
+        found = joins.lookup(rows, dim, "k", how, hot_rows=41)
+        assert sorted(map(str, found.select("ord", "k").collect())) == sorted(
+            map(str, rows.join(dim, "k", how).select("ord", "k").collect()))
+    values = {r.ord: r.v for r in joins.lookup(rows, dim, "k", hot_rows=41).collect()}
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert values == {i: None if i % 5 == 0 else {0: "a", 1: "b"}.get(i % 4) for i in range(200)}
+
+
 def test_components_report_too_few_rounds(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(30)], "src bigint, dst bigint")
     with pytest.raises(RuntimeError):
