@@ -10,7 +10,6 @@ from catalog.tables import (
     areas,
     award_rows,
     city_allowlist,
-    customers,
     filing_rows,
     grant_rows,
     location_of_page,

@@ -80,11 +80,9 @@ _THRESHOLD = "CASE WHEN greatest(a.tokens, b.tokens) <= 2 THEN 0.95 ELSE 0.92 EN
 
 
 @query("jaro_winkler_pairs", f"""WITH RECURSIVE {_SHAPED},
-named AS (SELECT msa, block, norm, any_value(tokens) AS tokens, min(ord) AS ord FROM shaped GROUP BY ALL)
+named AS (SELECT msa, block, norm, min(ord) AS ord, min(tokens) AS tokens FROM shaped GROUP BY msa, block, norm)
 SELECT msa, a.norm AS norm_a, b.norm AS norm_b, round(jaro_winkler_similarity(a.norm, b.norm), 9) AS sim
-FROM (SELECT msa, block, norm, min(ord) AS ord, min(tokens) AS tokens FROM shaped GROUP BY msa, block, norm) a
-JOIN (SELECT msa, block, norm, min(ord) AS ord, min(tokens) AS tokens FROM shaped GROUP BY msa, block, norm) b
-  USING (msa, block)
+FROM named a JOIN named b USING (msa, block)
 WHERE a.ord < b.ord AND jaro_winkler_similarity(a.norm, b.norm) >= {_THRESHOLD}""")
 def jaro_winkler_pairs(spark, sf):
     norm = resolve_name(F.col("name"))

@@ -26,8 +26,12 @@ def founding_year(
     high: int = YEAR_RANGE[1],
 ) -> Column:
     """Earliest plausible year that the page gives in a founding phrase."""
-    text = page_text(html)
-    found = F.concat(*[F.regexp_extract_all(text, F.lit("(?iU)" + p), F.lit(1)) for p in phrases])
+
+    def stated(text):
+        return F.concat(*[F.regexp_extract_all(text, F.lit("(?iU)" + p), F.lit(1)) for p in phrases])
+
+    # As the argument of a lambda, the text is made once for all phrases.
+    found = F.flatten(F.transform(F.array(page_text(html)), stated))
     years = F.transform(found, lambda y: y.try_cast("int"))
     return F.array_min(F.filter(years, lambda y: y.between(low, high)))
 
