@@ -63,3 +63,19 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     marked = mark_contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return marked.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op8_language")
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.language import fit_language, predict_language
+
+    docs = _table(spark, sf_dir, "documents")
+    return predict_language(docs, fit_language(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
