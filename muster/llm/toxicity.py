@@ -27,6 +27,7 @@ LANDMARKS = 256
 SAMPLE = {1: 1200, 0: 2400}  # labelled texts that training may see
 SAMPLE_WORDS = 300  # different words of each of them, by least hash
 ROUNDS, PENALTY = 3, 1e-3
+PURE = 0.8  # least share of toxic texts among those with a letter run that marks a word
 BEARERS = 6  # words of a toxic text that may stand for its label
 KNOWN, HARD = 30_000, 3_000  # words of clean texts that training may see
 THRESHOLD = 0.3
@@ -138,7 +139,7 @@ class WordMachine:
 
     def __init__(self, table: np.ndarray, bias: float):
         self.table, self.bias = table, bias
-        self.slope, self.middle = 4.0, 0.0
+        self.slope, self.middle, self.floor = 4.0, 0.5, 0.0
 
     @classmethod
     def fit(cls, bags: list[list[bytes]], labels: np.ndarray, landmarks: int = LANDMARKS, rounds: int = ROUNDS,
@@ -190,7 +191,7 @@ class WordMachine:
         found = np.array(list(counts.values()), float)
         share = found[:, 1] / found.sum(axis=1)
         ratio = found[:, 1] * np.log(share / base) + found[:, 0] * np.log(np.maximum(1 - share, 1e-9) / (1 - base))
-        evidence = dict(zip(counts, np.where(share > base, ratio, 0.0).tolist()))
+        evidence = dict(zip(counts, np.where((share > base) & (share >= PURE), ratio, 0.0).tolist()))
         first = np.array([max((evidence[r] for r in runs(w)), default=0.0) for w in suspects])
         least = min(np.log(len(counts)), first.max())
         times: Counter = Counter()
@@ -249,20 +250,25 @@ class WordMachine:
         return np.array([values[e - len(own):e].max() if own else -9.0 for own, e in zip(cut, ends)], np.float32)
 
     def _calibrate(self, worst: np.ndarray, labels: np.ndarray) -> None:
-        """Logistic curve through the decision values of texts (Platt), the likeliest of a grid."""
-        y = (labels == 1).astype(float)
-        if not 0 < y.sum() < len(y):
+        """Logistic curve through the decision values of texts (Platt), the likeliest of a grid.
+
+        Its floor is the share of toxic labels among texts whose words do not show it, so that these do not
+        flatten the curve.
+        """
+        toxic, clean = worst[labels == 1], worst[labels == 0]
+        if not len(toxic) or not len(clean):
             return
         best = np.inf
         for middle in np.linspace(-1.5, 2.0, 71):
             for slope in (1.0, 2.0, 3.0, 5.0, 8.0, 12.0):
-                x = np.clip(slope * (worst - middle), -30, 30)
-                loss = np.log1p(np.exp(-x))[y == 1].sum() + np.log1p(np.exp(x))[y == 0].sum()
-                if loss < best:
-                    best, self.slope, self.middle = loss, slope, float(middle)
+                up, down = (1 / (1 + np.exp(-np.clip(slope * (x - middle), -30, 30))) for x in (toxic, clean))
+                for floor in (0.001, 0.02, 0.05, 0.1, 0.15):
+                    loss = -np.log(floor + (1 - floor) * up).sum() - np.log1p(1e-9 - floor - (1 - floor) * down).sum()
+                    if loss < best:
+                        best, self.slope, self.middle, self.floor = loss, slope, float(middle), floor
 
     def score(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (worst - self.middle), -30, 30)))
+        return self.floor + (1 - self.floor) / (1 + np.exp(-np.clip(self.slope * (worst - self.middle), -30, 30)))
 
 
 class WordValues(dict):
