@@ -79,3 +79,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents")
     return score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
+@query("op5_secrets")
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.credentials import find_secrets, fit_formats
+
+    docs = _table(spark, sf_dir, "documents")
+    return find_secrets(docs, fit_formats(docs)).drop("found")
