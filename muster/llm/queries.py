@@ -87,3 +87,18 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents")
     return find_secrets(docs, fit_formats(docs)).drop("found")
+
+
+@query("op7_main_text")
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.wrappers import extract_pages
+
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
+
+@query("op3_embedding_dedup")
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.vectors import link_vectors
+
+    return link_vectors(_table(spark, sf_dir, "embeddings"))
