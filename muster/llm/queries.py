@@ -102,3 +102,10 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from muster.llm.vectors import link_vectors
 
     return link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.suffixes import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"))

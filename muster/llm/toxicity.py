@@ -23,7 +23,7 @@ from muster.llm.batches import pieces
 from muster.llm.language import hash_limit, held_out
 
 DECAY, SPAN = 0.6, 6
-LANDMARKS = 256
+LANDMARKS = 160
 SAMPLE = {1: 1200, 0: 2400}  # labelled texts that training may see
 SAMPLE_WORDS = 300  # different words of each of them, by least hash
 ROUNDS, PENALTY = 3, 1e-3
@@ -80,20 +80,22 @@ def triple_codes(words: list[bytes]):
             yield np.array(chosen), (codes[:, i] * _CODES + codes[:, j]) * _CODES + codes[:, k], weights
 
 
-def _dense(words: list[bytes]) -> np.ndarray:
-    out = np.zeros((len(words), _CODES ** 3), np.float32)
+def _dense(words: list[bytes], index: np.ndarray, width: int) -> np.ndarray:
+    """Weights of the triples of words as rows; ``index`` has the column of each triple code."""
+    out = np.zeros((len(words), width), np.float32)
     for chosen, codes, weights in triple_codes(words):
-        np.add.at(out, (chosen[:, None], codes), weights[None, :])
+        np.add.at(out, (chosen[:, None], index[codes]), weights[None, :])
     return out
 
 
-def kernel(words: list[bytes], table: np.ndarray) -> np.ndarray:
-    """Sum of the rows of ``table`` (by triple code) over the weighted triples of every word."""
+def kernel(words: list[bytes], table: np.ndarray, index: np.ndarray | None = None) -> np.ndarray:
+    """Sum of the rows of ``table`` over the weighted triples of every word; rows are by code or by ``index``."""
     out = np.zeros((len(words), *table.shape[1:]), np.float32)
     for chosen, codes, weights in triple_codes(words):
         step = max(1, 2_000_000 // max(1, codes.shape[1] * int(np.prod(table.shape[1:]))))
         for at in range(0, len(chosen), step):
-            out[chosen[at:at + step]] = np.einsum("nt...,t->n...", table[codes[at:at + step]], weights)
+            own = codes[at:at + step]
+            out[chosen[at:at + step]] = np.einsum("nt...,t->n...", table[own if index is None else index[own]], weights)
     return out
 
 
@@ -111,10 +113,23 @@ def _train(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, turns: in
     return solution
 
 
-def runs(word: bytes) -> set[bytes]:
-    """Runs of four to eight codes of a word, its ends included."""
-    marked = bytes([_START]) + word + bytes([_END])
-    return {marked[i:i + n] for n in range(4, 9) for i in range(len(marked) - n + 1)}
+def run_codes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of four to eight codes of words, their ends included: the place of the word, and the run as a number."""
+    owners, codes = [], []
+    by_length: dict[int, list[int]] = {}
+    for i, w in enumerate(words):
+        by_length.setdefault(len(w), []).append(i)
+    for length, own in by_length.items():
+        raw = b"".join(bytes([_START]) + words[i] + bytes([_END]) for i in own)
+        rows = np.frombuffer(raw, np.uint8).reshape(len(own), length + 2).astype(np.int64)
+        for n in range(4, min(8, length + 2) + 1):
+            for at in range(length + 3 - n):
+                code = np.full(len(own), n, np.int64)
+                for k in range(n):
+                    code = (code << 6) | rows[:, at + k]
+                owners.append(np.array(own))
+                codes.append(code)
+    return (np.concatenate(owners), np.concatenate(codes)) if owners else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def without_copies(bags: list[list[bytes]], labels: np.ndarray) -> tuple[list[list[bytes]], np.ndarray]:
@@ -178,22 +193,29 @@ class WordMachine:
         # chance would show it for less than one run of all (likelihood ratio of two binomial shares).
         n_toxic, n_clean = int((labels == 1).sum()), int((labels == 0).sum())
         place = {w: i for i, w in enumerate(suspects)}
-        counts: dict[bytes, list[int]] = {}
+        owner, code = run_codes(suspects)
+        known_runs, of_run = np.unique(code, return_inverse=True)
+        in_toxic, in_clean = np.zeros(len(known_runs)), np.zeros(len(known_runs))
+        order = np.argsort(owner, kind="stable")
+        ends = np.searchsorted(owner[order], np.arange(len(suspects) + 1))
+        by_word = [of_run[order[ends[i]:ends[i + 1]]] for i in range(len(suspects))]
         for bag, label in zip(bags, labels):
-            if label:
-                for r in {r for w in set(bag) if w in place for r in runs(w)}:
-                    counts.setdefault(r, [0, 0])[1] += 1
-        for w, n in clean.items():
-            for r in runs(w):
-                if r in counts:
-                    counts[r][0] += n
+            own = [by_word[place[w]] for w in set(bag) if w in place] if label else []
+            if own:
+                in_toxic[np.unique(np.concatenate(own))] += 1
+        clean_words = list(clean)
+        times_clean = np.array([clean[w] for w in clean_words], float)
+        for at in range(0, len(clean_words), 20_000):
+            owner, code = run_codes(clean_words[at:at + 20_000])
+            where = np.minimum(np.searchsorted(known_runs, code), len(known_runs) - 1)
+            same = known_runs[where] == code
+            np.add.at(in_clean, where[same], times_clean[at + owner[same]])
         base = n_toxic / (n_toxic + n_clean)
-        found = np.array(list(counts.values()), float)
-        share = found[:, 1] / found.sum(axis=1)
-        ratio = found[:, 1] * np.log(share / base) + found[:, 0] * np.log(np.maximum(1 - share, 1e-9) / (1 - base))
-        evidence = dict(zip(counts, np.where((share > base) & (share >= PURE), ratio, 0.0).tolist()))
-        first = np.array([max((evidence[r] for r in runs(w)), default=0.0) for w in suspects])
-        least = min(np.log(len(counts)), first.max())
+        share = in_toxic / np.maximum(1, in_toxic + in_clean)
+        ratio = in_toxic * np.log(np.maximum(share, 1e-9) / base) + in_clean * np.log(np.maximum(1 - share, 1e-9) / (1 - base))
+        evidence = np.where((share > base) & (share >= PURE), ratio, 0.0)
+        first = np.array([evidence[own].max() if len(own) else 0.0 for own in by_word])
+        least = min(np.log(len(known_runs) + 1), first.max())
         times: Counter = Counter()
         for bag, label in zip(bags, labels):
             if label:
@@ -206,7 +228,10 @@ class WordMachine:
         known, rest = mixed[:KNOWN], mixed[KNOWN:]
         marks = [suspects[i] for i in bearers[:landmarks // 2]]
         marks += [known[i] for i in draw.permutation(len(known))[:landmarks - len(marks)]]
-        dense = _dense(marks)
+        present = np.unique(np.concatenate([np.zeros(1, np.int32), *(np.unique(c) for _, c, _ in triple_codes(marks))]))
+        index = np.zeros(_CODES ** 3, np.int32)
+        index[present] = np.arange(1, len(present) + 1)
+        dense = _dense(marks, index, len(present) + 1)
         gram = dense.astype(np.float64) @ dense.T.astype(np.float64)
         values, vectors = np.linalg.eigh(gram)
         solid = values > 1e-6 * values.max()
@@ -214,7 +239,7 @@ class WordMachine:
         table = np.ascontiguousarray(dense.T @ whiten.astype(np.float32))
 
         def features(words):
-            return np.hstack([kernel(words, table), np.ones((len(words), 1), np.float32)]).astype(np.float64)
+            return np.hstack([kernel(words, table, index), np.ones((len(words), 1), np.float32)]).astype(np.float64)
 
         clean_rows, bearer_rows = features(known), features([suspects[i] for i in bearers])
         chosen = np.ones(len(bearers), bool)
@@ -225,7 +250,7 @@ class WordMachine:
             solution = _train(rows, sign, weight)
             still = bearer_rows @ solution > 0
             # Words of clean texts that come nearest to a toxic one join the training.
-            whole = cls((table @ solution[:-1].astype(np.float32)).astype(np.float32), float(solution[-1]))
+            whole = cls((table @ solution[:-1].astype(np.float32))[index], float(solution[-1]))
             value = whole.words(rest)
             near = [rest[i] for i in np.argsort(-value)[:HARD] if value[i] > -0.5]
             if near:
@@ -234,7 +259,7 @@ class WordMachine:
                 clean_rows = np.vstack([clean_rows, features(near)])
             if still.any():
                 chosen = still
-        return cls((table @ solution[:-1].astype(np.float32)).astype(np.float32), float(solution[-1]))
+        return cls((table @ solution[:-1].astype(np.float32))[index], float(solution[-1]))
 
     def worst(self, bags: list[list[bytes]]) -> np.ndarray:
         """Decision value of the worst word of every bag."""
