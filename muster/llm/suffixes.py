@@ -265,11 +265,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, run: int = RUN, hot:
                     first, last = p["first"], p["first"] + p["starts"]
                     cuts = [(p["key"], first, last)]
                     if p["hot"]:
-                        # Cut where the distance to the anchor is a multiple, so that equal windows are cut alike.
-                        edges = sorted({first, last, *(x for x in range(p["place"], first, -FINE) if x < last)})
+                        # Cut by distance to the anchor, so that equal windows are cut alike.
+                        edges = sorted({first, last, *(x for x in range(p["place"] + 1, first, -FINE) if x < last)})
                         cuts = []
                         for s, e in zip(edges, edges[1:]):
-                            block = (p["place"] - s) // FINE * FINE if (p["place"] - s) % FINE else p["place"] - s
                             top = p["place"] - (p["place"] - e + 1) // FINE * FINE
                             core = text[top:top - FINE + 1 + length]
                             digest = hashlib.blake2b(core, digest_size=8, key=p["key"].to_bytes(8, "big", signed=True)).digest()
