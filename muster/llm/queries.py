@@ -109,3 +109,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from muster.llm.suffixes import remove_repeats
 
     return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.shingles import link_documents
+
+    return link_documents(_table(spark, sf_dir, "documents"))
