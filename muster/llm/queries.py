@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,4 +114,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from muster.llm.shingles import link_documents
 
-    return link_documents(_table(spark, sf_dir, "documents"))
+    return link_documents(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op1_surrogates")
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.surrogates import replace_entities
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, count_col="n_entities")

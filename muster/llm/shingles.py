@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,12 +163,13 @@ def link_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT,
     share: int = COMMON_SHARE, group: int = GROUP, salts: int = SALTS,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row.
+    """``doc_id, n_shingles, component_id, kept`` of every row; ``kept`` is true for one row of each component.
 
     Two texts link if their shingle sets' intersection is at least ``percent`` hundredths of their union.  Words
     are parted by ASCII white space, A-Z lowered; a text of fewer words than ``size`` is one shingle; null and empty
     texts have none and link with nothing.  ``component_id`` is the least id connected by links.  Rows without id
     take part and have the id of their component, null if none has one; repeated ids are rows of their own.
+    The row kept is that of the least id; one that links with nothing is kept.  ``digest`` tells rows' texts apart.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -175,7 +177,7 @@ def link_documents(
     common = context.broadcast(_common_tokens(rows, size, share))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, met = Shingler(size), set()
+        shingler, met, number = Shingler(size), set(), TaskContext.get().partitionId() << 40
         for batch in pieces(batches, "text"):
             sids, sizes, tokens, salted = [], [], [], []
             for text in utf8(batch, "text"):
@@ -192,10 +194,14 @@ def link_documents(
                     tokens.append(first.view(np.int64))
                     salted.append(often)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sids, pa.int64()), pa.array(sizes, pa.int32()), flat(tokens, pa.int64()), flat(salted, pa.bool_())],
-                ["doc_id", "sid", "n", "tokens", "common"])
+                [batch.column("doc_id"), pa.array(sids, pa.int64()), pa.array(sizes, pa.int32()), flat(tokens, pa.int64()), flat(salted, pa.bool_()),
+                 pa.array(range(number, number + batch.num_rows), pa.int64()), batch.column("digest")],
+                ["doc_id", "sid", "n", "tokens", "common", "row", "digest"])
+            number += batch.num_rows
 
-    signed = materialize(rows.mapInArrow(sign, f"doc_id {kind}, sid long, n int, tokens array<long>, common array<boolean>"), "signed")
+    signed = rows.withColumn("digest", F.xxhash64("text")).mapInArrow(
+        sign, f"doc_id {kind}, sid long, n int, tokens array<long>, common array<boolean>, row long, digest long")
+    signed = materialize(signed, "signed")
 
     # -- sets that share a prefix token --------------------------------------------------------
     entries = signed.filter("size(tokens) > 0").select("sid", "n", F.posexplode(F.arrays_zip("tokens", "common")).alias("pos", "t"))
@@ -361,10 +367,28 @@ def link_documents(
 
     every = links.unionByName(more)
     components = materialize(linked_components(every), "components")
-    sids = signed.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row"))
+    sids = signed.filter("sid IS NOT NULL").groupBy("sid").agg(first.alias("least"))
     sids = materialize(sids.join(components, sids["sid"] == components["node"], "left").select("sid", "least", F.coalesce("component", "sid").alias("component")), "sids")
-    named = sids.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = materialize(sids.join(named, "component").select("sid", "component_id"), "named")
-    return signed.select("doc_id", "n", "sid").join(named, "sid", "left").select(
+    named = sids.groupBy("component").agg(F.min("least").alias("first"))
+    named = materialize(sids.join(named, "component").select("sid", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first_row")), "named")
+    return signed.select("doc_id", "n", "sid", "row", "digest").join(named, "sid", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce(F.col("row") == F.col("first_row"), F.lit(True)).alias("kept"), "digest")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that ``link_documents`` keeps, with all their columns.
+
+    Rows without words are alike to nothing and stay.  Rows are told by id and text; of rows equal in both, one stays
+    unless they have no words.
+    """
+    kept = link_documents(docs, id_col, text_col, **options).groupBy("doc_id", "digest").agg(
+        F.count(F.lit(1)).alias("_rows"), F.bool_or("kept").alias("_kept"), F.max("n_shingles").alias("_size"))
+    kept = materialize(kept.filter("_kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), ((F.col("_rows") > 1) & (F.col("_size") > 0)).alias("_several")), "kept")
+    rows = docs.withColumn("_digest0", F.xxhash64(text_col))
+    joined = rows.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest0") == F.col("_digest")))
+    single = joined.filter("NOT _several").select(*docs.columns)
+    several = joined.filter("_several").dropDuplicates(["_id", "_digest"]).select(*docs.columns)
+    return single.unionByName(several)
