@@ -178,7 +178,7 @@ def tree(page: str) -> Node:
             nodes[-2].children.append(nodes[-1])
         open_path = path
         nodes[-1].children.append(Node("#text", text))
-        if path and path[-1].split(".")[0] in PROSE:  # the next paragraph is an element of its own
+        if path and path[-1].split(".")[0] in PROSE | {"li"}:  # the next paragraph is an element of its own
             nodes.pop()
             open_path = path[:-1]
     return root
@@ -214,7 +214,7 @@ def _key(path: tuple[str, ...], text: str) -> int:
 
 
 def induce(pages: list[str], least: int = LEAST_PAGES) -> list[int]:
-    """Keys of the constant blocks of pages: same place, same text, on every different page that has the place."""
+    """Keys of the constant blocks of pages: same place, same text, on the different pages that have the place, three quarters at least."""
     different = {tuple(t for _, t, dull, _ in blocks(p) if not dull): p for p in pages}
     trees = [tree(p) for _, p in sorted(different.items())]
     if len(trees) < least:
@@ -233,7 +233,7 @@ def induce(pages: list[str], least: int = LEAST_PAGES) -> list[int]:
         for child in node.children:
             if child.text is None:
                 waiting.append(((*path, child.name), child))
-            elif len(met.get(id(child), [])) == len(rest) and all(t == child.text for t in met[id(child)]):
+            elif len(own := met.get(id(child), [])) >= max(least - 1, 0.75 * len(rest)) and all(t == child.text for t in own):
                 template.append(_key(path, child.text))
     return sorted(set(template))
 
