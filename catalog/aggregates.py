@@ -84,6 +84,7 @@ merged AS (
          arg_min(entity_type, o) FILTER (entity_type IS NOT NULL) AS entity_type,
          arg_min(industry, o) FILTER (industry IS NOT NULL) AS industry,
          arg_min(website, o) FILTER (website IS NOT NULL) AS website,
+         arg_min(employees, o) FILTER (employees IS NOT NULL) AS employees,
          bool_or(rank = 0) AS source_form_d, bool_or(rank = 1) AS source_sbir,
          bool_or(rank = 2) AS source_nih,
          CAST(coalesce(sum(form_d_filings), 0) AS BIGINT) AS form_d_filings,
@@ -106,7 +107,7 @@ def roster_merge(spark, sf):
         "sbir_total_usd": F.round("sbir_total_usd", 2), "nih_total_usd": F.round("nih_total_usd", 2),
         **{c: F.coalesce(F.col(c), F.lit(False)) for c in ("source_form_d", "source_sbir", "source_nih")},
     })
-    return merged.drop("ord", "employees")
+    return merged.drop("ord")
 
 
 @query("cluster_collapse", """

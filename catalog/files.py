@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog import query
@@ -11,12 +12,12 @@ from catalog.tables import award_rows, customers, filing_rows, grant_rows, suppl
 from muster.functions.exprs import money
 from muster.operators import columns, joins, rollup, sinks
 from muster.plans import layers
-from muster.session import shared_folder
+from muster.session import session_folder
 from muster.sources import config, files
 
 
 def landing(spark, label: str) -> str:
-    return f"{shared_folder(spark)}/landing-{label}-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/landing-{label}-{uuid.uuid4().hex}"
 
 
 def write_lines(df, header: str, path: str) -> None:
@@ -66,7 +67,7 @@ def csv_roundtrip(spark, sf):
         F.when(key % 3 == 0, True).alias("source_tto"), F.col("c_acctbal").alias("sbir_total_usd"),
         F.col("area_zip").alias("zip"),
     ), path)
-    return files.read_roster(spark, path, _ROSTER_TYPES)
+    return files.read_roster(spark, path, _ROSTER_TYPES, multi_line=True)
 
 
 @query("partitioned_sink", with_base(select="SELECT area AS msa, c_custkey, c_name FROM customers"))
@@ -78,14 +79,17 @@ def partitioned_sink(spark, sf):
 
 
 @query("tsv_scan", """
-SELECT CAST(o_orderkey AS VARCHAR) AS "ORDER", 'Société ' || o_custkey AS "NAME",
+SELECT CAST(o_orderkey AS VARCHAR) AS "ORDER", 'Société "' || o_custkey || '"' || chr(9) || 'x' AS "NAME",
        CASE WHEN o_orderkey % 5 <> 1 THEN o_orderstatus END AS "STATUS"
 FROM orders WHERE o_orderkey % 5 <> 0""")
 def tsv_scan(spark, sf):
-    """A fifth of the lines has a field too many and is dropped, a fifth one too few and is kept."""
+    """A fifth of the lines has a field too many and is dropped, a fifth one too few and is kept.
+
+    Names are quoted, with quotes and a tab inside.
+    """
     path = landing(spark, "tsv")
     key = F.col("o_orderkey")
-    fields = [key.cast("string"), F.concat(F.lit("Société "), F.col("o_custkey").cast("string"))]
+    fields = [key.cast("string"), F.concat(F.lit('"Société ""'), F.col("o_custkey").cast("string"), F.lit('""\tx"'))]
     line = (
         F.when(key % 5 == 0, F.concat_ws("\t", *fields, "o_orderstatus", F.lit("extra")))
         .when(key % 5 == 1, F.concat_ws("\t", *fields))
@@ -98,11 +102,14 @@ def tsv_scan(spark, sf):
 @query("csv_scan", with_base(select="""
 SELECT name AS "Company", CAST(contract AS VARCHAR) AS "Contract", round(amount, 2) AS amount FROM awards"""))
 def csv_scan(spark, sf):
-    """Quoted amounts with commas, and firm names with quotes and line breaks."""
+    """Quoted amounts with commas, firm names with quotes and line breaks, columns in two orders."""
     path = landing(spark, "bulk")
     awards = award_rows(spark, sf).select("Company", "Contract", "Award Amount")
-    sinks.write_csv(awards.withColumn("Company", F.concat("Company", F.lit(' "Q",\nx'))), path)
-    back = files.read_bulk_csv(spark, path)
+    awards = awards.withColumn("Company", F.concat("Company", F.lit(' "Q",\nx')))
+    even = F.col("Contract").cast("bigint") % 2 == 0
+    sinks.write_csv(awards.filter(even), f"{path}/one")
+    sinks.write_csv(awards.filter(~even).select("Award Amount", "Contract", "Company"), f"{path}/other")
+    back = files.read_bulk_csv(spark, path, multi_line=True)
     return back.select(
         F.replace("Company", F.lit(' "Q",\nx'), F.lit("")).alias("Company"), "Contract",
         F.round(money(F.col("Award Amount")), 2).alias("amount"),
@@ -166,17 +173,23 @@ def ticker_map(spark, sf):
 
 
 @query("backfill_log", """
-SELECT s_name AS name, CASE s_suppkey % 3 WHEN 0 THEN 'city' ELSE 'zip' END AS field, CAST(s_suppkey AS VARCHAR) AS value
+SELECT s_name AS name, CASE s_suppkey % 3 WHEN 0 THEN 'city' ELSE 'zip' END AS field, CAST(s_suppkey AS VARCHAR) AS value,
+       row_number() OVER (ORDER BY s_suppkey) AS ord
 FROM supplier WHERE s_suppkey % 3 <> 2""")
 def backfill_log(spark, sf):
     path = landing(spark, "log")
     key = F.col("s_suppkey")
-    sinks.write_csv(table(spark, sf, "supplier").select(
-        F.col("s_name").alias("name"),
+    # Two files of the log, the larger one later, and each in order.
+    rows = table(spark, sf, "supplier").repartitionByRange(1, "s_suppkey").sortWithinPartitions("s_suppkey")
+    logged = rows.select(
+        key.alias("key"), F.col("s_name").alias("name"),
         F.when(key % 3 == 0, "city").when(key % 3 == 1, "zip").otherwise("skipped").alias("field"),
         key.cast("string").alias("value"), F.lit("a, b").alias("notes"),
-    ), path)
-    return config.read_backfill_log(spark, path).select("name", "field", "value")
+    )
+    sinks.write_csv(logged.filter("key <= 20").drop("key"), f"{path}/log-1")
+    sinks.write_csv(logged.filter("key > 20").drop("key"), f"{path}/log-2")
+    log = config.read_backfill_log(spark, [f"{path}/log-1", f"{path}/log-2"])
+    return log.select("name", "field", "value", F.row_number().over(Window.orderBy("ord")).cast("bigint").alias("ord"))
 
 
 _TABLES = {
@@ -186,6 +199,24 @@ _TABLES = {
 }
 
 
+_OLD_NAMES = {"ISSUER_CITY": "CITY", "ISSUER_STATEORCOUNTRY": "STATEORCOUNTRY"}
+_TABLES_RENAMED = {
+    "issuers": ["CIK", "ACCESSIONNUMBER", "ENTITYNAME", "ISSUER_STATEORCOUNTRY", "ISSUER_CITY", "ZIPCODE", "ENTITYTYPE"],
+    "offerings": ["INDUSTRYGROUPTYPE", "ENTITYTYPE", "ACCESSIONNUMBER"],
+    "submissions": ["FILING_DATE", "ACCESSIONNUMBER"],
+}
+_FILE_NAMES = {"issuers": "ISSUERS", "offerings": "Offering", "submissions": "formdsubmission"}
+
+
+def merge_files(spark, source: str, prefix: str) -> None:
+    """Move the files of a folder to names that start with a prefix."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(prefix).getParent())
+    for i, status in enumerate(system.globStatus(path(f"{source}/part-*"))):
+        system.rename(status.getPath(), path(f"{prefix}_{i}.tsv"))
+
+
 @query("load_filings", with_base(select="""
 SELECT ord AS accession, name, msa, industry, strftime(o_orderdate, '%Y-%m-%d') AS filed,
        entity_type AS other_type
@@ -209,6 +240,31 @@ def load_filings(spark, sf):
     )
 
 
+@query("quarter_filings", with_base(select="""
+SELECT q.quarter AS _quarter, ord AS accession, name, msa, strftime(o_orderdate, '%Y-%m-%d') AS filed,
+       CASE WHEN q.quarter = '2020q1' THEN entity_type ELSE 'Other' END AS other_type
+FROM scoped_filings, (VALUES ('2020q1'), ('2020q2')) q(quarter)"""))
+def quarter_filings(spark, sf):
+    """Quarters with the same numbers, in two header layouts, and one that lacks a table."""
+    from catalog.tables import city_allowlist
+
+    root = landing(spark, "quarters")
+    rows = filing_rows(spark, sf)
+    for quarter, layout in (("2020q1", _TABLES), ("2020q2", _TABLES_RENAMED), ("2020q3", _TABLES)):
+        for name, fields in layout.items():
+            if (quarter, name) == ("2020q3", "offerings"):
+                continue
+            shaped = rows if quarter == "2020q1" or name != "offerings" else rows.withColumn("ENTITYTYPE", F.lit("Other"))
+            named = [F.col(_OLD_NAMES.get(f, f)) for f in fields]
+            write_lines(shaped.select(F.concat_ws("\t", *named).alias("line")), "\t".join(fields), f"{root}/parts/{quarter}/{name}")
+            merge_files(spark, f"{root}/parts/{quarter}/{name}", f"{root}/{quarter}/{_FILE_NAMES[name]}")
+    scoped = layers.load_filings(spark, f"{root}/20*", config.city_dimension(city_allowlist(spark, sf)))
+    return scoped.select(
+        "_quarter", F.col("ACCESSIONNUMBER").cast("bigint").alias("accession"), F.col("ENTITYNAME").alias("name"),
+        F.col("_msa").alias("msa"), F.col("FILING_DATE").alias("filed"), F.col("ENTITYTYPE_o").alias("other_type"),
+    )
+
+
 @query("scope_awards", with_base(select="""
 SELECT CAST(contract AS VARCHAR) AS "Contract", name AS "Company", msa, state AS _state_norm FROM awards"""))
 def scope_awards(spark, sf):

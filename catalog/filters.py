@@ -339,4 +339,7 @@ def award_scope(spark, sf):
 
 @query("area_lookup", with_base(select="SELECT n_nationkey, area, area_state FROM areas"))
 def area_lookup(spark, sf):
-    return areas(spark, sf).select("n_nationkey", "area", "area_state")
+    """Nations scoped by the city allowlist, in which each of them is a city."""
+    keyed = areas(spark, sf).select("n_nationkey", F.lower("n_name").alias("_city_norm"), F.col("area_state").alias("_state_norm"))
+    scoped = joins.scope(keyed, city_dimension(city_allowlist(spark, sf)), CITY_STATE)
+    return scoped.select("n_nationkey", F.col("_msa").alias("area"), F.col("_state_norm").alias("area_state"))

@@ -34,7 +34,7 @@ def roster_parts(spark, sf):
     }
 
 
-_INTERIM_COLUMNS = [c for c in defaults.INTERIM_FRONT if c not in ("tier", "employees")]
+_INTERIM_COLUMNS = [c for c in defaults.INTERIM_FRONT if c != "tier"]
 
 
 @query("interim_roster", with_base(MERGED_SQL, select=f"""

@@ -90,7 +90,7 @@ _SUBCATEGORY_SQL = " ".join(
 @query("classify_subcategory", f"""
 WITH told AS (
   SELECT doc_id, lower(text || ' ' || coalesce(industry, 'nan') || ' ') AS blob, lower(industry) AS industry
-  FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN left(source, 1) ELSE text END AS text,
+  FROM (SELECT doc_id, text,
                (['Pharmaceuticals', 'Biotechnology', 'Other Health Care'])[doc_id % 4 + 1] AS industry
         FROM documents)
 )
@@ -103,7 +103,7 @@ def classify_subcategory(spark, sf):
     kinds = F.array(*[F.lit(i) for i in ("Pharmaceuticals", "Biotechnology", "Other Health Care")])
     told = table(spark, sf, "documents").select(
         "doc_id",
-        F.when(key % 5 == 0, F.left("source", F.lit(1))).otherwise(F.col("text")).alias("text"),
+        "text",
         F.get(kinds, (key % 4).cast("int")).alias("industry"),
     )
     read = told.withColumn("blob", text_blob(F.col("text"), F.col("industry"), F.lit("")))

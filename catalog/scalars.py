@@ -158,18 +158,18 @@ def block_token(spark, sf):
 
 @query("sim_threshold", f"""
 WITH counted AS (
-  SELECT doc_id, len(string_split({sql_norm("split_part(text, '.', 1)")}, ' ')) AS a,
+  SELECT doc_id, len(string_split({sql_norm("text")}, ' ')) AS a,
          len(string_split({sql_norm('source')}, ' ')) AS b
   FROM documents
 )
 SELECT doc_id, CASE WHEN greatest(a, b) <= 2 THEN 0.95 ELSE 0.92 END::DOUBLE AS threshold
 FROM counted""")
 def sim_threshold(spark, sf):
-    first = names.normalize_name(F.split_part("text", F.lit("."), F.lit(1)))
+    whole = names.normalize_name(F.col("text"))
     source = names.normalize_name(F.col("source"))
     return table(spark, sf, "documents").select(
         "doc_id",
-        names.similarity_threshold(names.token_count(first), names.token_count(source)).alias("threshold"),
+        names.similarity_threshold(names.token_count(whole), names.token_count(source)).alias("threshold"),
     )
 
 

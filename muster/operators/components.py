@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from muster.operators.joins import HOT_ROWS, join_counted
@@ -60,6 +60,14 @@ def _small_star(edges: DataFrame, hot_rows: int | None) -> DataFrame:
     )
 
 
+def _written(edges: DataFrame) -> tuple[DataFrame, int, int]:
+    """The edges written once, and how many there are and have moved, counted as they are written."""
+    seen = Observation()
+    counted = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("moved").alias("moved"))
+    table = materialize(counted, "edges")
+    return table, seen.get["n"], seen.get["moved"]
+
+
 def linked_components(
     edges: DataFrame, max_rounds: int = MAX_ROUNDS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -69,17 +77,16 @@ def linked_components(
     decide whether another one is needed.  A hub with very many neighbours is only ever aggregated
     with partial results and joined to one row without a shuffle.
     """
-    current = materialize(_canonical(edges), "edges")
-    size = current.count()
+    current, size, _ = _written(_canonical(edges))
     if size == 0:
         return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     # No round has more edges than the first, so fewer edges than that leave no node hot.
     hot = hot_rows if size >= hot_rows else None
     for _ in range(max_rounds):
-        following = materialize(_small_star(_large_star(current, hot), hot), "edges")
+        following, _, moved = _written(_small_star(_large_star(current, hot), hot))
         discard(current)
         current = following
-        if current.filter("moved").isEmpty():
+        if not moved:
             roots = current.select(F.col("b").alias("node"), F.col("b").alias("component"))
             return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 roots.distinct()

@@ -85,7 +85,7 @@ def fill_years(
         found.append(("cik", F.col("_year_cik")))
     if by_url is not None and website in df.columns:
         table = by_url.groupBy(F.col("key").alias("_url")).agg(
-            F.min(F.col("year").cast("int")).alias("_year_url")
+            F.min(valid_year(F.left(F.col("year").cast("string"), F.lit(4)))).alias("_year_url")
         )
         key = normalize_url(F.col(website))
         out = lookup(out.withColumn("_url", key), table, "_url").drop("_url")

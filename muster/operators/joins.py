@@ -1,9 +1,10 @@
 """Joins with dimensions, lists, and tables of one row per key.
 
-A dimension of known small size is broadcast by Catalyst.  Beyond that, hot keys are taken out of the
-shuffle: AQE cannot split them where a side is aggregated by the key.  A key is hot from ``HOT_ROWS``
-rows on, so there is at most one per that many rows, and the few rows of the other side that belong
-to hot keys are a bounded table, safe to broadcast.
+A dimension of known small size is broadcast by Catalyst.  Any other is written first: then its real
+size decides, and as it is no longer aggregated by the key within the join's own plan, AQE can split the
+hot keys of the other side.  Joins with a count per key take hot keys out of the shuffle themselves.  A
+key is hot from ``HOT_ROWS`` rows on, so there is at most one per that many rows, and the few rows of the
+other side that belong to hot keys are a bounded table, safe to broadcast.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from muster.functions.names import cik_text, resolve_name
 from muster.operators.columns import suffix_collisions
+from muster.session import materialize
 
 
 HOT_ROWS = 1_000_000
@@ -42,41 +44,44 @@ def join_counted(
     return spread.unionByName(rest)
 
 
-def lookup(
-    rows: DataFrame, dim: DataFrame, key: str, how: str = "left", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Left or left-anti join with a dimension of one row per key; rows without a key are kept."""
-    if fits_broadcast(dim):
-        return rows.join(dim, key, how)
-    known = rows.filter(F.col(key).isNotNull())
-    hot = known.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = F.broadcast(hot.filter(F.col("_rows") >= hot_rows).select(key))
-    hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
-    spread = known.join(hot, key, "left_semi").join(hot_dim, key, how)
-    rest = known.join(hot, key, "left_anti").join(dim, key, how)
-    unknown = rows.filter(F.col(key).isNull())
-    return spread.unionByName(rest).unionByName(unknown, allowMissingColumns=True)
+def settled(dim: DataFrame) -> DataFrame:
+    """The dimension itself if it is small enough to broadcast, else written and read back."""
+    return dim if fits_broadcast(dim) else materialize(dim, "dimension")
+
+
+def lookup(rows: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Left or left-anti join with a dimension of one row per key; rows without a key are kept.
+
+    The input is read once, whatever the dimension's size.
+    """
+    return rows.join(settled(dim), key, how)
 
 
 def scope(df: DataFrame, dim: DataFrame, on: Sequence[str], keep: Column | None = None) -> DataFrame:
     """Rows whose key is in the dimension, with the dimension's columns."""
     rows = df if keep is None else df.filter(keep)
-    return rows.join(dim, list(on), "inner")
+    return rows.join(settled(dim), list(on), "inner")
 
 
 def join_filing_tables(
-    issuers: DataFrame, offerings: DataFrame, submissions: DataFrame, on: str = "ACCESSIONNUMBER"
+    issuers: DataFrame, offerings: DataFrame, submissions: DataFrame,
+    on: Sequence[str] = ("ACCESSIONNUMBER",),
 ) -> DataFrame:
     """Issuers with their offering and filing date; one row per combination, issuers kept whole."""
-    dated = [c for c in (on, "FILING_DATE") if c in submissions.columns]
-    return issuers.join(suffix_collisions(issuers, offerings, [on], "_o"), on, "left").join(
+    on = list(on)
+    dated = [*on, *(c for c in ("FILING_DATE",) if c in submissions.columns)]
+    return issuers.join(suffix_collisions(issuers, offerings, on, "_o"), on, "left").join(
         submissions.select(*dated), on, "left"
     )
 
 
 def with_ticker(df: DataFrame, tickers: DataFrame, cik: str = "cik") -> DataFrame:
-    """Look the registry number up among listed companies (columns ``cik``, ``ticker``)."""
-    listed = tickers.select(F.col("cik").alias("_cik"), "ticker")
+    """Look the registry number up among listed companies (columns ``cik``, ``ticker``).
+
+    Of several tickers of a number the last by ``ord`` counts, the greatest where there is no order.
+    """
+    last = F.max_by("ticker", "ord") if "ord" in tickers.columns else F.max("ticker")
+    listed = tickers.groupBy(F.col("cik").alias("_cik")).agg(last.alias("ticker"))
     return lookup(df.withColumn("_cik", cik_text(F.col(cik))), listed, "_cik").drop("_cik")
 
 

@@ -98,7 +98,7 @@ def _signature(norm: Column, groups: Sequence[str]) -> list[Column]:
     rest = size
     for c in counted:
         rest = rest - c
-    return [c.cast("smallint") for c in [*counted, rest]]
+    return [c.cast("int") for c in [*counted, rest]]
 
 
 def _best_jaro(shared: Column, len_a: Column, len_b: Column) -> Column:

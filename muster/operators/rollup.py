@@ -50,9 +50,10 @@ def canonical_agg(
 
 def _rollup(
     rows: DataFrame, keys: Mapping[str, Column], firsts: Mapping[str, Column], order: Column,
-    amount: Column | None = None, low_high: Column | None = None,
+    amount: Column | None = None, low_high: Column | None = None, distinct: Column | None = None,
 ) -> DataFrame:
-    """One row per key with the first known values, ``rows``, and sum and range where asked for.
+    """One row per key with the first known values, ``rows``, and sum, range and number of different
+    values where asked for, from one reading of the rows.
 
     The rows of a key mostly repeat its values.  They are therefore first reduced to their different
     value combinations by hash aggregation, before anything is shuffled; only these few are put in
@@ -61,6 +62,7 @@ def _rollup(
     groups = [c.alias(f"_k_{n}") for n, c in keys.items()]
     values = [c.alias(f"_v_{n}") for n, c in firsts.items()]
     extra = [] if low_high is None else [low_high.alias("_range")]
+    extra += [] if distinct is None else [distinct.alias("_id")]
     totals = [] if amount is None else [F.sum(amount).alias("_sum")]
     combinations = rows.groupBy(*groups, *values, *extra).agg(
         F.min(order).alias("_ord"), F.count(F.lit(1)).alias("_rows"), *totals
@@ -71,21 +73,11 @@ def _rollup(
         aggregates.append(F.coalesce(F.sum("_sum"), F.lit(0.0)).alias("amount"))
     if low_high is not None:
         aggregates += [F.min("_range").alias("low"), F.max("_range").alias("high")]
+    if distinct is not None:
+        aggregates.append(F.count_distinct("_id").alias("different"))
     return combinations.groupBy(*[F.col(f"_k_{n}").alias(n) for n in keys]).agg(*aggregates)
 
 
-def _with_distinct(
-    rolled: DataFrame, rows: DataFrame, keys: Mapping[str, Column], counted: Column, name: str
-) -> DataFrame:
-    """Add the number of different values per key, counted apart from the wide columns."""
-    groups = [c.alias(f"_k_{n}") for n, c in keys.items()]
-    counts = rows.groupBy(*groups).agg(F.countDistinct(counted).alias(name))
-    same = F.lit(True)
-    for n in keys:
-        same = same & F.col(n).eqNullSafe(F.col(f"_k_{n}"))
-    return rolled.join(counts, same).drop(*[f"_k_{n}" for n in keys])
-
-
 def rollup_filings(filings: DataFrame, ord_col: str = "ord") -> DataFrame:
     """Filings to one row per area and filer name; rows without an area or name form groups too."""
     keys = {"msa": F.col("_msa"), "name": F.col("ENTITYNAME")}
@@ -95,10 +87,10 @@ def rollup_filings(filings: DataFrame, ord_col: str = "ord") -> DataFrame:
         "industry": "_industry_norm",
     }
     columns = {n: F.col(c) for n, c in firsts.items()}
-    rolled = _rollup(filings, keys, columns, F.col(ord_col)).drop("rows")
-    return _with_distinct(
-        rolled, filings, keys, F.col("ACCESSIONNUMBER"), "form_d_filings"
-    ).withColumn("source_form_d", F.lit(True))
+    rolled = _rollup(
+        filings, keys, columns, F.col(ord_col), distinct=F.col("ACCESSIONNUMBER")
+    ).drop("rows")
+    return rolled.withColumnRenamed("different", "form_d_filings").withColumn("source_form_d", F.lit(True))
 
 
 def rollup_awards(awards: DataFrame, ord_col: str = "ord") -> DataFrame:
@@ -110,13 +102,13 @@ def rollup_awards(awards: DataFrame, ord_col: str = "ord") -> DataFrame:
     }
     columns = {n: F.col(c) for n, c in firsts.items()}
     amount = money(F.col("Award Amount")) if "Award Amount" in awards.columns else F.lit(0.0)
-    rolled = _rollup(awards, keys, columns, F.col(ord_col), amount, F.col("Award Year"))
-    renamed = rolled.drop("rows").withColumnsRenamed(
-        {"amount": "sbir_total_usd", "low": "sbir_first_year", "high": "sbir_last_year"}
-    )
-    return _with_distinct(renamed, awards, keys, F.col("Contract"), "sbir_awards").withColumn(
-        "source_sbir", F.lit(True)
+    rolled = _rollup(
+        awards, keys, columns, F.col(ord_col), amount, F.col("Award Year"), F.col("Contract")
     )
+    return rolled.drop("rows").withColumnsRenamed({
+        "amount": "sbir_total_usd", "low": "sbir_first_year", "high": "sbir_last_year",
+        "different": "sbir_awards",
+    }).withColumn("source_sbir", F.lit(True))
 
 
 def rollup_grants(grants: DataFrame, ord_col: str = "ord") -> DataFrame | None:

@@ -18,7 +18,7 @@ from muster.operators.columns import (
 )
 from muster.operators.enrich import portfolio_rows
 from muster.operators.joins import join_filing_tables, scope
-from muster.sources.files import read_table_files
+from muster.sources.files import listed_quarters, read_table_files
 
 CITY_STATE = ["_city_norm", "_state_norm"]
 
@@ -52,7 +52,7 @@ def scope_filings(
 def read_filings(spark: SparkSession, root: str) -> DataFrame:
     """Joined filing tables of all quarters below ``root``, from three reads for all quarters.
 
-    A quarter that lacks one of its tables is left out.  Issuers have their quarter and accession
+    Tables are joined within a quarter; one that lacks a table is left out.  Issuers have their quarter and accession
     number as order.
     """
     issuers, offerings, submissions = (
@@ -61,16 +61,14 @@ def read_filings(spark: SparkSession, root: str) -> DataFrame:
     )
     if issuers is None or offerings is None or submissions is None:
         raise FileNotFoundError(f"filing tables missing below {root}")
-    complete = (
-        offerings.select("_quarter").distinct()
-        .join(submissions.select("_quarter").distinct(), "_quarter", "left_semi")
+    # A quarter is complete by its files, so no table has to be read to tell.
+    complete = sorted(set.intersection(*(
+        listed_quarters(spark, root, prefix) for prefix in ("ISSUERS", "OFFERING", "FORMDSUBMISSION")
+    )))
+    return join_filing_tables(
+        issuers.filter(F.col("_quarter").isin(*complete)), offerings, submissions,
+        ["_quarter", "ACCESSIONNUMBER"],
     )
-    joined = join_filing_tables(
-        issuers.join(complete, "_quarter", "left_semi"),
-        offerings.withColumnRenamed("_quarter", "_quarter_offering"),
-        submissions,
-    )
-    return joined.drop("_quarter_offering")
 
 
 def load_filings(

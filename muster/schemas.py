@@ -2,15 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def text_schema(*names: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
 
 SUM_COLUMNS = ["form_d_filings", "sbir_awards", "sbir_total_usd", "nih_grants", "nih_total_usd"]
-FLAG_COLUMNS = ["source_form_d", "source_sbir", "source_nih", "source_tto"]
 ID_COLUMNS = ["cik", "uei", "duns"]
 
 ROSTER_TYPES = {
@@ -27,8 +20,6 @@ ROSTER_TYPES = {
 
 PORTFOLIO_COLUMNS = ["name", "msa", "source", "tagline", "location", "url"]
 CITY_DIM_COLUMNS = ["msa", "city_normalized", "state", "zip_count"]
-ZIP_DIM_COLUMNS = ["msa", "zip", "county_fips", "state", "res_ratio"]
-BACKFILL_COLUMNS = ["name", "field", "value", "source_url", "confidence", "notes"]
 
 MSA_CONFIG_TYPE = (
     "struct<msas:map<string,struct<cbsa_code:string,name:string,state_codes:array<string>,"
@@ -39,4 +30,3 @@ MSA_CONFIG_TYPE = (
 EXCLUSIONS_TYPE = "struct<excluded_names:array<string>>"
 MERGES_TYPE = "struct<merges:array<struct<msa:string,names:array<string>,reason:string>>>"
 TICKERS_TYPE = "map<string,struct<cik_str:bigint,ticker:string,title:string>>"
-CROSSWALK_TYPE = "struct<geoid:string,county:string,city:string,state:string,res_ratio:double>"

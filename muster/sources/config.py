@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from muster import schemas
@@ -33,14 +35,20 @@ def cities_by_state(allowlist: DataFrame) -> DataFrame:
     return grouped_values(allowlist, ["msa", "state"], "city_normalized", "cities")
 
 
+ALLOWLIST_WIDTH = 16  # columns an allowlist may have
+
+
 def read_city_allowlist(spark: SparkSession, path: str) -> DataFrame:
     """City allowlist CSV with the line order in ``ord``.
 
     The list is a few thousand short lines, read as one document so that it has an order.
     """
     lines = F.split("value", r"\r?\n")
-    names = F.split(F.get(lines, F.lit(0)), ",")
-    parts = F.split("line", ",")
+    cells = ", ".join(f"c{i} string" for i in range(ALLOWLIST_WIDTH))
+    fields = lambda line: F.array(*[
+        F.from_csv(line, cells, {"quote": '"', "escape": '"'})[f"c{i}"] for i in range(ALLOWLIST_WIDTH)
+    ])
+    names, parts = fields(F.get(lines, F.lit(0))), fields(F.col("line"))
     cell = lambda c: F.get(parts, (F.array_position("names", c) - 1).cast("int"))
     return (
         spark.read.text(path, wholetext=True)
@@ -93,7 +101,13 @@ def backfill_entries(log: DataFrame) -> DataFrame:
     return log.filter(field.isNotNull() & ~field.isin(*BACKFILL_SKIPPED_FIELDS))
 
 
-def read_backfill_log(spark: SparkSession, path: str) -> DataFrame:
-    """Backfill CSV; ``ord`` keeps the log order, as quoted multi-line text is never split."""
+def read_backfill_log(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Backfill CSV; ``ord`` numbers the rows by file name and then as they stand in the file.
+
+    Logs are kept by hand, hence small; quoted multi-line text is never split, so a file is one task.
+    """
     log = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(path)
-    return backfill_entries(log.withColumn("ord", F.monotonically_increasing_id()))
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    placed = log.select("*", place.alias("_place"))
+    order = F.row_number().over(Window.orderBy("_place")).cast("bigint")
+    return backfill_entries(placed.withColumn("ord", order).drop("_place"))

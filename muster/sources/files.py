@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,29 +30,64 @@ def _without_long_lines(rows: DataFrame, names: Sequence[str], fields: Column) -
     return rows.filter((F.col(_RAW).isNull() | (fields <= len(names))) & some_field)
 
 
+def _field_count(separator: str) -> Column:
+    """Fields of a line; separators within quotes part nothing."""
+    bare = F.regexp_replace(_RAW, r'"(?:[^"]|"")*"', "")
+    return F.size(F.split(bare, separator))
+
+
 def read_tsv(
     spark: SparkSession, path: str | Sequence[str], header: Sequence[str] | None = None, **options
 ) -> DataFrame:
     """Tab-separated text, Latin-1, all columns text, file names in ``_file``.
 
     Lines with more fields than the header are dropped, lines with fewer are padded with nulls.
+    Quoted fields lose their quotes, doubled ones become single; ``multiLine=True`` lets them span lines.
     All files of one call must share one header line, which is taken from them unless given.
     """
-    reader = spark.read.options(sep="\t", encoding="ISO-8859-1", header=True, **options)
+    reader = spark.read.options(
+        sep="\t", quote='"', escape='"', encoding="ISO-8859-1", header=True, **options
+    )
     names = list(header) if header else reader.option("inferSchema", False).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
     rows = (
         reader.schema(schema)
         .options(
             mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, columnPruning=False,
-            enforceSchema=header is None,
+            enforceSchema=False,
         )
         .csv(path)
     )
-    kept = _without_long_lines(rows, names, F.size(F.split(_RAW, "\t")))
+    kept = _without_long_lines(rows, names, _field_count("\t"))
     return kept.select(*[quoted(n) for n in names], F.col("_metadata.file_path").alias("_file"))
 
 
+def _listing(spark: SparkSession, path: str | Sequence[str], prefix: str | None = None) -> DataFrame:
+    """Column ``path`` of the files below a path, of those whose name starts with a prefix in any case."""
+    reader = spark.read.format("binaryFile").options(recursiveFileLookup=True)
+    if prefix is not None:
+        reader = reader.option("pathGlobFilter", _glob_any_case(prefix))
+    return reader.load(path).select("path")
+
+
+_QUARTER = r"(?i)(\d{4}q[1-4])[^/]*/"
+
+
+def listed_quarters(spark: SparkSession, root: str, prefix: str) -> set[str]:
+    """Quarters that have a file of this name."""
+    quarter = F.lower(F.regexp_extract("path", _QUARTER, 1)).alias("quarter")
+    return {r.quarter for r in _listing(spark, root, prefix).select(quarter).distinct().collect()}
+
+
+def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their header line.  Only first lines are read, many files at a time."""
+    layouts: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(32) as pool:
+        for path, line in zip(paths, pool.map(lambda p: _first_line(spark, p), paths)):
+            layouts.setdefault(line.rstrip("\r"), []).append(path)
+    return layouts
+
+
 def _first_line(spark: SparkSession, path: str) -> str:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -70,19 +106,11 @@ def read_table_files(spark: SparkSession, root: str, prefix: str) -> DataFrame |
     names come out in upper case, and ``_quarter`` is the ``2020q1`` part of the path.  None when
     there are no such files.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, pathGlobFilter=_glob_any_case(prefix))
-        .load(root)
-        .select("path")
-    )
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in listing.collect():
-        header = tuple(_first_line(spark, row.path).rstrip("\r").split("\t"))
-        layouts.setdefault(header, []).append(row.path)
-    quarter = F.lower(F.regexp_extract("_file", r"(?i)(\d{4}q[1-4])[^/]*/", 1)).alias("_quarter")
+    listing = sorted(row.path for row in _listing(spark, root, prefix).collect())
+    quarter = F.lower(F.regexp_extract("_file", _QUARTER, 1)).alias("_quarter")
     table = None
-    for header, paths in sorted(layouts.items()):
+    for line, paths in sorted(_by_header(spark, listing).items()):
+        header = [c.strip('"') for c in line.split("\t")]
         rows = read_tsv(spark, paths, header).select(
             *[quoted(c).alias(c.upper()) for c in header], quarter
         )
@@ -90,23 +118,29 @@ def read_table_files(spark: SparkSession, root: str, prefix: str) -> DataFrame |
     return table
 
 
-def read_bulk_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Quoted CSV with line breaks inside fields, all text, columns found by the header.
+def _csv_layouts(spark: SparkSession, path: str, **options) -> list[tuple[DataFrameReader, list[str]]]:
+    """A reader and its files for each header line below a path, so that columns are found by name."""
+    listing = sorted(row.path for row in _listing(spark, path).collect())
+    reader = lambda: spark.read.options(header=True, quote='"', escape='"', **options)
+    return [(reader(), paths) for _, paths in sorted(_by_header(spark, listing).items())]
+
+
+def read_bulk_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Quoted CSV, all text, columns found by the header of each file.
 
-    Lines with too many fields are dropped.  Bytes that are no UTF-8 become replacement characters.
+    Lines with too many fields are dropped.  Bytes that are no UTF-8 become replacement characters.  With
+    ``multi_line`` fields may hold line breaks; then a file is read by one task, else it is split.
     """
-    reader = spark.read.options(
-        header=True, quote='"', escape='"', multiLine=True, encoding="UTF-8"
-    )
-    names = reader.csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
-    rows = reader.schema(schema).options(
-        mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, columnPruning=False
-    ).csv(path)
-    # A quoted field may hold commas, so fields are counted outside of quotes.
-    bare = F.regexp_replace(_RAW, r'"(?:[^"]|"")*"', "")
-    kept = _without_long_lines(rows, names, F.size(F.split(bare, ",")))
-    return kept.select(*[quoted(n) for n in names])
+    table = None
+    for reader, paths in _csv_layouts(spark, path, multiLine=multi_line, encoding="UTF-8"):
+        names = reader.csv(paths[0]).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+        rows = reader.schema(schema).options(
+            mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, columnPruning=False
+        ).csv(paths)
+        kept = _without_long_lines(rows, names, _field_count(",")).select(*[quoted(n) for n in names])
+        table = kept if table is None else table.unionByName(kept, allowMissingColumns=True)
+    return table
 
 
 def read_json_config(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -127,9 +161,17 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def read_roster(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
-    """Roster CSV: columns found by the header, cast to their types; flags are never null."""
-    raw = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(path)
+def read_roster(
+    spark: SparkSession, path: str, types: dict[str, str], multi_line: bool = False
+) -> DataFrame:
+    """Roster CSV: columns found by the header, cast to their types; flags are never null.
+
+    ``multi_line`` as in ``read_bulk_csv``.
+    """
+    raw = None
+    for reader, paths in _csv_layouts(spark, path, multiLine=multi_line):
+        part = reader.csv(paths)
+        raw = part if raw is None else raw.unionByName(part, allowMissingColumns=True)
     columns = []
     for name, dtype in types.items():
         found = resolve_column(raw, [name])

@@ -66,10 +66,12 @@ def test_lookup_with_hot_and_missing_keys(spark):
     dim = spark.createDataFrame([(0, "a"), (1, "b"), (9, "z")], "k bigint, v string").distinct()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     for how in ("left", "left_anti"):
-        found = joins.lookup(rows, dim, "k", how, hot_rows=41)
+        found = joins.lookup(rows, dim, "k", how)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1  # the rows are read once
         assert sorted(map(str, found.select("ord", "k").collect())) == sorted(
             map(str, rows.join(dim, "k", how).select("ord", "k").collect()))
-    values = {r.ord: r.v for r in joins.lookup(rows, dim, "k", hot_rows=41).collect()}
+    values = {r.ord: r.v for r in joins.lookup(rows, dim, "k").collect()}
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert values == {i: None if i % 5 == 0 else {0: "a", 1: "b"}.get(i % 4) for i in range(200)}
 

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from muster.operators import columns, enrich, sinks
+from muster.operators import columns, enrich, joins, sinks
 from muster.plans import geo, layers
 from muster.schemas import MSA_CONFIG_TYPE, ROSTER_TYPES
 from muster.sources import config, files
@@ -59,9 +59,58 @@ def test_filing_tables_must_exist(spark, tmp_path):
 
 def test_bulk_csv(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'Company,Award Amount\n"Acme, ""A""\nInc","$1,0"\nBeta\nGamma,1,2\n')
-    rows = files.read_bulk_csv(spark, path).collect()
+    rows = files.read_bulk_csv(spark, path, multi_line=True).collect()
     assert sorted((r.Company, r["Award Amount"]) for r in rows) == [('Acme, "A"\nInc', "$1,0"), ("Beta", None)]
-    assert files.read_bulk_csv(spark, path).count() == 2
+    assert files.read_bulk_csv(spark, path, multi_line=True).count() == 2
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    write(tmp_path / "f" / "a.csv", 'Company,City\nAcme,"Rome, ""A"""\n')
+    write(tmp_path / "f" / "b.csv", "City,Company,Extra\nOslo,Beta,1\n")
+    rows = files.read_bulk_csv(spark, str(tmp_path / "f")).collect()
+    assert sorted((r.Company, r.City, r.Extra) for r in rows) == [("Acme", 'Rome, "A"', None), ("Beta", "Oslo", "1")]
+    roster = files.read_roster(spark, str(tmp_path / "f"), {"Company": "string", "Extra": "bigint"}).collect()
+    assert sorted((r.Company, r.Extra) for r in roster) == [("Acme", None), ("Beta", 1)]
+
+
+def test_tsv_quotes(spark, tmp_path):
+    write(tmp_path / "q.tsv", 'A\tB\n"Foo ""Bar"" Inc"\t1\n"x\ty"\t2\n')
+    rows = files.read_tsv(spark, str(tmp_path)).collect()
+    assert sorted((r.A, r.B) for r in rows) == [('Foo "Bar" Inc', "1"), ("x\ty", "2")]
+    write(tmp_path / "m" / "q.tsv", 'A\tB\n"x\ny"\t1\n')
+    assert [(r.A, r.B) for r in files.read_tsv(spark, str(tmp_path / "m"), multiLine=True).collect()] == [("x\ny", "1")]
+
+
+def test_filing_tables_join_within_a_quarter(spark, tmp_path):
+    for name in ("2020q1", "2020q2"):
+        folder = tmp_path / name
+        write(folder / "ISSUERS.tsv", "ACCESSIONNUMBER\tENTITYNAME\nx-1\tAcme\n")
+        write(folder / "OFFERING.tsv", f"ACCESSIONNUMBER\tINDUSTRYGROUPTYPE\nx-1\t{name}\n")
+        write(folder / "FORMDSUBMISSION.tsv", f"ACCESSIONNUMBER\tFILING_DATE\nx-1\tin {name}\n")
+    rows = layers.read_filings(spark, str(tmp_path)).collect()
+    assert sorted((r._quarter, r.INDUSTRYGROUPTYPE, r.FILING_DATE) for r in rows) == [
+        ("2020q1", "2020q1", "in 2020q1"), ("2020q2", "2020q2", "in 2020q2")]
+
+
+def test_one_ticker_per_number(spark):
+    rows = spark.createDataFrame([("7.0",), ("8",), (None,)], "cik string")
+    tickers = spark.createDataFrame([("7", "A", 2), ("7", "B", 1)], "cik string, ticker string, ord int")
+    found = joins.with_ticker(rows, tickers).collect()
+    assert sorted((r.cik or "", r.ticker or "") for r in found) == [("", ""), ("7.0", "A"), ("8", "")]
+
+
+def test_url_years_are_checked(spark):
+    rows = spark.createDataFrame([("http://a.b", None), ("http://c.d/", None), ("http://e.f", None)], "website string, founded_year int")
+    years = spark.createDataFrame([("http://a.b", "n/a"), ("http://c.d", "9999"), ("http://e.f", "2010-01-01")], "key string, year string")
+    found = {r.website: r.founded_year for r in enrich.fill_years(rows, None, years).collect()}
+    assert found == {"http://a.b": None, "http://c.d/": None, "http://e.f": 2010}
+
+
+def test_log_order_over_files(spark, tmp_path):
+    write(tmp_path / "l" / "a.csv", "name,field,value\nAcme,city,first\n")
+    write(tmp_path / "l" / "b.csv", "name,field,value\n" + "".join(f"Acme,city,later {i}\n" for i in range(300)))
+    log = config.read_backfill_log(spark, str(tmp_path / "l"))
+    assert log.orderBy("ord").first().value == "first"
 
 
 def test_awards_need_location_columns(spark):
@@ -70,6 +119,8 @@ def test_awards_need_location_columns(spark):
 
 
 def test_city_allowlist_file(spark, tmp_path):
+    path = write(tmp_path / "q.csv", 'msa,city_normalized,state,zip_count\nx,"winston, salem",NC,2\n')
+    assert [(r.city_normalized, r.state) for r in config.read_city_allowlist(spark, path).collect()] == [("winston, salem", "NC")]
     path = write(tmp_path / "c.csv", "msa,city_normalized,state,zip_count\nx,chester,MD,2\ny,chester,MD,1\ny,acme,PA,3\n")
     allowlist = config.read_city_allowlist(spark, path)
     dim = {(r._city_norm, r._state_norm): r._msa for r in config.city_dimension(allowlist).collect()}
