@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,39 +32,67 @@ SALTS = 16
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     return x ^ (x >> np.uint64(29))
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTES = np.random.default_rng(31).integers(0, 2 ** 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+CHUNK_BYTES = 1 << 16
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    out = np.full(count, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
 class Shingler:
-    """Distinct shingles of a text as sorted 64-bit hashes."""
+    """Distinct shingles of texts as sorted 64-bit hashes, of whole arrays of bytes at a time."""
 
     def __init__(self, size: int):
-        self.size, self.hashes = size, WordHashes()
+        self.size, self.up, self.down = size, np.ones(1, np.uint64), np.ones(1, np.uint64)
         self.factors = [_mixed(np.array([f], np.uint64) + np.uint64(i))[0] | np.uint64(1) for i, f in enumerate(_MIX * (size // 4 + 1))][:size]
 
-    def of(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        hashes = self.hashes
-        ids = np.array([hashes[w] for w in words], np.uint64)
-        size = min(self.size, len(ids))
-        count = len(ids) - size + 1
-        total = np.full(count, size, np.uint64)
+    def _shingles(self, hashes: np.ndarray, size: int) -> np.ndarray:
+        count = len(hashes) - size + 1
+        total = np.full(max(0, count), size, np.uint64)
         for k in range(size):
-            total += ids[k:k + count] * self.factors[k]
+            total += hashes[k:k + len(total)] * self.factors[k]
             total = _mixed(total)
-        return np.unique(total)
+        return total
+
+    def _chunk(self, texts: list[bytes]) -> list[np.ndarray]:
+        raw = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
+        if len(raw) > len(self.up):
+            self.up, self.down = _powers(_BASE, 2 * len(raw)), _powers(pow(_BASE, -1, 2 ** 64), 2 * len(raw))
+        edges = np.flatnonzero(np.diff(_SPACE[raw], prepend=True))
+        starts, ends = edges[::2], edges[1::2]
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_BYTES[raw] * self.up[:len(raw)], out=total[1:])
+        hashes = _mixed((total[ends] - total[starts]) * self.down[starts])
+        shingles = self._shingles(hashes, self.size)
+        bounds = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts])).tolist()
+        out = []
+        for low, high in zip(bounds, bounds[1:]):
+            if high - low >= self.size:
+                out.append(np.unique(shingles[low:high - self.size + 1]))
+            else:  # fewer words than a shingle has are one shingle
+                out.append(self._shingles(hashes[low:high], high - low) if high > low else shingles[:0])
+        return out
+
+    def many(self, texts: list[bytes]) -> list[np.ndarray]:
+        out, waiting, size = [], [], 0
+        for text in texts:
+            waiting.append(text)
+            size += len(text)
+            if size >= CHUNK_BYTES:
+                out += self._chunk(waiting)
+                waiting, size = [], 0
+        return out + (self._chunk(waiting) if waiting else [])
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -140,8 +169,7 @@ def _common_tokens(rows: DataFrame, size: int, share: int) -> Common:
             known, counts, waiting, held = both[total >= floor], total[total >= floor], [], 0
 
         for batch in pieces(batches, "text"):
-            for text in utf8(batch, "text"):
-                tokens = shingler.of(text)
+            for tokens in shingler.many(utf8(batch, "text")):
                 docs += 1
                 waiting.append(tokens)
                 held += len(tokens)
@@ -179,28 +207,29 @@ def link_documents(
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, met, number = Shingler(size), set(), TaskContext.get().partitionId() << 40
         for batch in pieces(batches, "text"):
-            sids, sizes, tokens, salted = [], [], [], []
-            for text in utf8(batch, "text"):
-                own = shingler.of(text)
+            sids, sizes, tokens, salted, buckets = [], [], [], [], []
+            for own in shingler.many(utf8(batch, "text")):
                 sid = set_id(own) if len(own) else None
                 sids.append(sid)
                 sizes.append(len(own))
                 if sid is None or sid in met:  # a task sends the prefix of equal sets once
                     tokens.append(np.zeros(0, np.int64))
                     salted.append(np.zeros(0, bool))
+                    buckets.append(None)
                 else:
                     met.add(sid)
                     first, often = common.value.prefix(own, prefix_size(len(own), percent))
                     tokens.append(first.view(np.int64))
                     salted.append(often)
+                    buckets.append(bucket_counts(own))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sids, pa.int64()), pa.array(sizes, pa.int32()), flat(tokens, pa.int64()), flat(salted, pa.bool_()),
-                 pa.array(range(number, number + batch.num_rows), pa.int64()), batch.column("digest")],
-                ["doc_id", "sid", "n", "tokens", "common", "row", "digest"])
+                 pa.array(range(number, number + batch.num_rows), pa.int64()), batch.column("digest"), pa.array(buckets, pa.binary())],
+                ["doc_id", "sid", "n", "tokens", "common", "row", "digest", "buckets"])
             number += batch.num_rows
 
     signed = rows.withColumn("digest", F.xxhash64("text")).mapInArrow(
-        sign, f"doc_id {kind}, sid long, n int, tokens array<long>, common array<boolean>, row long, digest long")
+        sign, f"doc_id {kind}, sid long, n int, tokens array<long>, common array<boolean>, row long, digest long, buckets binary")
     signed = materialize(signed, "signed")
 
     # -- sets that share a prefix token --------------------------------------------------------
@@ -214,33 +243,41 @@ def link_documents(
 
         Entries come by token and size; the first is the pivot of those it may link with by size.
         """
-        names = ["token", "sid", "n", "pos", "pivot"]
-        last, pivot, pivot_n, shown, held = None, 0, 0, True, None
-        for batch in batches:
-            out = {n: [] for n in names}
-            for row in zip(*(batch.column(n).to_pylist() for n in ("token", "salt", "sid", "n", "pos", "common"))):
-                token, salt, sid, n, pos, often = row
-                if (token, salt) != last:
-                    # The first of its token: shown only once a second one comes, or if other salts may have one.
-                    last, pivot, pivot_n, held, shown = (token, salt), sid, n, (token, sid, n, pos, None), False
-                    if often:
-                        for name, v in zip(names, held):
-                            out[name].append(v)
-                        shown = True
-                    continue
-                if sid == held[1]:
+        names = ["token", "salt", "sid", "n", "pos", "common"]
+        kept = ["token", "sid", "n", "pos", "pivot"]
+        last, previous, pivot, pivot_n, before = None, None, 0, 0, None
+        rest = None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                batch = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+                # The last row waits, as what follows it is not known yet.
+                batch, rest = batch.slice(0, batch.num_rows - 1), batch.slice(batch.num_rows - 1)
+            elif rest is None:
+                return
+            else:
+                batch = rest
+            token, salt = (batch.column(n).to_numpy() for n in ("token", "salt"))
+            same = np.zeros(len(token) + 1, bool)
+            same[1:-1] = (token[1:] == token[:-1]) & (salt[1:] == salt[:-1])
+            if len(token):
+                same[0] = before == (token[0], salt[0])
+                after = (rest.column("token")[0].as_py(), rest.column("salt")[0].as_py()) if rest is not batch else None
+                same[-1] = after == (token[-1], salt[-1])
+                before = (token[-1], salt[-1])
+            # A token of one set alone ties nothing, unless its other salts may have more.
+            several = same[:-1] | same[1:] | batch.column("common").to_numpy(zero_copy_only=False)
+            out = {n: [] for n in kept}
+            for row in zip(*(c.to_pylist() for c in batch.filter(pa.array(several)).select(names).columns)):
+                key, sid, n, pos = row[:2], *row[2:5]
+                if key == last and sid == previous:
                     continue  # the same set from another task
-                if not shown:
-                    for name, v in zip(names, held):
-                        out[name].append(v)
-                    shown = True
-                if 100 * pivot_n < percent * n:
-                    pivot, pivot_n = sid, n
-                for name, v in zip(names, (token, sid, n, pos, pivot if pivot != sid else None)):
+                if key != last or 100 * pivot_n < percent * n:
+                    last, pivot, pivot_n = key, sid, n
+                previous = sid
+                for name, v in zip(kept, (key[0], sid, n, pos, pivot if pivot != sid else None)):
                     out[name].append(v)
-                held = (token, sid, n, pos, None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["token"], pa.int64()), pa.array(out["sid"], pa.int64()), pa.array(out["n"], pa.int32()), pa.array(out["pos"], pa.int32()), pa.array(out["pivot"], pa.int64())], names)
+                [pa.array(out["token"], pa.int64()), pa.array(out["sid"], pa.int64()), pa.array(out["n"], pa.int32()), pa.array(out["pos"], pa.int32()), pa.array(out["pivot"], pa.int64())], kept)
 
     met = entries.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "sid")
     met = materialize(met.mapInArrow(shared, "token long, sid long, n int, pos int, pivot long"), "met")
@@ -251,30 +288,38 @@ def link_documents(
     pairs = met.filter("pivot IS NOT NULL").select("sid", "pivot").unionByName(across).distinct()
     pairs = materialize(pairs.select(F.col("sid").alias("a"), F.col("pivot").alias("b")), "pairs")
 
-    # -- the sets themselves, of those only that met another -----------------------------------
+    # -- the sets themselves, of those only that may link --------------------------------------
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(size), set()
-        for batch in pieces(batches, "text"):
-            places, sids = [], []
-            for i, text in enumerate(utf8(batch, "text")):
-                own = shingler.of(text)
-                if len(own) and (sid := set_id(own)) not in seen:
-                    seen.add(sid)
+        """A text once per task, however often it is copied."""
+        seen: set[int] = set()
+        for batch in batches:
+            digests = batch.column("digest").to_pylist()
+            places = []
+            for i, digest in enumerate(digests):
+                if digest not in seen:
+                    seen.add(digest)
                     places.append(i)
-                    sids.append(sid)
-            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), batch.column("text").take(pa.array(places, pa.int64()))], ["sid", "text"])
+            yield batch.take(pa.array(places, pa.int64()))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
+        shingler, last = Shingler(size), None
         for batch in pieces(batches, "text"):
-            own = [shingler.of(t) for t in utf8(batch, "text")]
+            sids = batch.column("sid").to_pylist()
+            fresh = [i for i, sid in enumerate(sids) if sid != (sids[i - 1] if i else last)]
+            last = sids[-1] if sids else last
+            own = shingler.many(utf8(batch.take(pa.array(fresh, pa.int64())), "text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("sid"), pa.array([len(t) for t in own], pa.int32()), pa.array([t.tobytes() for t in own], pa.binary()), pa.array([bucket_counts(t) for t in own], pa.binary())],
-                ["sid", "n", "tokens", "buckets"])
+                [pa.array([sids[i] for i in fresh], pa.int64()), pa.array([len(t) for t in own], pa.int32()), pa.array([t.tobytes() for t in own], pa.binary())],
+                ["sid", "n", "tokens"])
 
-    wanted = materialize(met.select("sid").distinct(), "wanted")
-    sets = rows.select("text").mapInArrow(once, "sid long, text string").join(wanted, "sid")
-    sets = materialize(sets.mapInArrow(read, "sid long, n int, tokens binary, buckets binary").dropDuplicates(["sid"]), "sets")
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """``sid, n, tokens`` of the wanted ``sid``, from one text that has each."""
+        texts = signed.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("digest").alias("digest"))
+        texts = materialize(texts, "digests")
+        found = rows.select(F.xxhash64("text").alias("digest"), "text").mapInArrow(once, "digest long, text string").join(texts, "digest")
+        return materialize(found.select("sid", "text").mapInArrow(read, "sid long, n int, tokens binary"), "sets")
+
+    sketches = materialize(signed.filter("buckets IS NOT NULL").select(F.col("sid").alias("g"), "n", "buckets").dropDuplicates(["g"]), "sketches")
 
     def may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs whose bucket counts allow the overlap that the least of their sizes need."""
@@ -303,24 +348,33 @@ def link_documents(
             found = [x for x in links if x]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["src", "dst"])
 
-    def compare(candidates: DataFrame, matrix: DataFrame, members: DataFrame) -> DataFrame:
-        """Links between the groups of candidate pairs: bounded by the matrix, then opened."""
-        side = lambda df, s: df.select(*[F.col(c).alias(f"{c}_{s}" if c != "g" else s) for c in df.columns])
-        bound = candidates.join(side(matrix, "a"), "a").join(side(matrix, "b"), "b")
-        bound = materialize(bound.mapInArrow(may_link, "a long, b long"), "bounded")
-        return bound.join(side(members, "a"), "a").join(side(members, "b"), "b").mapInArrow(opened, "src long, dst long")
+    side = lambda df, s: df.select(*[F.col(c).alias(f"{c}_{s}" if c != "g" else s) for c in df.columns])
+
+    def bounded(candidates: DataFrame, matrix: DataFrame) -> DataFrame:
+        """The candidate pairs that the matrix does not rule out."""
+        both = candidates.join(side(matrix, "a"), "a").join(side(matrix, "b"), "b")
+        return materialize(both.mapInArrow(may_link, "a long, b long"), "bounded")
+
+    def links_of(candidates: DataFrame, members: DataFrame) -> DataFrame:
+        """A link between the groups of each pair that have one."""
+        both = candidates.join(side(members, "a"), "a").join(side(members, "b"), "b")
+        return materialize(both.mapInArrow(opened, "src long, dst long"), "links")
 
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct()
+    pairs = bounded(pairs, sketches)
+    sets = sets_of(ends(pairs).withColumnRenamed("g", "sid"))
     alone = sets.select(F.col("sid").alias("g"), F.array("sid").alias("sids"), F.array("tokens").alias("tokens"))
-    links = materialize(compare(pairs, sets.select(F.col("sid").alias("g"), "n", "buckets"), alone), "links")
+    links = links_of(pairs, alone)
     tied = materialize(linked_components(links), "tied")
 
     # -- groups of tied sets, and pairs of groups that share a prefix token --------------------
     parts = tied.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(group)).cast("int").alias("parts"))
     homes = tied.join(parts, "component").select(
         F.col("node").alias("sid"), "component", F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("g"))
-    homes = materialize(sets.select("sid").join(homes, "sid", "left").select(
-        "sid", F.coalesce("component", "sid").alias("component"), F.coalesce("g", "sid").alias("g")), "homes")
-    grouped = met.select("token", "sid", "n", "pos").join(homes, "sid").groupBy("token", "component", "g").agg(
+    homes = materialize(homes, "homes")
+    placed = met.select("token", "sid", "n", "pos").join(homes, "sid", "left").select(
+        "token", "n", "pos", F.coalesce("component", "sid").alias("component"), F.coalesce("g", "sid").alias("g"))
+    grouped = placed.groupBy("token", "component", "g").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("pos"))
     several = grouped.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
     grouped = grouped.join(several, "token")
@@ -358,12 +412,21 @@ def link_documents(
             unions = [np.unique(np.concatenate([np.frombuffer(t, np.uint64) for t in own])) for own in batch.column("tokens").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("g"), batch.column("n"), pa.array([bucket_counts(u) for u in unions], pa.binary())], ["g", "n", "buckets"])
 
-    named = cross.select(F.explode(F.array("a", "b")).alias("g")).distinct()
-    members = sets.join(homes, "sid").join(named, "g").groupBy("g").agg(
+    # The matrix: unions of the groups of several sets, and what is known of the sets alone.
+    members = sets.join(homes, "sid").groupBy("g").agg(
         F.collect_list("sid").alias("sids"), F.collect_list("tokens").alias("tokens"), F.min("n").alias("n"))
     members = materialize(members, "members")
-    matrix = materialize(members.select("g", "n", "tokens").mapInArrow(unite, "g long, n int, buckets binary"), "matrix")
-    more = materialize(compare(cross, matrix, members.select("g", "sids", "tokens")), "more")
+    unions = members.select("g", "n", "tokens").mapInArrow(unite, "g long, n int, buckets binary")
+    single = sketches.join(homes.select(F.col("sid").alias("g")), "g", "left_anti")
+    matrix = materialize(unions.unionByName(single).join(ends(cross), "g", "left_semi"), "matrix")
+    cross = bounded(cross, matrix)
+    wanted = ends(cross).join(members.select("g"), "g", "left_anti")
+    known = sets.join(homes.select("sid"), "sid", "left_anti").select(F.col("sid").alias("g"), F.array("sid").alias("sids"), F.array("tokens").alias("tokens"))
+    missing = materialize(wanted.join(known.select("g"), "g", "left_anti").withColumnRenamed("g", "sid"), "missing")
+    opened_sets = members.select("g", "sids", "tokens").unionByName(known)
+    if not missing.isEmpty():
+        opened_sets = opened_sets.unionByName(sets_of(missing).select(F.col("sid").alias("g"), F.array("sid").alias("sids"), F.array("tokens").alias("tokens")))
+    more = links_of(cross, opened_sets)
 
     every = links.unionByName(more)
     components = materialize(linked_components(every), "components")
