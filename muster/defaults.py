@@ -23,6 +23,14 @@ GENERIC_TOKENS = (
     "group holdings therapy systems solutions partners services care"
 ).split()
 
+# Named character references in entity names; the ampersand comes last, so that nothing is decoded twice.
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "reg": "\u00ae", "trade": "\u2122",
+    "ndash": "\u2013", "mdash": "\u2014", "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d",
+    "hellip": "\u2026", "middot": "\u00b7", "bull": "\u2022", "eacute": "\u00e9", "egrave": "\u00e8", "auml": "\u00e4",
+    "ouml": "\u00f6", "uuml": "\u00fc", "szlig": "\u00df", "ccedil": "\u00e7", "ntilde": "\u00f1", "amp": "&",
+}
+
 # Texts that stand for a missing identifier.
 MISSING_ID_TEXTS = ["", "nan", "0"]
 

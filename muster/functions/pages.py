@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from muster.defaults import CARD_STATUS_WORDS, FOUNDING_PHRASES, YEAR_RANGE
+from muster.defaults import CARD_STATUS_WORDS, ENTITIES, FOUNDING_PHRASES, YEAR_RANGE
 from muster.functions.exprs import strip, title_case
 
 
@@ -36,9 +36,31 @@ def founding_year(
     return F.array_min(F.filter(years, lambda y: y.between(low, high)))
 
 
+def decoded(text: Column) -> Column:
+    """Text with its character references replaced: numeric ones and the named ones of ``ENTITIES``."""
+    parts = F.split(text, r"&#(?=(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)")
+
+    def character(part):
+        digits = F.regexp_extract(part, r"^[xX]?([0-9a-fA-F]+);", 1)
+        code = F.when(part.rlike("^[xX]"), F.conv(digits, 16, 16)).otherwise(F.conv(digits, 10, 16))
+        known = F.conv(code, 16, 10).cast("bigint").between(1, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+        return F.concat(F.when(known, char).otherwise(F.lit("\ufffd")), F.regexp_replace(part, r"^[xX]?[0-9a-fA-F]+;", ""))
+
+    joined = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), character), ""))
+    for name, character_of in ENTITIES.items():
+        joined = F.replace(joined, F.lit(f"&{name};"), F.lit(character_of))
+    return joined
+
+
 def attribute(tag: str, name: str, html: Column) -> Column:
-    """Value of an attribute of the first such tag that has it, '' if there is none."""
-    return F.regexp_extract(html, rf'(?is)<{tag}\b[^>]*?\s{name}\s*=\s*"([^"]*)"', 1)
+    """Value of an attribute of the first such tag that has it, '' if there is none.
+
+    The value may stand in double quotes, in single ones or in none.
+    """
+    value = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    found = [F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*?\s{name}\s*=\s*{value}", g) for g in (1, 2, 3)]
+    return decoded(F.concat(*found))
 
 
 def element_text(html: Column, opening: str) -> Column:
@@ -47,12 +69,17 @@ def element_text(html: Column, opening: str) -> Column:
     ``opening`` is an expression with the tag name as its only group.
     """
     inner = F.regexp_extract(html, rf"(?is){opening}(.*?)</\1\s*>", 2)
-    return squeeze(page_text(inner))
+    return squeeze(decoded(page_text(inner)))
 
 
 def classed_text(html: Column, css_class: str) -> Column:
     """Text of the first element that carries the class."""
-    return element_text(html, rf'<(\w+)\b[^>]*\sclass="(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"[^>]*>')
+    return element_text(html, rf"<(\w+)\b[^>]*{class_of(css_class)}[^>]*>")
+
+
+def class_of(css_class: str) -> str:
+    """Pattern of a class attribute that has the class among its own, in either quotes or none."""
+    return rf"""\sclass\s*=\s*(?:"(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"|'(?:[^']*\s)?{css_class}(?:\s[^']*)?'|{css_class}(?=[\s>]))"""
 
 
 def squeeze(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,7 +21,9 @@ from muster.functions.names import cik_text
 from muster.functions.pages import (
     attribute,
     card_name,
+    class_of,
     classed_text,
+    decoded,
     element_text,
     founding_year,
     name_from_host,
@@ -151,19 +153,18 @@ class PageRule:
     logo_class: str | None = None
 
 
-LIST_ITEM = r"(?is)<li\b[^>]*>(.*?)</li\s*>"
+# An item ends at its end tag or where the next one starts, so that items within an item are items too.
+LIST_ITEM = r"(?is)<li\b[^>]*>(.*?)(?=</li\s*>|<li\b)"
 IMAGE = r"(?is)(<img\b[^>]*>)"
 
 
 def card_item(css_class: str, tag: str = "div") -> str:
     """Cards without nested elements of their own tag."""
-    return (
-        rf'(?is)(<{tag}\b[^>]*\sclass="(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"[^>]*>.*?</{tag}\s*>)'
-    )
+    return rf"(?is)(<{tag}\b[^>]*{class_of(css_class)}[^>]*>.*?</{tag}\s*>)"
 
 
 def _item_name(rule: PageRule, item: Column) -> Column:
-    text = squeeze(page_text(item))
+    text = squeeze(decoded(page_text(item)))
     if rule.naming == "text":
         return text
     if rule.naming == "alt":
@@ -171,7 +172,7 @@ def _item_name(rule: PageRule, item: Column) -> Column:
     if rule.naming == "logo":
         image = item
         if rule.logo_class:
-            marked = rf'(?is)(<img\b[^>]*\sclass="(?:[^"]*\s)?{rule.logo_class}(?:\s[^"]*)?"[^>]*>)'
+            marked = rf"(?is)(<img\b[^>]*{class_of(rule.logo_class)}[^>]*>)"
             image = F.regexp_extract(item, marked, 1)
         spelled = name_from_image_file(attribute("img", "src", image))
         return F.when(spelled != "", spelled).otherwise(name_from_host(attribute("a", "href", item)))
@@ -203,9 +204,17 @@ def extract_page_entities(pages: DataFrame, rule: PageRule, html: str = "html")
     }).drop("item")
     if rule.naming == "alt":
         found = found.filter(image_text_like(F.col("name"))).withColumn("name", squeeze(F.col("name")))
+        found = _first_images(found, pages, rule)
     return found.filter(F.length("name") > 0)
 
 
+def _first_images(found: DataFrame, pages: DataFrame, rule: PageRule) -> DataFrame:
+    """Of the images of a source that spell one name, whatever its case, the first."""
+    order = [F.col("ord"), F.col("item_pos")] if "ord" in pages.columns else [F.col("item_pos"), F.col("name")]
+    place = F.row_number().over(Window.partitionBy(F.lower("name")).orderBy(*order))
+    return found.withColumn("_place", place).filter("_place = 1").drop("_place")
+
+
 def portfolio_rows(found: DataFrame) -> DataFrame:
     return found.filter(entity_name_like(F.col("name")))
 

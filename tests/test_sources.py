@@ -226,7 +226,17 @@ def test_cards(spark):
 
 def test_image_texts(spark):
     rows = entities(spark, ALTS, enrich.PageRule("alts", enrich.IMAGE, "alt", location="Dallas, TX"))
-    assert [r.name for r in rows] == ["Theta Bio", "theta bio"]
+    assert [r.name for r in rows] == ["Theta Bio"]
+
+
+def test_references_quotes_and_nested_items(spark):
+    items = "<ul><li>Johnson &amp; Sons<li>A &#233;&#xE9; &lt;b&gt; &amp;lt; &#0; &#x110000;<ul><li>Inner</li></ul> tail</li></ul>"
+    rows = entities(spark, items, enrich.PageRule("list", enrich.LIST_ITEM, "text"))
+    assert [r.name for r in rows] == ["Johnson & Sons", "A éé <b> &lt; \ufffd \ufffd", "Inner"]
+    images = "<img alt='Eta &amp; Co'><img alt=Iota><img alt = \"Kappa's\">"
+    assert [r.name for r in entities(spark, images, enrich.PageRule("alts", enrich.IMAGE, "alt"))] == ["Eta & Co", "Iota", "Kappa's"]
+    cards = "<div class='company x'><h3>One &amp; Two</h3></div><div class=company><h3>Three</h3></div>"
+    assert [r.name for r in entities(spark, cards, enrich.PageRule("cards", enrich.card_item("company"), "card"))] == ["One & Two", "Three"]
 
 
 def test_portfolio_noise_and_order(spark):
