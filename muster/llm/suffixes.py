@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -257,9 +258,14 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, run: int = RUN, hot:
     found = materialize(found, "found")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The bytes of each anchor's windows; those of hot ones in parts, dealt by the bytes all their windows share."""
+        """The bytes of each anchor's windows; those of hot ones in parts, dealt by the bytes all their windows share.
+
+        A task sends the same bytes twice at most, which is enough to tell that they repeat; where it meets them
+        again, all of their windows do, and only the place goes on.
+        """
+        times: dict[tuple[int, bytes], int] = {}
         for batch in pieces(batches, "text", 1 << 20):
-            out = {"key": [], "tid": [], "first": [], "bytes": []}
+            out = {"key": [], "tid": [], "first": [], "end": [], "bytes": []}
             for tid, text, own in zip(batch.column("tid").to_pylist(), utf8(batch, "text"), batch.column("places").to_pylist()):
                 for p in own:
                     first, last = p["first"], p["first"] + p["starts"]
@@ -274,13 +280,18 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, run: int = RUN, hot:
                             digest = hashlib.blake2b(core, digest_size=8, key=p["key"].to_bytes(8, "big", signed=True)).digest()
                             cuts.append((int.from_bytes(digest, "big", signed=True) ^ (p["place"] - top), s, e))
                     for key, s, e in cuts:
-                        out["key"].append(key)
+                        content = text[s:e - 1 + length]
+                        seen = (key, hashlib.blake2b(content, digest_size=16).digest())
+                        times[seen] = times.get(seen, 0) + 1
+                        sent = times[seen] <= 2
+                        out["key"].append(key if sent else tid)
                         out["tid"].append(tid)
                         out["first"].append(s)
-                        out["bytes"].append(text[s:e - 1 + length])
+                        out["end"].append(e - 1 + length)
+                        out["bytes"].append(content if sent else None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["key"], pa.int64()), pa.array(out["tid"], pa.int64()), pa.array(out["first"], pa.int32()), pa.array(out["bytes"], pa.binary())],
-                ["key", "tid", "first", "bytes"])
+                [pa.array(out["key"], pa.int64()), pa.array(out["tid"], pa.int64()), pa.array(out["first"], pa.int32()), pa.array(out["end"], pa.int32()), pa.array(out["bytes"], pa.binary())],
+                ["key", "tid", "first", "end", "bytes"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Chunks of whole anchor hashes, each sorted on its own."""
@@ -298,6 +309,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, run: int = RUN, hot:
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())], ["tid", "start", "end"])
 
         for batch in batches:
+            known = batch.filter(pc.is_null(batch.column("bytes")))
+            if known.num_rows:
+                yield pa.RecordBatch.from_arrays([known.column(n) for n in ("tid", "first", "end")], ["tid", "start", "end"])
+            batch = batch.filter(pc.is_valid(batch.column("bytes")))
             for row in zip(*(batch.column(n).to_pylist() for n in ("key", "tid", "first", "bytes"))):
                 if size >= chunk and row[0] != last:
                     yield settle()
@@ -308,7 +323,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, run: int = RUN, hot:
         if waiting:
             yield settle()
 
-    segments = found.select("tid", "text", "places").mapInArrow(cut, "key long, tid long, first int, bytes binary")
+    segments = found.select("tid", "text", "places").mapInArrow(cut, "key long, tid long, first int, end int, bytes binary")
     spans = segments.repartition("key").sortWithinPartitions("key").mapInArrow(sort, "tid long, start int, end int")
     return found.select("tid", "text"), materialize(spans, "spans")
 
