@@ -322,3 +322,37 @@ def html_text_year(spark, sf):
         pages.page_text(F.col("html")).alias("page_text"),
         pages.founding_year(F.col("html")).alias("founded_year"),
     )
+
+
+def _sql_title(words: str, separator: str) -> str:
+    return (f"array_to_string(list_transform(string_split({words}, '{separator}'), "
+            "lambda w: upper(w[1]) || lower(w[2:])), ' ')")
+
+
+@query("image_names", f"SELECT p_partkey, {_sql_title('p_name', ' ')} AS name FROM part")
+def image_names(spark, sf):
+    """Part names spelled by the files of their logos."""
+    endings = F.array(*[F.lit(e) for e in ("-logo.png", "-white-e12.png", "-20200131123456.jpg", ".svg")])
+    stem = F.replace(F.lower("p_name"), F.lit(" "), F.lit("-"))
+    path = F.concat(F.lit("/u/2020/"), stem, F.get(endings, (F.col("p_partkey") % 4).cast("int")))
+    return table(spark, sf, "part").select("p_partkey", pages.name_from_image_file(path).alias("name"))
+
+
+@query("host_names", f"""
+SELECT page_id, {_sql_title("string_split(host, '.')[1]", '-')} AS name
+FROM (SELECT page_id, CASE WHEN starts_with(h, 'www.') THEN h[5:] ELSE h END AS host
+      FROM (SELECT page_id, string_split(string_split(url, '//')[2], '/')[1] AS h FROM pages))""")
+def host_names(spark, sf):
+    return table(spark, sf, "pages").select("page_id", pages.name_from_host(F.col("url")).alias("name"))
+
+
+@query("card_names", """
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 1 THEN c_mktsegment WHEN 2 THEN 'Lead ' || c_name ELSE '' END AS name
+FROM customer""")
+def card_names(spark, sf):
+    """Headings, links where the heading is a mere status, and text leads where there is neither."""
+    key = F.col("c_custkey")
+    heading = F.when(key % 4 == 0, F.col("c_name")).when(key % 4 == 1, "Acquired").otherwise("")
+    link = F.when(key % 4 == 1, F.col("c_mktsegment")).otherwise("")
+    text = F.when(key % 4 == 2, F.concat(F.lit("Lead "), "c_name", F.lit(" Institution: U"))).otherwise("no lead")
+    return table(spark, sf, "customer").select("c_custkey", pages.card_name(heading, link, text).alias("name"))

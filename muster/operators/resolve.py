@@ -82,7 +82,9 @@ def identity_edges(
     keyed = df.select(F.col(ord_col).alias("ord"), F.explode(entries).alias("key")).select(
         "ord", "key.kind", "key.area", "key.value"
     )
-    return hub_edges(keyed.filter("value IS NOT NULL"), "ord", ["kind", "area", "value"])
+    # Read several times below; narrow, so written once.
+    keyed = materialize(keyed.filter("value IS NOT NULL"), "keyed")
+    return hub_edges(keyed, "ord", ["kind", "area", "value"])
 
 
 def merge_by_identity(df: DataFrame, ord_col: str = "ord", **columns) -> DataFrame:
