@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 
 def pieces(

@@ -43,7 +43,7 @@ class ChunkIds(dict):
     Chunks of letters with a plain ending go to the model at once, all others through the whole tokenizer.
     """
 
-    LIMIT = 1_000_000
+    LIMIT = 300_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

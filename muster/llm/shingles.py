@@ -173,7 +173,7 @@ def _common_tokens(rows: DataFrame, size: int, share: int) -> Common:
                 docs += 1
                 waiting.append(tokens)
                 held += len(tokens)
-            if held > 3_000_000:
+            if held > 1_000_000:
                 settle(2)
         settle(max(3, docs // (2 * share)))
         yield pa.RecordBatch.from_arrays(
