@@ -100,15 +100,18 @@ def link_vectors(
     distinct = keyed.filter("ok").withColumn("space", space).groupBy("key", "space").agg(
         F.first("v").alias("v"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least_id"))
     distinct = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "vectors")
-    sizes = {r["space"]: r["count"] for r in distinct.groupBy("space").count().toLocalIterator()}
+    total = distinct.count()
     alone = keyed.filter("NOT ok").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    if not sizes:
+    if not total:
         return alone
 
-    # Every space gets a share of the sample, and cells by its size.
-    total = sum(sizes.values())
-    part = distinct.filter(F.xxhash64("key") <= hash_limit(min(1.0, sample / total))).select("space", "v").orderBy("space", "key").toPandas()
+    # Large spaces, of which there are at most as many as cells, get a share of the sample, and cells by their size;
+    # any other is one cell.
+    large = materialize(distinct.groupBy("space").count().filter(F.col("count") > max(cell_rows, total // MOST_CELLS)), "spaces")
+    sizes = {r["space"]: r["count"] for r in large.toLocalIterator()}
+    part = distinct.join(F.broadcast(large.select("space")), "space", "left_semi")
+    part = part.filter(F.xxhash64("key") <= hash_limit(min(1.0, sample / total))).select("space", "v").orderBy("space", "key").toPandas()
     centres: dict[str, np.ndarray] = {}
     for name, own in part.groupby("space", sort=True)["v"]:
         wanted = max(1, min(math.ceil(sizes[name] / cell_rows), math.ceil(MOST_CELLS * sizes[name] / total), len(own)))
@@ -131,10 +134,10 @@ def link_vectors(
     homes = materialize(
         distinct.select("node", "space", "v", "copies").mapInArrow(home, "node long, space string, v array<double>, copies long, cell long, angle double"),
         "homes")
-    cells = homes.groupBy("space", "cell").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("n")).toLocalIterator()
-    limits: dict[str, dict[int, tuple[float, int]]] = {}
-    for r in cells:
-        limits.setdefault(r["space"], {})[r["cell"]] = (r["radius"], -(-r["n"] // block))
+    cells = homes.join(F.broadcast(large.select("space")), "space", "left_semi").groupBy("space", "cell").agg(F.max("angle").alias("radius"))
+    limits: dict[str, dict[int, float]] = {}
+    for r in cells.toLocalIterator():
+        limits.setdefault(r["space"], {})[r["cell"]] = r["radius"]
     limit = context.broadcast(limits)
     reach = math.acos(least)
 
@@ -144,9 +147,9 @@ def link_vectors(
             owners, cell, angle = [], [], []
             vectors_of = _columns(batch, "v")
             for name, own in _groups(batch).items():
-                known = limit.value[name]
+                known = limit.value.get(name, {0: 0.0})
                 order = sorted(known)
-                radius = np.array([known[c][0] for c in order])
+                radius = np.array([known[c] for c in order])
                 if name in shared.value:
                     angles = _angles(units([vectors_of[i] for i in own]), shared.value[name])[:, order]
                     row, col = np.nonzero(angles <= radius[None, :] + reach + _SLACK)
