@@ -14,8 +14,10 @@ from muster.session import materialize
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labelled ones among them, does not reject."""
+    from muster.llm.batches import bound_batches
     from muster.llm.toxicity import THRESHOLD, fit_toxicity, score_toxicity
 
+    bound_batches(spark)
     machine = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = score_toxicity(docs.withColumnsRenamed({c: f"_{c}" for c in docs.columns}), machine, text_col="_text", keep=True)
     return scored.filter(F.col("score") < THRESHOLD).select(*[F.col(f"_{c}").alias(c) for c in docs.columns])

@@ -41,3 +41,13 @@ def flat(lists: list[np.ndarray], kind) -> pa.ListArray:
     np.cumsum([len(x) for x in lists], out=offsets[1:])
     values = np.concatenate(lists) if lists else np.zeros(0)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
+
+
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark) -> None:
+    """Have Spark send texts to Python in batches of few bytes, as ten thousand long ones would fill a task's memory."""
+    if int(spark.conf.get(_BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
