@@ -25,8 +25,9 @@ from muster.session import materialize
 
 WORDS = 4
 PERCENT = 85
-COMMON_SHARE = 2000  # a token is common from this part of all documents on, so there are few different ones
+COMMON_SHARE = 10_000  # a token is common from this part of all documents on, so there are few different ones
 COMMON_LEAST = 16
+SEEN_SLOTS = 1 << 25
 GROUP = 64
 SALTS = 16
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -154,33 +155,30 @@ def overlap(one: np.ndarray, other: np.ndarray) -> int:
 
 def _common_tokens(rows: DataFrame, size: int, share: int) -> Common:
     """Tokens in at least one of ``share`` documents, as tasks count them; their number is bounded by ``share`` times
-    the mean number of tokens of a document.  A task passes on those frequent in its own documents, so counts may
+    the mean number of tokens of a document.  A task passes on those it met three times or more, so counts may
     fall short, which bears on the order of tokens alone."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, docs, waiting, held = Shingler(size), 0, [], 0
-        known, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-        def settle(floor):
-            nonlocal known, counts, waiting, held
-            tokens, own = np.unique(np.concatenate(waiting), return_counts=True) if waiting else (known[:0], counts[:0])
-            both, where = np.unique(np.concatenate([known, tokens]), return_inverse=True)
-            total = np.bincount(where, weights=np.concatenate([counts, own]), minlength=len(both)).astype(np.int64)
-            known, counts, waiting, held = both[total >= floor], total[total >= floor], [], 0
-
+        # A table of small counters tells which tokens have been met before; only these are kept and counted.
+        shingler, docs, met, again = Shingler(size), 0, np.zeros(SEEN_SLOTS, bool), []
         for batch in pieces(batches, "text"):
             for tokens in shingler.many(utf8(batch, "text")):
                 docs += 1
-                waiting.append(tokens)
-                held += len(tokens)
-            if held > 1_000_000:
-                settle(2)
-        settle(max(3, docs // (2 * share)))
+                slots = (tokens >> np.uint64(20)) & np.uint64(SEEN_SLOTS - 1)
+                again.append(tokens[met[slots]])
+                met[slots] = True
+        known, counts = np.unique(np.concatenate(again), return_counts=True) if again else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        often = counts + 1 >= 3
+        known, counts = known[often], counts[often] + 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(known.view(np.int64), 0)), pa.array(np.append(counts, docs)), pa.array(np.arange(len(known) + 1) == len(known))],
             ["token", "n", "whole"])
 
-    found = rows.select("text").mapInArrow(count, "token long, n long, whole boolean").groupBy("token", "whole").agg(F.sum("n").alias("n"))
+    # Fewer, larger tasks see more of a token's documents.
+    texts = rows.select("text")
+    tasks = texts._jdf.queryExecution().toRdd().getNumPartitions()
+    texts = texts.coalesce(max(1, tasks // 8, min(tasks, rows.sparkSession.sparkContext.defaultParallelism)))
+    found = texts.mapInArrow(count, "token long, n long, whole boolean").groupBy("token", "whole").agg(F.sum("n").alias("n"))
     found = materialize(found, "tokens")
     docs = found.filter("whole").agg(F.sum("n")).first()[0] or 0
     common = found.filter(~F.col("whole") & (F.col("n") >= max(COMMON_LEAST, docs // share))).select("token", "n").toPandas()
