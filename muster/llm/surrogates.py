@@ -1,7 +1,7 @@
 """Personal data in texts, replaced by keyed surrogates of the same kind.
 
-Mail addresses, telephone, card and social security numbers, network addresses, account numbers and titled names
-are found in whole texts.  Each is replaced by what a keyed hash draws for it: digits for digits and letters
+Mail addresses, telephone, card and social security numbers, network addresses, account numbers and titled names,
+with all further mentions of these names in the same text, are found in whole texts.  Each is replaced by what a keyed hash draws for it: digits for digits and letters
 for letters in their places, names of the same gender and script, numbers as valid as the original.  The draws of
 all entities are checked against each other and against the originals of the whole table, and drawn again where
 they meet, so different entities stay different; an entity has one surrogate wherever it occurs.
@@ -61,7 +61,10 @@ NUMBER = re.compile(
 ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _TITLES = {t: g for g, titles in (("m", MALE), ("f", FEMALE), ("n", NEUTRAL)) for t in titles}
 _WORD = r"[^\W\d_][\w'’]*(?:-[^\W\d_][\w'’]*)*"
-NAME = re.compile(rf"(?<!\w)({'|'.join(sorted(map(re.escape, _TITLES), key=len, reverse=True))})(?:\.[ ]?|[ ])({_WORD}(?:[ ]{_WORD}){{0,2}})")
+TITLE = re.compile(rf"(?<!\w)({'|'.join(sorted(map(re.escape, _TITLES), key=len, reverse=True))})(?:\.[ ]?|[ ])(?={_WORD})")
+NAME_WORD = re.compile(_WORD)
+MENTION = re.compile(r"(?<!\w)[^\W\d_a-z][\w'’]*(?:-[^\W\d_][\w'’]*)*")
+_POSSESSIVE = re.compile(r"['’][sS]?\Z")
 
 
 def script(word: str) -> str:
@@ -78,6 +81,54 @@ def _luhn(digits: str) -> int:
     return -total % 10
 
 
+def _titled(text: str, at: int) -> list[tuple[int, str]]:
+    """Start and word of the capitalized words from ``at`` on, up to the next title; initials may have a point."""
+    taken: list[tuple[int, str]] = []
+    while (m := NAME_WORD.match(text, at)) and m[0][0].isupper():
+        after = text[m.end():m.end() + 2]
+        if m[0] in _TITLES and (m[0] != "Don" or after[:1] == "."):
+            break
+        word = _POSSESSIVE.sub("", m[0])
+        taken.append((m.start(), word))
+        if len(word) == 1 and after == ". ":
+            at = m.end() + 2
+        elif word == m[0] and after[:1] == " ":
+            at = m.end() + 1
+        else:
+            break
+    return taken
+
+
+def _mentions(text: str, named: list[tuple[int, int, str, str, str]]) -> list[tuple[int, int, str, str, str]]:
+    """Every other capitalized mention of the parts of ``named``, the titled names of a text.
+
+    A word that is a given name and a surname there is the given name before another part, else the surname.
+    Initials are no mentions.
+    """
+    roles: dict[str, dict[bool, tuple[str, str]]] = {}
+    for start, end, part, space, norm in named:
+        if end - start > 1:
+            roles.setdefault(norm, {}).setdefault(part == "surname", (part, space))
+    seen, words = {e[0] for e in named}, []
+    for m in MENTION.finditer(text):
+        word = _POSSESSIVE.sub("", m[0])
+        if not word[:1].isupper():
+            continue
+        if word.casefold() in roles:
+            words.append((m.start(), word))
+        elif "-" in word:
+            words += [(m.start() + w.start(), w[0]) for w in re.finditer(r"[^-]+", word) if w[0][0].isupper() and w[0].casefold() in roles]
+    out = []
+    for i, (at, word) in enumerate(words):
+        if at in seen:
+            continue
+        own = roles[word.casefold()]
+        before = i + 1 < len(words) and words[i + 1][0] == at + len(word) + 1 and text[at + len(word)] == " "
+        part, space = own.get(not before) or own[before]
+        out.append((at, at + len(word), part, space, word.casefold()))
+    return out
+
+
 def entities(text: str) -> list[tuple[int, int, str, str, str]]:
     """``start, end, kind, space, norm`` of the entities of a text, in order and without overlap.
 
@@ -110,16 +161,13 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
             if 15 <= len(norm) <= 34 and sum(c.isdigit() for c in norm) >= 10:
                 found.append((m.start(), m.end(), "account", f"account:{len(norm)}", norm))
     if any(t in text for t in _TITLES):
-        for m in NAME.finditer(text):
-            words = [(m.start(2) + w.start(), w[0]) for w in re.finditer(_WORD, m[2])]
-            taken = []
-            for at, word in words:
-                if not word[0].isupper():
-                    break
-                taken.append((at, word))
+        named = []
+        for m in TITLE.finditer(text):
+            taken = _titled(text, m.end())
             for i, (at, word) in enumerate(taken):
                 part = "surname" if i == len(taken) - 1 else f"given-{_TITLES[m[1]]}"
-                found.append((at, at + len(word), part, f"{part}:{script(word)}", word.casefold()))
+                named.append((at, at + len(word), part, f"{part}:{script(word)}", word.casefold()))
+        found += named + (_mentions(text, named) if named else [])
     found.sort(key=lambda x: (x[0], -x[1]))
     kept: list[tuple[int, int, str, str, str]] = []
     for e in found:

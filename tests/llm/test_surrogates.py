@@ -21,6 +21,23 @@ def test_entities_are_found():
         assert kinds(text) == []
 
 
+def test_all_words_and_mentions_of_a_name():
+    text = "Mr Juan Carlos Garcia Lopez met Mrs Ann Day. Lopez's wife saw Juan Lopez, GARCIA and Lopez-Day; a day ago J. Lopezz. Dr. J. F. Kent left. J said Kent's."
+    found = [(text[s:e], k) for s, e, k, *_ in entities(text)]
+    assert found == [
+        ("Juan", "given-m"), ("Carlos", "given-m"), ("Garcia", "given-m"), ("Lopez", "surname"), ("Ann", "given-f"), ("Day", "surname"), ("Lopez", "surname"),
+        ("Juan", "given-m"), ("Lopez", "surname"), ("GARCIA", "given-m"), ("Lopez", "surname"), ("Day", "surname"), ("J", "given-n"), ("F", "given-n"),
+        ("Kent", "surname"), ("Kent", "surname")]
+
+
+def test_mentions_get_the_surrogate_of_the_name(spark):
+    docs = spark.createDataFrame([(1, "Mr. John Smith came. Smith said that John Smith's car went."), (2, "John Smith has no title here.")], "doc_id long, text string")
+    text = {r.doc_id: r.text for r in replace_entities(docs, count_col="n").collect()}
+    first, last = text[1].split()[1], text[1].split()[2]
+    assert text[1] == f"Mr. {first} {last} came. {last} said that {first} {last}'s car went." and first != "John" and last != "Smith"
+    assert text[2] == "John Smith has no title here."
+
+
 def test_surrogates_keep_type_and_format(spark):
     docs = spark.createDataFrame([(1, TEXT, 5), (2, "Mr. Smith wrote to ann.lee+7@mail3.shop.de.", 6), (3, None, 7), (4, "", 8), (5, "nothing here", 9), (1, TEXT, 5)], "doc_id long, text string, _row int")
     made = replace_entities(docs, count_col="n")
