@@ -62,8 +62,8 @@ def _groups(batch) -> dict[str, np.ndarray]:
     return {k: np.flatnonzero(keys == k) for k in np.unique(keys)} if len(keys) else {}
 
 
-def _spanning(linked: np.ndarray) -> np.ndarray:
-    """For the homes and visitors of a product, the least row of the home side each is connected to within it.
+def _spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the visitors and homes of a product, the least row of the home side each is connected to within it.
 
     Row ``i`` of ``linked`` is a visitor, column ``j`` a home; least labels are passed on until none changes.
     """
@@ -73,7 +73,7 @@ def _spanning(linked: np.ndarray) -> np.ndarray:
         visitor = np.where(linked, home[None, :], size).min(axis=1, initial=size)
         following = np.minimum(home, np.where(linked, visitor[:, None], size).min(axis=0, initial=size))
         if (following == home).all():
-            return visitor
+            return visitor, home
         home = following
 
 
@@ -186,8 +186,14 @@ def link_vectors(
             linked &= ~itself
             met = np.flatnonzero(linked.any(axis=1))
             linked = linked[met]
-            least_home = _spanning(linked)
-            out = {"node": nodes[of_visitor][met], "n": linked @ copies[of_home], "to": nodes[of_home][least_home]}
+            of_met, of_tied = _spanning(linked)
+            # Homes pass their tie on too: their own visits may be in other products, where the tie is unknown.
+            tied = np.flatnonzero(of_tied != np.arange(len(of_home)))
+            out = {
+                "node": np.concatenate([nodes[of_visitor][met], nodes[of_home][tied]]),
+                "n": np.concatenate([linked @ copies[of_home], np.zeros(len(tied), np.int64)]),
+                "to": nodes[of_home][np.concatenate([of_met, of_tied[tied]])],
+            }
         return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()})
 
     met = left.unionByName(right).groupBy("space", "cell", "i", "j").applyInArrow(meet, "node long, n long, to long")

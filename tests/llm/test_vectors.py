@@ -38,6 +38,19 @@ def test_against_all_pairs(spark, cell_rows, block):
     assert sorted(key((r.vec_id, r.n_links, r.component_id, r.kept)) for r in found.collect()) == sorted(map(key, brute(rows, 0.93)))
 
 
+def test_chains_over_blocks(spark):
+    """Chains of distinct vectors in cells with more blocks of visitors than of homes: no tie of two homes may get lost."""
+    draw, rows, want = np.random.default_rng(6), [], []
+    for _ in range(400):
+        plane = np.linalg.qr(draw.normal(size=(60, 2)))[0]
+        ids = [int(i) for i in len(rows) + draw.permutation(4)]
+        rows += [(i, (plane @ [np.cos(0.35 * k), np.sin(0.35 * k)]).tolist(), 1) for k, i in enumerate(ids)]
+        want += [(i, 1 + (k in (1, 2)), min(ids), i == min(ids)) for k, i in enumerate(ids)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = link_vectors(frame, cell_rows=400, block=1000)
+    assert sorted(tuple(r) for r in found.select("vec_id", "n_links", "component_id", "kept").collect()) == sorted(want)
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert link_vectors(empty).collect() == []
