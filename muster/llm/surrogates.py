@@ -25,6 +25,7 @@ from muster.session import discard, materialize
 KEY = b"surrogates of muster"
 KEY_SETTING = "muster.surrogates.key"
 MAX_ROUNDS = 200
+WIDEN = 8  # draws after which mail names and domains get one more letter or digit
 
 # Titles before names, by gender.
 MALE = ["Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Don", "г-н", "господин"]
@@ -197,14 +198,19 @@ def _shaped(draw: Draw, text: str) -> str:
         for c in text)
 
 
+def _more(draw: Draw, text: str, attempt: int) -> str:
+    """What widens a mail name or domain after many draws: digits after a digit, else letters."""
+    return "".join(str(draw.below(10)) if text[-1:].isdigit() else chr(97 + draw.below(26)) for _ in range(attempt // WIDEN))
+
+
 def surrogate(space: str, norm: str, key: bytes, attempt: int) -> str:
     """The ``attempt``-th draw for an entity, in the form its norm has."""
     draw = Draw(key, space, norm, str(attempt))
     kind, _, detail = space.partition(":")
     if kind == "ip":
-        private = norm.startswith(("10.", "192.168."))
-        first = norm.split(".")[0] if private else str(11 + draw.below(115))
-        second = norm.split(".")[1] if norm.startswith("192.168.") else str(draw.below(256))
+        small = norm.startswith("192.168.") and attempt < WIDEN  # the other private network has room for more
+        first = "192" if small else "10" if norm.startswith(("10.", "192.168.")) else str(11 + draw.below(115))
+        second = "168" if small else str(draw.below(256))
         return ".".join([first, second, str(draw.below(256)), str(1 + draw.below(254))])
     if kind == "card":
         body = norm[0] + "".join(str(draw.below(10)) for _ in norm[1:-1])
@@ -221,7 +227,7 @@ def surrogate(space: str, norm: str, key: bytes, attempt: int) -> str:
     if kind == "domain":
         fixed = _RESERVED.search(norm)
         head, tail = (norm[:fixed.start()], norm[fixed.start():]) if fixed and fixed.start() else (norm.rpartition(".")[0], norm[norm.rfind("."):])
-        return _shaped(draw, head) + tail
+        return _shaped(draw, head) + _more(draw, head, attempt) + tail
     if kind.startswith("given"):
         names = GIVEN[detail, kind[-1]]
         name = names[draw.below(len(names))].casefold()
@@ -230,7 +236,7 @@ def surrogate(space: str, norm: str, key: bytes, attempt: int) -> str:
     if kind == "surname":
         own = SYLLABLES[detail]
         return "".join(own[draw.below(len(own))] for _ in range(2 + (len(norm) > 5) + (len(norm) > 8) + attempt // 20))
-    return _shaped(draw, norm)
+    return _shaped(draw, norm) + _more(draw, norm, attempt)
 
 
 def render(kind: str, surface: str, made: str) -> str:

@@ -73,6 +73,15 @@ def test_collisions_are_drawn_again(spark):
     assert surrogate("ip", "10.1.2.3", b"k", 0).startswith("10.")
 
 
+def test_exhausted_shapes_settle(spark):
+    """More originals than half of a shape has possibilities, and a domain with nothing to draw."""
+    names = [("mail:x.de", chr(97 + i)) for i in range(26)] + [("mail:y.de", str(i)) for i in range(10)] + [("domain", "-.com"), ("domain", "a.com")]
+    rows = resolve(spark.createDataFrame(names, "space string, norm string"), b"k").collect()
+    assert len(rows) == len(names) == len({(r.space, r.surrogate) for r in rows})
+    assert not {(r.space, r.surrogate) for r in rows} & set(names)
+    assert all(re.fullmatch(r"[a-z0-9]+" if r.space != "domain" else r"-?[a-z]+\.com", r.surrogate) for r in rows)
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert replace_entities(empty).collect() == []
