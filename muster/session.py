@@ -31,11 +31,12 @@ def session_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/muster-{spark.sparkContext.applicationId}"
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, label: str = "stage", split_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The table outlives lost executors, is computed in one pass, and its real size is known to the
-    optimizer for the joins that follow.
+    optimizer for the joins that follow.  Readers of single values of ``split_by``, a column of few
+    values that comes last, open only the files of these.
     """
     spark = df.sparkSession
     path = f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
@@ -43,7 +44,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        (df.write if split_by is None else df.write.partitionBy(split_by)).parquet(path)
     finally:
         spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(path)
