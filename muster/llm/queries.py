@@ -126,3 +126,42 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return replace_entities(docs, count_col="n_entities")
+
+
+def _merkle_sql(low: int = 8, high: int = 4) -> str:
+    """Levels written out: as many as ``8^low`` documents of a language and ``8^high`` languages have."""
+    bits = "flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_transform(range(8), lambda k: (ascii(c) >> k) & 1)))"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b::BIGINT) & 1))), 4294967295)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    field = lambda v: f"coalesce(strlen(({v})::VARCHAR)::VARCHAR || ':' || ({v})::VARCHAR, '-')"
+    leaf = lambda text: f"sha256({' || '.join(field(v) for v in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+    steps = [
+        f"leaves AS (SELECT doc_id, lang, {leaf('text')} AS h, CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN {leaf(lower)} END AS t FROM documents)",
+        "a0 AS (SELECT coalesce('+' || lang, '') AS tree, doc_id, h, coalesce(t, h) AS t, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY lang) AS n"
+        " FROM leaves WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h))",
+    ]
+
+    def levels(name: str, count: int) -> None:
+        for k in range(count):
+            run = "PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN"
+            steps.append(f"{name}s{k} AS (SELECT tree, i, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,"
+                         f" coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k} WHERE n > 1)")
+            steps.append(f"{name}{k + 1} AS (SELECT tree, i // 8 AS i, (n + 7) // 8 AS n, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {name}{k} WHERE n > 1 GROUP BY 1, 2, 3)")
+
+    levels("a", low)
+    steps.append("tops AS (" + " UNION ALL ".join(f"SELECT tree, h FROM a{k} WHERE n = 1" for k in range(low + 1)) + ")")
+    steps.append("b0 AS (SELECT '' AS tree, tree AS name, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n FROM tops)")
+    levels("b", high)
+    steps.append("root AS (" + " UNION ALL ".join(f"SELECT h FROM b{k} WHERE n = 1" for k in range(high + 1)) + ")")
+    steps.append("f0 AS (SELECT a0.doc_id, a0.h AS leaf, a0.tree, a0.i, b0.i AS j, b0.h AS subroot, root.h AS root, a0.t AS f, '' AS p FROM a0 JOIN b0 ON a0.tree = b0.name CROSS JOIN root)")
+    joins = [(f"as{k}", f"s.tree = f.tree AND s.i = f.i // {8 ** k}") for k in range(low)] + [(f"bs{k}", f"s.i = f.j // {8 ** k}") for k in range(high)]
+    for k, (table, on) in enumerate(joins):
+        steps.append(f"f{k + 1} AS (SELECT f.* REPLACE (CASE WHEN s.l IS NULL THEN f ELSE sha256(s.l || f || s.r) END AS f, p || coalesce(s.l || s.r, '') AS p) FROM f{k} f LEFT JOIN {table} s ON {on})")
+    return f"WITH {', '.join(steps)} SELECT doc_id, leaf, subroot, root, sha256(p) AS proof_sha256, f AS folded_root, f = root AS verified FROM f{len(joins)}"
+
+
+@query("op13_merkle_manifest", _merkle_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.manifest import manifest
+
+    return manifest(_table(spark, sf_dir, "documents"))
