@@ -165,3 +165,13 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from muster.llm.manifest import manifest
 
     return manifest(_table(spark, sf_dir, "documents"))
+
+
+@query("op12_cross_tokenizer")
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from muster.llm.alignment import align_documents
+
+    return align_documents(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
