@@ -175,3 +175,26 @@ def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return align_documents(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS win
+    FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d)
+),
+least AS (SELECT win, min(doc_id) AS first FROM windows GROUP BY win),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM windows JOIN least USING (win) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS rest FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op11_substring_dedup", OP11_SQL)
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm.subtrees import remove_passages
+
+    return remove_passages(_table(spark, sf_dir, "documents"))
