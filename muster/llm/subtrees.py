@@ -285,30 +285,47 @@ def passages(docs: DataFrame, texts: DataFrame, length: int = LENGTH, run: int =
             yield settle()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Digests of all words of each window of the hot runs."""
-        hasher = WordHashes()
+        """Digests of all words of each window of the hot runs; where a task knows an earlier document that has all of them, the span alone."""
+        hasher, earlier = WordHashes(), {}
         for batch in pieces(batches, "text", 1 << 19):
             words, bounds = hasher.of(utf8(batch, "text"))
-            raw, prefix, tids, leasts, starts = words.tobytes(), [], [], [], []
-            for tid, least, own, at in zip(*(batch.column(n).to_pylist() for n in ("tid", "least", "places")), bounds.tolist()):
+            raw, prefix, tids, leasts, starts, ends = words.tobytes(), [], [], [], [], []
+            rows = list(zip(*(batch.column(n).to_pylist() for n in ("tid", "least", "places")), bounds.tolist()))
+            for tid, least, own, at in sorted(rows, key=lambda r: r[1]):
                 for p in own:
-                    if p["hot"]:
-                        for s in range(p["first"], p["first"] + p["starts"]):
-                            prefix.append(hashlib.blake2b(raw[8 * (at + s):8 * (at + s + length)], digest_size=16).digest())
-                            starts.append(s)
-                        tids += [tid] * p["starts"]
-                        leasts += [least] * p["starts"]
+                    if not p["hot"]:
+                        continue
+                    first, end = p["first"], p["first"] + p["starts"] - 1 + length
+                    name = hashlib.blake2b(raw[8 * (at + first):8 * (at + end)], digest_size=16).digest()
+                    known = earlier.get(name)
+                    if known is None or known > least:
+                        if len(earlier) >= MEMO:
+                            earlier.clear()
+                        earlier[name] = least
+                    if known is not None and known < least:
+                        prefix.append(None)
+                        starts.append(first)
+                        ends.append(end)
+                    else:
+                        prefix += [hashlib.blake2b(raw[8 * (at + s):8 * (at + s + length)], digest_size=16).digest() for s in range(first, end - length + 1)]
+                        starts += range(first, end - length + 1)
+                        ends += range(first + length, end + 1)
+                    tids += [tid] * (len(prefix) - len(tids))
+                    leasts += [least] * (len(prefix) - len(leasts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(prefix, pa.binary()), pa.array(tids, pa.binary()), pa.array(leasts, pa.int64()), pa.array(starts, pa.int32())], ["prefix", "tid", "least", "start"])
+                [pa.array(prefix, pa.binary()), pa.array(tids, pa.binary()), pa.array(leasts, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
+                ["prefix", "tid", "least", "start", "end"])
 
     segments = candidates.mapInArrow(cut, "tid binary, least long, first int, end int, key long, words binary")
     spans = materialize(segments.repartition("key").sortWithinPartitions("key").mapInArrow(grow, "tid binary, start int, end int"), "spans")
     # A group that has all words of its windows in common is a node already.
-    windows = materialize(candidates.mapInArrow(whole, "prefix binary, tid binary, least long, start int"), "windows")
+    windows = materialize(candidates.mapInArrow(whole, "prefix binary, tid binary, least long, start int, end int"), "windows")
+    known = windows.filter("prefix IS NULL").select("tid", "start", "end")
+    windows = windows.filter("prefix IS NOT NULL")
     nodes = windows.groupBy("prefix").agg(F.min("least").alias("m"), F.max("least").alias("x")).filter("m < x").select("prefix", "m")
     nodes = materialize(nodes, "nodes")
-    hits = windows.join(nodes, "prefix").filter("m < least").select("tid", "start", (F.col("start") + length).alias("end"))
-    return candidates.select("tid", "text"), spans.unionByName(materialize(hits, "hits"))
+    hits = materialize(windows.join(nodes, "prefix").filter("m < least").select("tid", "start", "end"), "hits")
+    return candidates.select("tid", "text"), spans.unionByName(known).unionByName(hits)
 
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **options) -> DataFrame:
