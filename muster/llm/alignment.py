@@ -9,7 +9,6 @@ these counts goes back to every document by the digest of its text.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +20,13 @@ from muster.llm.batches import flat, pieces
 from muster.session import materialize
 
 LISTED = 1 << 20  # pairs of ids whose counts all tasks hold, 17 bytes each; the counts of all others are joined
-MEMO_BYTES = 24 << 20
-MEMO_CHUNK = 64  # characters of the longest chunk that is remembered
 PARTIAL = 1 << 21  # pairs that a task counts before it passes them on
 
-# Neither tokenizer joins what a single space between two other characters parts.
-_PARTED = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = "▁"
 
+# Fixed value: how byte-level vocabularies of this family part a text before they merge.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 
 def _byte_letters() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for."""
@@ -38,18 +36,25 @@ def _byte_letters() -> dict[str, int]:
 
 
 class ByteTokens:
-    """Ids and bytes of a byte-level tokenizer; special tokens' strings are plain text."""
+    """Ids and bytes of a byte-level vocabulary whose ids are in the order of its merges; special tokens' strings are plain text."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import json
+
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        special = {t["content"] for t in content["added_tokens"] if t["special"]}
         letters = _byte_letters()
-        self.bytes = {i: bytes(letters[c] for c in t) for t, i in self.tokenizer.get_vocab().items() if all(c in letters for c in t)}
+        ranks = {bytes(letters[c] for c in t): i for t, i in content["model"]["vocab"].items() if t not in special}
+        self.bytes = [b""] * (1 + max(ranks.values()))
+        for t, i in ranks.items():
+            self.bytes[i] = t
+        self.encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([" " + c for c in chunks], add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [self.encoding.encode_ordinary(" " + t) for t in texts]
 
 
 class PieceTokens:
@@ -60,80 +65,57 @@ class PieceTokens:
 
         self.processor = SentencePieceProcessor(model_file=path)
         pieces_of = self.processor.id_to_piece(list(range(self.processor.vocab_size())))
-        self.bytes = {
-            i: bytes([int(p[3:-1], 16)]) if self.processor.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces_of)}
-        # A piece with a space after another character could join what a space parts.
-        self.parted = not any(_SPACE in p.lstrip(_SPACE) for p in pieces_of)
+        self.bytes = [
+            bytes([int(p[3:-1], 16)]) if self.processor.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces_of)]
 
-    def encode(self, chunks: list[str]) -> list[list[int]]:
-        return self.processor.encode(chunks, num_threads=1)
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return self.processor.encode(texts, num_threads=1)
 
 
-def groups_of(ids_a: list[int], ids_b: list[int], size_a, size_b) -> tuple[str, int, list[int]]:
-    """Groups between common ends as text, their number, and the linked pairs ``a << 32 | b``.
-
-    Both sides have the same number of bytes in all.
-    """
-    out, links = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = (size_a[ids_a[0]], size_b[ids_b[0]]) if ids_a else (0, 0)
-    while i < len(ids_a):
-        links.append(ids_a[i] << 32 | ids_b[j])
-        if end_a == end_b:
-            out.append(f"{','.join(map(str, ids_a[first_a:i + 1]))}|{','.join(map(str, ids_b[first_b:j + 1]))}")
-            i, j = i + 1, j + 1
-            first_a, first_b = i, j
-            if i < len(ids_a):
-                end_a, end_b = end_a + size_a[ids_a[i]], end_b + size_b[ids_b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += size_a[ids_a[i]]
-        else:
-            j += 1
-            end_b += size_b[ids_b[j]]
-    return ";".join(out), len(out), links
+def _names(count: int, ends: str) -> np.ndarray:
+    """Every id as text, with each of the two characters that may follow it."""
+    return np.array([[f"{i}{e}" for i in range(count)] for e in ends], dtype=object)
 
 
 class Aligner:
-    """Alignments of texts, put together from those of their chunks; short chunks are remembered."""
+    """Alignments of texts, of whole arrays of tokens at a time."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = ByteTokens(path_a), PieceTokens(path_b)
-        self.size_a, self.size_b = ({i: len(t) for i, t in x.bytes.items()} for x in (self.a, self.b))
-        self.memo: dict[str, tuple | None] = {}
-        self.held = 0
-
-    def chunks(self, text: str) -> list[str]:
-        return _PARTED.split(text) if self.b.parted else [text]
-
-    def _learn(self, chunks: list[str]) -> dict[str, tuple | None]:
-        found = {}
-        for chunk, ids_a, ids_b in zip(chunks, self.a.encode(chunks), self.b.encode(chunks)):
-            raw, entry = b" " + chunk.encode(), None
-            if b"".join(map(self.a.bytes.__getitem__, ids_a)) == raw and b"".join(map(self.b.bytes.__getitem__, ids_b)) == raw:
-                groups, n_groups, links = groups_of(ids_a, ids_b, self.size_a, self.size_b)
-                entry = (len(ids_a), len(ids_b), n_groups, groups, np.array(links, np.int64))
-            found[chunk] = entry
-            if len(chunk) <= MEMO_CHUNK:
-                self.held += 400 + (len(entry[3]) + 8 * len(entry[4]) if entry else 0)
-                self.memo[chunk] = entry
-        return found
-
-    def many(self, texts: list[str]) -> Iterator[tuple | None]:
-        """``n_a, n_b, n_groups, groups, links`` of every text; None if it has no tokens."""
-        if self.held > MEMO_BYTES:
-            self.memo.clear()
-            self.held = 0
-        parted = [self.chunks(t) if t else [] for t in texts]
-        fresh = list({c: None for own in parted for c in own if c not in self.memo})
-        known = self._learn(fresh) if fresh else {}
-        for own in parted:
-            entries = [known[c] if c in known else self.memo[c] for c in own]
-            if not entries or None in entries:
-                yield None
-                continue
-            n_a, n_b, n_groups, groups, links = zip(*entries)
-            yield sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), np.concatenate(links)
+        self.sides = ByteTokens(path_a), PieceTokens(path_b)
+        self.sizes = [np.array([len(t) for t in x.bytes]) for x in self.sides]
+        self.names = [_names(len(x.bytes), e) for x, e in zip(self.sides, (",|", ",;"))]
+
+    def many(self, texts: list[str | None]) -> list[tuple | None]:
+        """``n_a, n_b, n_groups, groups, links`` of every text, links as ``a << 32 | b``; None if it has no tokens."""
+        rows = [i for i, t in enumerate(texts) if t]
+        raw = [(" " + texts[i]).encode() for i in rows]
+        ids = [x.encode([texts[i] for i in rows]) for x in self.sides]
+        spelled = [[b"".join(map(x.bytes.__getitem__, own)) == r for own, r in zip(each, raw)] for x, each in zip(self.sides, ids)]
+        whole = [k for k, (a, b) in enumerate(zip(*spelled)) if a and b]
+        out: list[tuple | None] = [None] * len(texts)
+        if not whole:
+            return out
+        counts = [[len(each[k]) for k in whole] for each in ids]
+        ids = [np.array([i for k in whole for i in each[k]], np.int64) for each in ids]
+        ends = [np.cumsum(size[own]) for size, own in zip(self.sizes, ids)]
+        # Both sides spell the same bytes, so ends are places in the texts put together.
+        parts = np.union1d(*ends)
+        at = [np.searchsorted(e, parts) for e in ends]
+        links = ids[0][at[0]] << 32 | ids[1][at[1]]
+        common = parts[(ends[0][at[0]] == parts) & (ends[1][at[1]] == parts)]
+        group = [np.searchsorted(common, e) for e in ends]
+        words = [name[np.append(g[1:] != g[:-1], True).astype(int), own] for name, g, own in zip(self.names, group, ids)]
+        order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
+        words = np.concatenate(words)[order].tolist()
+        last = np.cumsum([len(raw[k]) for k in whole])
+        cuts = [np.append(0, np.searchsorted(x, last) + 1).tolist() for x in (common, parts)]
+        first = 0
+        for n, k in enumerate(whole):
+            n_a, n_b = counts[0][n], counts[1][n]
+            text = "".join(words[first:first + n_a + n_b])[:-1]
+            first += n_a + n_b
+            out[rows[k]] = (n_a, n_b, cuts[0][n + 1] - cuts[0][n], text, links[cuts[1][n]:cuts[1][n + 1]])
+        return out
 
 
 def _text_id(text: Column) -> Column:

@@ -89,11 +89,12 @@ def test_against_brute_force(spark, whole, listed):
     assert sorted(map(tuple, got.collect()), key=lambda t: (t[0] is not None, t[0] or 0, t[1:])) == sorted(brute(rows, whole), key=lambda t: (t[0] is not None, t[0] or 0, t[1:]))
 
 
-def test_chunks_are_tokenized_as_whole_texts_are(whole):
+def test_texts_are_tokenized_as_the_libraries_do(whole):
     aligner, draw = Aligner(*PATHS), random.Random(1)
-    assert aligner.b.parted
-    alphabet = "aB'é ▁\n\t .0中 s"
+    alphabet = "aB'é ▁\n\t .0中 s<|>"
     texts = [t for t in ODD if t] + ["".join(draw.choice(alphabet) for _ in range(draw.randint(1, 30))) for _ in range(3000)]
+    codes = [c for c in draw.sample(range(0x110000), 4000) if not 0xD800 <= c < 0xE000] + list(range(0x3100))
+    texts += [f"a{chr(c)}b1{chr(c)}2 {chr(c)} .{chr(c)}!" for c in codes] + ["x" * 20000, " " * 20000 + "y", "lorem" * 5000]
     for text, found in zip(texts, aligner.many(texts)):
         a, b = whole(text)
         raw = (" " + text).encode()
@@ -105,14 +106,6 @@ def test_chunks_are_tokenized_as_whole_texts_are(whole):
             assert found is None
 
 
-def test_memory_of_chunks_is_bounded(monkeypatch):
-    monkeypatch.setattr(alignment, "MEMO_BYTES", 5000)
-    aligner = Aligner(*PATHS)
-    for k in range(50):
-        list(aligner.many([f"w{k}x{i}" for i in range(20)]))
-        assert aligner.held < 5000 + 20 * 800
-
-
 def test_groups_come_along(spark):
     docs = spark.createDataFrame([(1, "naïve text"), (2, "naïve text"), (3, None)], "doc_id long, text string")
     rows = align_documents(docs, *PATHS, with_groups=True).collect()
