@@ -30,6 +30,42 @@ def pieces(
             start, before = stop, int(ends[stop - 1])
 
 
+class Bounded(dict):
+    """What a task remembers of texts; ``make_room`` forgets all of it once keys and values hold ``limit`` bytes."""
+
+    def __init__(self, limit: int = 16 << 20):
+        super().__init__()
+        self.limit, self.held = limit, 0
+
+    def keep(self, key, value) -> None:
+        self[key] = value
+        self.held += 240 + len(key) + (len(value) if isinstance(value, (bytes, str)) else 0)
+
+    def make_room(self) -> bool:
+        """Whether everything was forgotten."""
+        if self.held < self.limit:
+            return False
+        self.clear()
+        self.held = 0
+        return True
+
+
+class Met(set):
+    """Keys a task has met; it forgets them once there are ``limit``, so a key may seem new again."""
+
+    def __init__(self, limit: int = 50_000):
+        super().__init__()
+        self.limit = limit
+
+    def new(self, key) -> bool:
+        if key in self:
+            return False
+        if len(self) >= self.limit:
+            self.clear()
+        self.add(key)
+        return True
+
+
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """The texts of a batch as bytes; null is empty."""
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]

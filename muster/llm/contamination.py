@@ -72,7 +72,7 @@ class WindowIndex:
                         if tuple(tokens[start:start + len(window)]) == window:
                             ranges.append((start, start + len(window)))
                             items.update(self.starts[window])
-        return _merge(ranges), items
+        return _merge(ranges), items - {None}
 
 
 def _merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -127,7 +127,8 @@ def mark_contaminated(
     of words as ``spans`` and the ``items``; with ``keep`` the columns of ``docs`` come first (but for those
     of these names).  A document is contaminated if it has hit words and they are at least one in ``share``.
     An item of fewer words than the ``window`` is one window, one without words none.  Null texts have no
-    words; repeated rows are judged alike, and items that share an id count once.
+    words; repeated rows are judged alike, and items that share an id count once.  The windows of an item without id hit
+    words as any others do, but it is not among the ``items``.
 
     Items are broadcast in blocks of at most ``block_bytes`` of text; documents pass through one step
     per block, without a shuffle.
@@ -166,7 +167,7 @@ def mark_contaminated(
     met = False
     for block in _blocks(chosen, block_bytes):
         met = True
-        index = WindowIndex([b for b in block if b[0] is not None], window)
+        index = WindowIndex(block, window)
         index.order(word_counts(table.select(F.col("_text").alias("text")), index.vocabulary) if index.vocabulary else {})
         table = table.mapInArrow(step(context.broadcast(index)), kinds)
     if not met:  # no items: only the words are counted

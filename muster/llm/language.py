@@ -231,14 +231,15 @@ def fit_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for lang, n in limits.items():
         limit = min(1.0, (2 * sample_docs + 20) / n)
         chosen = chosen | ((F.col("lang") == lang) & (F.col("_h") <= hash_limit(limit)))
-    w = F.filter(F.array_distinct(F.split(F.lower("text"), r"\s+")), lambda x: F.length(x).between(1, WIDTH))
+    # Longer runs, as of languages written without spaces, are learned in parts.
+    w = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(rf"\S{{1,{WIDTH}}}"), F.lit(0)))
     picked = F.transform(F.slice(F.array_sort(F.transform(w, lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("w")))), 1, sample_words), lambda s: s["w"])
     found = rows.filter(chosen).select("lang", "_h", picked.alias("words")).toPandas()
     found = found.sort_values(["lang", "_h"]).groupby("lang").head(sample_docs)
     labels = sorted(limits)
     words, targets = [], []
     for lang, own in zip(found["lang"], found["words"]):
-        kept = [x for x in (v.encode() for v in own) if 0 < len(x) <= WIDTH]
+        kept = [x[at:at + WIDTH] for x in (v.encode("utf-8", "replace") for v in own) for at in range(0, len(x), WIDTH)]
         words += kept
         targets += [labels.index(lang)] * len(kept)
     labels = [x for i, x in enumerate(labels) if i in set(targets)]

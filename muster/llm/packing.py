@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from muster.llm.batches import pieces
+from muster.llm.batches import Bounded, pieces
 from muster.session import materialize
 
 CAPACITY = 2048
@@ -36,22 +36,21 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
-class ChunkIds(dict):
+class ChunkIds(Bounded):
     """Packed little-endian ids of a chunk without white space, tokenized when first met.
 
     White space always parts words in this vocabulary, so the ids of a text are those of its chunks in order.
     Chunks of letters with a plain ending go to the model at once, all others through the whole tokenizer.
     """
 
-    LIMIT = 300_000
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.words = Bounded()
 
     def _pack(self, ids) -> bytes:
         return np.array(ids, dtype="<u4").tobytes()
@@ -63,10 +62,10 @@ class ChunkIds(dict):
         if found is None:
             if not lower.isalpha() or not unicodedata.is_normalized("NFC", word):
                 return None
-            if len(self.words) >= self.LIMIT:
-                self.words.clear()
+            self.words.make_room()
             text = lower if lower.isascii() else "".join(self.letters[b] for b in lower.encode())
-            found = self.words[lower] = self._pack([t.id for t in self.model.tokenize(text)])
+            found = self._pack([t.id for t in self.model.tokenize(text)])
+            self.words.keep(lower, found)
         return found
 
     def __missing__(self, chunk: str) -> bytes:
@@ -76,12 +75,11 @@ class ChunkIds(dict):
             ids += self[chunk[len(word):]]
         if ids is None:
             ids = self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-        self[chunk] = ids
+        self.keep(chunk, ids)
         return ids
 
     def of(self, text: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
+        self.make_room()
         return b"".join([self[c] for c in text.replace("\n", " ").replace("\t", " ").split(" ") if c])
 
 

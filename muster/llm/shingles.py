@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from muster.llm.batches import flat, pieces, utf8
+from muster.llm.batches import Met, flat, pieces, utf8
 from muster.operators.components import linked_components
 from muster.session import materialize
 
@@ -28,6 +28,7 @@ PERCENT = 85
 COMMON_SHARE = 10_000  # a token is common from this part of all documents on, so there are few different ones
 COMMON_LEAST = 16
 SEEN_SLOTS = 1 << 25
+COUNTERS = 1 << 20  # tokens that a task counts at a time
 GROUP = 64
 SALTS = 16
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -160,14 +161,31 @@ def _common_tokens(rows: DataFrame, size: int, share: int) -> Common:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A table of small counters tells which tokens have been met before; only these are kept and counted.
-        shingler, docs, met, again = Shingler(size), 0, np.zeros(SEEN_SLOTS, bool), []
+        # Of more tokens than it has counters for, all lose what the least of them have, as in a summary of frequent items.
+        shingler, docs, met, again, waiting = Shingler(size), 0, np.zeros(SEEN_SLOTS, bool), [], 0
+        known, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def summed():
+            tokens, times = np.unique(np.concatenate(again), return_counts=True) if again else (known, counts)
+            if again and len(known):
+                tokens, at = np.unique(np.concatenate([tokens, known]), return_inverse=True)
+                times = np.bincount(at, np.concatenate([times, counts])).astype(np.int64)
+            if len(tokens) > COUNTERS:
+                times = times - np.partition(times, len(times) - COUNTERS - 1)[len(times) - COUNTERS - 1]
+                tokens, times = tokens[times > 0], times[times > 0]
+            return tokens, times
+
         for batch in pieces(batches, "text"):
             for tokens in shingler.many(utf8(batch, "text")):
                 docs += 1
                 slots = (tokens >> np.uint64(20)) & np.uint64(SEEN_SLOTS - 1)
                 again.append(tokens[met[slots]])
+                waiting += len(again[-1])
                 met[slots] = True
-        known, counts = np.unique(np.concatenate(again), return_counts=True) if again else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            if waiting >= COUNTERS:
+                known, counts = summed()
+                again, waiting = [], 0
+        known, counts = summed()
         often = counts + 1 >= 3
         known, counts = known[often], counts[often] + 1
         yield pa.RecordBatch.from_arrays(
@@ -203,19 +221,18 @@ def link_documents(
     common = context.broadcast(_common_tokens(rows, size, share))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, met, number = Shingler(size), set(), TaskContext.get().partitionId() << 40
+        shingler, met, number = Shingler(size), Met(), TaskContext.get().partitionId() << 40
         for batch in pieces(batches, "text"):
             sids, sizes, tokens, salted, buckets = [], [], [], [], []
             for own in shingler.many(utf8(batch, "text")):
                 sid = set_id(own) if len(own) else None
                 sids.append(sid)
                 sizes.append(len(own))
-                if sid is None or sid in met:  # a task sends the prefix of equal sets once
+                if sid is None or not met.new(sid):  # a task sends the prefix of equal sets once
                     tokens.append(np.zeros(0, np.int64))
                     salted.append(np.zeros(0, bool))
                     buckets.append(None)
                 else:
-                    met.add(sid)
                     first, often = common.value.prefix(own, prefix_size(len(own), percent))
                     tokens.append(first.view(np.int64))
                     salted.append(often)
@@ -289,14 +306,10 @@ def link_documents(
     # -- the sets themselves, of those only that may link --------------------------------------
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A text once per task, however often it is copied."""
-        seen: set[int] = set()
+        seen = Met()
         for batch in batches:
             digests = batch.column("digest").to_pylist()
-            places = []
-            for i, digest in enumerate(digests):
-                if digest not in seen:
-                    seen.add(digest)
-                    places.append(i)
+            places = [i for i, digest in enumerate(digests) if seen.new(digest)]
             yield batch.take(pa.array(places, pa.int64()))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,47 +390,46 @@ def link_documents(
     several = grouped.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
     grouped = grouped.join(several, "token")
 
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bucket counts of the union of each group's tokens."""
+        for batch in batches:
+            unions = [np.unique(np.concatenate([np.frombuffer(t, np.uint64) for t in own])) for own in batch.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("g"), batch.column("n"), pa.array([bucket_counts(u) for u in unions], pa.binary())], ["g", "n", "buckets"])
+
+    # The matrix: unions of the groups of several sets, and what is known of the sets alone.
+    members = sets.join(homes, "sid").groupBy("g").agg(
+        F.collect_list("sid").alias("sids"), F.collect_list("tokens").alias("tokens"), F.min("n").alias("n"))
+    members = materialize(members, "members")
+    unions = members.select("g", "n", "tokens").mapInArrow(unite, "g long, n int, buckets binary")
+    single = sketches.join(homes.select(F.col("sid").alias("g")), "g", "left_anti")
+    matrix = unions.unionByName(single).join(grouped.select("g").distinct(), "g", "left_semi").select("g", F.col("n").alias("least"), "buckets")
+    matrix = materialize(matrix, "matrix")
+    grouped = grouped.join(matrix, "g")
+
     def across_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of a token's groups of different components that sizes and positions allow."""
-        seen: set[tuple[int, int]] = set()
+        """Pairs of a token's groups of different components that sizes, positions and the matrix allow."""
+        seen = Met()
         last, run = None, []
         for batch in batches:
             out = []
-            for token, component, g, low, high, pos in zip(*(batch.column(n).to_pylist() for n in ("token", "component", "g", "low", "high", "pos"))):
+            names = ("token", "component", "g", "low", "high", "pos", "least", "buckets")
+            for token, component, g, low, high, pos, least, buckets in zip(*(batch.column(n).to_pylist() for n in names)):
                 if token != last:
                     last, run = token, []
                 # Entries come by greatest size, so what is too small for this one is so for all that follow.
                 run = [r for r in run if 100 * r[2] >= percent * low] if len(run) > 64 else run
-                for other, h, top, bottom, at in run:
+                for other, h, top, bottom, at, smallest, others in run:
                     if other != component and 100 * top >= percent * low and 100 * high >= percent * bottom:
                         rest = 1 + min(high - pos, top - at) - 1
                         if rest >= needed(low, bottom, percent):
-                            pair = (g, h) if g < h else (h, g)
-                            if pair not in seen:
-                                if len(seen) > 2_000_000:
-                                    seen.clear()
-                                seen.add(pair)
-                                out.append(pair)
-                run.append((component, g, high, low, pos))
+                            # What the matrix rules out, it does at any token: by the least sizes in either group.
+                            if seen.new((g, h) if g < h else (h, g)) and most_overlap(buckets, others) >= needed(least, smallest, percent):
+                                out.append((g, h) if g < h else (h, g))
+                run.append((component, g, high, low, pos, least, buckets))
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], ["a", "b"])
 
     cross = grouped.repartition("token").sortWithinPartitions("token", "low", "g").mapInArrow(across_groups, "a long, b long").distinct()
     cross = materialize(cross, "cross")
-
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Bucket counts of the union of each group's tokens."""
-        for batch in batches:
-            unions = [np.unique(np.concatenate([np.frombuffer(t, np.uint64) for t in own])) for own in batch.column("tokens").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("g"), batch.column("n"), pa.array([bucket_counts(u) for u in unions], pa.binary())], ["g", "n", "buckets"])
-
-    # The matrix: unions of the groups of several sets, and what is known of the sets alone.
-    members = sets.join(homes, "sid").groupBy("g").agg(
-        F.collect_list("sid").alias("sids"), F.collect_list("tokens").alias("tokens"), F.min("n").alias("n"))
-    members = materialize(members, "members")
-    unions = members.select("g", "n", "tokens").mapInArrow(unite, "g long, n int, buckets binary")
-    single = sketches.join(homes.select(F.col("sid").alias("g")), "g", "left_anti")
-    matrix = materialize(unions.unionByName(single).join(ends(cross), "g", "left_semi"), "matrix")
-    cross = bounded(cross, matrix)
     wanted = ends(cross).join(members.select("g"), "g", "left_anti")
     known = sets.join(homes.select("sid"), "sid", "left_anti").select(F.col("sid").alias("g"), F.array("sid").alias("sids"), F.array("tokens").alias("tokens"))
     missing = materialize(wanted.join(known.select("g"), "g", "left_anti").withColumnRenamed("g", "sid"), "missing")
@@ -447,9 +459,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     kept = link_documents(docs, id_col, text_col, **options).groupBy("doc_id", "digest").agg(
         F.count(F.lit(1)).alias("_rows"), F.bool_or("kept").alias("_kept"), F.max("n_shingles").alias("_size"))
-    kept = materialize(kept.filter("_kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), ((F.col("_rows") > 1) & (F.col("_size") > 0)).alias("_several")), "kept")
-    rows = docs.withColumn("_digest0", F.xxhash64(text_col))
-    joined = rows.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest0") == F.col("_digest")))
-    single = joined.filter("NOT _several").select(*docs.columns)
-    several = joined.filter("_several").dropDuplicates(["_id", "_digest"]).select(*docs.columns)
+    kept = kept.filter("_kept").select(F.col("doc_id").alias("id"), "digest", ((F.col("_rows") > 1) & (F.col("_size") > 0)).alias("several"))
+    kept = materialize(kept, "kept")
+    # Columns of documents are carried under names that clash with none of these.
+    rows = docs.select(*[F.col(c).alias(f"_{c}") for c in docs.columns]).withColumn("digest0", F.xxhash64(f"_{text_col}"))
+    joined = rows.join(kept, F.col(f"_{id_col}").eqNullSafe(F.col("id")) & (F.col("digest0") == F.col("digest")))
+    named = [F.col(f"_{c}").alias(c) for c in docs.columns]
+    single = joined.filter("NOT several").select(*named)
+    several = joined.filter("several").dropDuplicates(["id", "digest"]).select(*named)
     return single.unionByName(several)

@@ -33,7 +33,7 @@ KNOWN, HARD = 30_000, 3_000  # words of clean texts that training may see
 THRESHOLD = 0.3
 WIDTH = 24  # letters of a word read at once; longer words are read in overlapping parts
 _CODES, _START, _END = 64, 62, 63
-_MEMO = 120_000
+_MEMO = 50_000
 _FACTORS = np.random.default_rng(1).integers(1, 2 ** 31, 8).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 

@@ -21,7 +21,7 @@ def brute(text, items, size):
             for j in range(len(doc) - k + 1):
                 if doc[j:j + k] == own[i:i + k]:
                     hit.update(range(j, j + k))
-                    named.add(str(item_id))
+                    named |= {str(item_id)} if item_id is not None else set()
     return len(doc), len(hit), sorted(named), bool(hit) and 20 * len(hit) >= len(doc)
 
 
@@ -33,9 +33,9 @@ def test_against_brute_force(spark, block_bytes):
     def passage(n):
         return "".join(draw.choice(letters) + draw.choice([" ", "-", "\n", "_ "]) for _ in range(n))
 
-    items = [(i, passage(draw.randint(0, 9))) for i in range(30)] + [(90, None), (91, ""), (5, "a a a a a"), (5, "é-dd")]
+    items = [(i, passage(draw.randint(0, 9))) for i in range(30)] + [(90, None), (91, ""), (None, "7 dd c 7 dd"), (None, "é é"), (5, "a a a a a"), (5, "é-dd")]
     docs = [(i % 50, passage(draw.randint(0, 80)), i, "y") for i in range(60)]
-    docs += [(100, None, 0, "z"), (101, "", 0, "z"), (None, "a a a a a a a", 0, "z"), docs[0]]
+    docs += [(102, "x x é é y", 0, "z"), (100, None, 0, "z"), (101, "", 0, "z"), (None, "a a a a a a a", 0, "z"), docs[0]]
     frame = spark.createDataFrame(docs, "doc_id long, text string, n_hit long, items string")
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     marked = mark_contaminated(frame, benchmark, window=4, block_bytes=block_bytes, keep=True)

@@ -126,3 +126,15 @@ def test_values_do_not_depend_on_the_batch(judged):
     texts = [t for _, t in rows[:40]]
     together = WordValues(machine).of(texts)
     assert np.allclose(together, [WordValues(machine).of([t])[0] for t in texts], atol=1e-5)
+
+
+def test_languages_without_spaces_are_learned(spark):
+    """Runs longer than the network reads at once are cut, in learning as in prediction."""
+    draw = random.Random(4)
+    signs = [chr(c) for c in range(0x4E00, 0x4E60)]
+    rows = [(i, "".join(draw.choice(signs) for _ in range(draw.randint(40, 90))), "zh") for i in range(60)]
+    rows += [(i, " ".join(draw.choice(["the", "cat", "house", "of", "reads"]) for _ in range(30)), "en") for i in range(60, 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_language(docs)
+    assert model.labels == ["en", "zh"]
+    assert {(r.doc_id < 60, r.lang_pred) for r in predict_language(docs, model).collect()} == {(True, "zh"), (False, "en")}

@@ -41,3 +41,19 @@ def test_no_documents(spark):
     empty = spark.createDataFrame([], spark.read.parquet(f"{SF_DIR}/documents.parquet").schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).collect() == []
+
+
+def test_columns_of_any_name_nulls_and_repeated_rows(spark):
+    """Columns named as the operators' own come out as they went in."""
+    from pyspark.sql import functions as F
+
+    names = ["items", "spans", "n_words", "contaminated", "score", "kept", "digest", "_id", "_several", "_text", "_digest0"]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(40)
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    odd = docs.limit(3).withColumn("text", F.lit(None).cast("string")).unionByName(docs.limit(2).withColumns({"doc_id": F.lit(None).cast("long"), "text": F.lit("a " * 50_000)}))
+    docs = docs.unionByName(odd).unionByName(docs.limit(5))
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        after = stage(spark, docs, SF_DIR)
+        assert after.columns == docs.columns, name
+        for r in after.collect():
+            assert all(r[n] is None or r[n].startswith(f"{n} ") for n in names)
