@@ -34,8 +34,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that are not contaminated by benchmark passages."""
     from muster.llm.contamination import mark_contaminated
 
-    marked = mark_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=True)
-    return marked.filter(~F.col("contaminated")).select(*docs.columns)
+    # Columns of documents go along under names that the operator has none of.
+    named = docs.withColumnsRenamed({c: f"doc_{c}" for c in docs.columns})
+    marked = mark_contaminated(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="doc_doc_id", text_col="doc_text", keep=True)
+    return marked.filter(~F.col("contaminated")).select(*[F.col(f"doc_{c}").alias(c) for c in docs.columns])
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
