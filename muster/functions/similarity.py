@@ -1,4 +1,4 @@
-"""Jaro-Winkler similarity as an Arrow UDF, computed for whole batches of pairs at a time."""
+"""Jaro-Winkler similarity of whole batches of pairs, and the pairs of many names that reach a threshold."""
 
 from __future__ import annotations
 
@@ -88,6 +88,101 @@ def jaro_winkler_batch(left, right) -> np.ndarray:
     return result
 
 
+# Columns of the matrix of numbered characters; the elements of names with more share columns.
+_MOST_COLUMNS = 2048
+# Names of one side whose products are taken at a time.
+_SIDE = 512
+_SLACK = 1e-6
+
+
+def numbered_counts(texts) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the texts, and which numbered characters (the first e, the second e, ...) each has.
+
+    The product of two rows is no less than the number of characters that the two texts can match.
+    """
+    columns: dict[tuple[str, int], int] = {}
+    rows, cells = [], []
+    for i, text in enumerate(texts):
+        times: dict[str, int] = {}
+        for c in text:
+            times[c] = k = times.get(c, 0) + 1
+            cells.append(columns.setdefault((c, k), len(columns)) % _MOST_COLUMNS)
+        rows.append(len(text))
+    lengths = np.array(rows, dtype=np.int64)
+    counts = np.zeros((len(texts), max(1, min(len(columns), _MOST_COLUMNS))), dtype=np.float32)
+    np.add.at(counts, (np.repeat(np.arange(len(texts)), lengths), np.array(cells, dtype=np.int64)), 1)
+    return lengths, counts
+
+
+def similar_pairs(texts, few, side, short: float, long: float, admitted=None):
+    """``i, j, sim`` of the pairs of texts that reach their threshold, from blocked products of character counts.
+
+    ``few`` tells the texts that need ``short`` among themselves; all others need ``long``.  Texts of one ``side`` only
+    are paired with each other; of two sides, each of the one with each of the other.  No pair is lost: two
+    texts match on no more characters than both have, which bounds their similarity from above given their lengths and
+    common prefix.  Only pairs within that bound, and ``admitted`` where given, have it computed.
+    """
+    few, side = np.asarray(few, dtype=bool), np.asarray(side)
+    lengths, counts = numbered_counts(texts)
+    heads = _points([t[:PREFIX_LIMIT] for t in texts], PREFIX_LIMIT)
+    one, other = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+    within = side.min() == side.max()
+    found_i, found_j, found_sim = [], [], []
+    for start in range(0, len(one), _SIDE):
+        rows = one[start : start + _SIDE]
+        columns = other[start:] if within else other
+        for at in range(0, len(columns), _SIDE):
+            cols = columns[at : at + _SIDE]
+            shared = counts[rows] @ counts[cols].T
+            len_a, len_b = lengths[rows][:, None], lengths[cols][None, :]
+            shared = np.minimum(shared, np.minimum(len_a, len_b))
+            same = np.ones(shared.shape, dtype=bool)
+            prefix = np.zeros(shared.shape, dtype=np.float32)
+            for k in range(PREFIX_LIMIT):
+                head = heads[rows, k]
+                same &= (head[:, None] == heads[cols, k][None, :]) & (head != 0)[:, None]
+                prefix += same
+            least = np.where(few[rows][:, None] & few[cols][None, :], short, long)
+            lift = PREFIX_WEIGHT * prefix
+            best = (shared / len_a + shared / len_b + 1.0) / 3.0
+            able = best >= (least - lift) / (1.0 - lift) - _SLACK
+            if within:
+                able &= rows[:, None] < cols[None, :]
+            r, c = np.nonzero(able)
+            i, j = rows[r], cols[c]
+            if admitted is not None and len(i):
+                chosen = admitted(i, j)
+                i, j, r, c = i[chosen], j[chosen], r[chosen], c[chosen]
+            if len(i):
+                sim = jaro_winkler_batch([texts[x] for x in i.tolist()], [texts[x] for x in j.tolist()])
+                reached = sim >= least[r, c]
+                found_i.append(i[reached])
+                found_j.append(j[reached])
+                found_sim.append(sim[reached])
+    if not found_i:
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, np.zeros(0)
+    return np.concatenate(found_i), np.concatenate(found_j), np.concatenate(found_sim)
+
+
+def forest(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which of the links ``i, j`` to keep so that they connect the same things without a circle."""
+    least: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while least.setdefault(x, x) != x:
+            least[x] = x = least[least[x]]
+        return x
+
+    kept = np.zeros(len(i), dtype=bool)
+    for n, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
+        a, b = root(a), root(b)
+        if a != b:
+            least[max(a, b)] = min(a, b)
+            kept[n] = True
+    return kept
+
+
 def _jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     a = [None if pd.isna(x) else x for x in left]
     b = [None if pd.isna(x) else x for x in right]

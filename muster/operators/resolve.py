@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,21 +13,17 @@ from muster.functions.names import (
     block_token,
     present_id,
     resolve_name,
-    similarity_threshold,
     token_count,
 )
-from muster.functions.similarity import PREFIX_LIMIT, PREFIX_WEIGHT, jaro_winkler
+from muster.functions.similarity import forest, similar_pairs
 from muster.operators.components import linked_components
 from muster.operators.joins import HOT_ROWS, join_counted
 from muster.operators.rollup import canonical_agg, classes_of
 from muster.schemas import ID_COLUMNS
 from muster.session import materialize
 
-# Characters counted together by the signature of a name; all others form one more group.
-SIGNATURE_GROUPS = ["e", "a", "io", "nt", "rs", "lcdm", "uhpgyb", "fvwkxjqz", "01234", "56789"]
-# Signatures of one block that meet in one task; a larger block is split into tiles.
-TILE_SIGNATURES = 2000
-_SLACK = 1e-9
+# Names of one block that meet in one task as one side; a larger block is split into tiles.
+TILE_NAMES = 2000
 
 
 def hub_edges(
@@ -94,33 +92,74 @@ def merge_by_identity(df: DataFrame, ord_col: str = "ord", **columns) -> DataFra
 # -- similar names ---------------------------------------------------------------------------
 
 
-def _signature(norm: Column, groups: Sequence[str]) -> list[Column]:
-    size = F.length(norm)
-    counted = [size - F.length(F.translate(norm, g, "")) for g in groups]
-    rest = size
-    for c in counted:
-        rest = rest - c
-    return [c.cast("int") for c in [*counted, rest]]
-
-
-def _best_jaro(shared: Column, len_a: Column, len_b: Column) -> Column:
-    """Greatest Jaro similarity that names of these lengths reach with so many shared characters."""
-    return (shared / len_a + shared / len_b + 1.0) / 3.0
-
-
-def _needed_jaro(threshold: Column, prefix: Column | int) -> Column:
-    """Jaro similarity that a common prefix of this length lifts to the threshold."""
-    lift = F.lit(PREFIX_WEIGHT) * prefix
-    return (threshold - lift) / (1.0 - lift) - _SLACK
-
+def _compared(
+    names: DataFrame, block: Sequence[str], tile: int, short: float, long: float,
+    hard_ids: Sequence[str], carry: Sequence[str], tied: str | None,
+) -> DataFrame:
+    """``ord_a, ord_b, norm_a, norm_b, sim`` of similar names, and the columns to ``carry`` of either.
 
-def _agree(ids: Sequence[str]) -> Column:
-    """Whether no identifier is known, and different, on both sides."""
-    agree = F.lit(True)
-    for c in ids:
-        one, other = F.col(f"{c}_a"), F.col(f"{c}_b")
-        agree = agree & ((one == "") | (other == "") | (one == other))
-    return agree
+    Every pair of tiles of a block meets in one task, which holds two tiles' names.  Of the pairs in which ``tied``
+    is true on both sides only a spanning forest leaves a task.
+    """
+    extra = list(dict.fromkeys([*hard_ids, *carry, *([tied] if tied else [])]))
+    names = names.filter("norm <> ''").select(*block, "norm", "ord", (token_count(F.col("norm")) <= 2).alias("few"), *extra)
+    names = materialize(names, "names")
+    tiles = names.groupBy(*block).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    tiles = tiles.select(*block, F.ceil(F.col("n") / F.lit(tile)).cast("int").alias("tiles"))
+    dealt = names.join(tiles, block).withColumn("own", F.pmod(F.xxhash64("norm"), F.col("tiles")).cast("int"))
+    dealt = dealt.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    pair = [F.least("own", "met").alias("one"), F.greatest("own", "met").alias("other")]
+    dealt = dealt.select(*block, *pair, "own", "norm", "ord", "few", *extra)
+    sides = [f"{c}_{s}" for c in ("ord", "norm", *carry) for s in ("a", "b")]
+    kinds = {f.name: f.dataType.simpleString() for f in dealt.schema.fields}
+    result = [f"`{c}` {kinds[c]}" for c in block] + [f"`{c}` {kinds[c.rpartition('_')[0]]}" for c in sides] + ["sim double"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(group: pa.Table) -> pa.RecordBatch:
+            texts, own = group.column("norm").to_pylist(), group.column("own").to_numpy()
+            # A tile met by another shows its pairs with that one only; its own pairs are the tile met by itself.
+            ids = [np.unique(np.array(group.column(c).to_pylist(), dtype=object), return_inverse=True)[1] for c in hard_ids]
+            known = [np.array([v != "" for v in group.column(c).to_pylist()]) for c in hard_ids]
+
+            def agree(i, j):
+                chosen = np.ones(len(i), dtype=bool)
+                for number, there in zip(ids, known):
+                    chosen &= ~(there[i] & there[j]) | (number[i] == number[j])
+                return chosen
+
+            i, j, sim = similar_pairs(texts, group.column("few").to_numpy(), own, short, long, agree if hard_ids else None)
+            if tied and len(i):
+                sure = np.array(group.column(tied).to_pylist(), dtype=bool)
+                both = sure[i] & sure[j]
+                kept = ~both
+                kept[both] = forest(i[both], j[both])
+                i, j, sim = i[kept], j[kept], sim[kept]
+            first = np.array(group.column("ord").to_pylist(), dtype=object)
+            swap = first[i] > first[j] if len(i) else np.zeros(0, dtype=bool)
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            at = {"a": pa.array(i, pa.int64()), "b": pa.array(j, pa.int64())}
+            columns = [group.column(c).take(at["a"]) for c in block]
+            columns += [group.column(c.rpartition("_")[0]).take(at[c[-1]]) for c in sides] + [pa.array(sim, pa.float64())]
+            columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+            return pa.RecordBatch.from_arrays(columns, [*block, *sides, "sim"])
+
+        keys, waiting, last = [*block, "one", "other"], [], None
+        for batch in batches:
+            rows = list(zip(*(batch.column(k).to_pylist() for k in keys)))
+            edges = [0] + [n for n in range(1, len(rows)) if rows[n] != rows[n - 1]] + [len(rows)]
+            for start, stop in zip(edges, edges[1:]):
+                if start == stop:
+                    continue
+                if waiting and rows[start] != last:
+                    yield settle(pa.Table.from_batches(waiting))
+                    waiting = []
+                waiting.append(batch.slice(start, stop - start))
+                last = rows[start]
+        if waiting:
+            yield settle(pa.Table.from_batches(waiting))
+
+    keys = [*block, "one", "other"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, ", ".join(result))
 
 
 def similar_names(
@@ -130,8 +169,7 @@ def similar_names(
     ord_col: str = "ord",
     short: float = 0.95,
     long: float = 0.92,
-    groups: Sequence[str] = SIGNATURE_GROUPS,
-    tile: int = TILE_SIGNATURES,
+    tile: int = TILE_NAMES,
     hard_ids: Sequence[str] = (),
     carry: Sequence[str] = (),
 ) -> DataFrame:
@@ -142,76 +180,13 @@ def similar_names(
     either name.  Names that contradict each other in a known one of the ``hard_ids`` ('' is unknown)
     are passed over before their similarity is computed.
 
-    Names are never all paired.  Each gets a signature, the counts of its characters by group.  Two
-    names cannot match on more characters than their signatures share, which bounds their similarity
-    from above, so only names under two compatible signatures of a block meet.  The bound loses no
-    pair.  Blocks with many signatures are split into tiles.
+    Names are numbered characters (the first e, the second e, ...), and no pair matches on more than it has in
+    common.  Products of blocks of such rows give that number for all pairs of two tiles at once, and with lengths and
+    common prefix an upper bound of the similarity; it loses no pair.  Only pairs within the bound are compared.
     """
-    block = list(block_cols)
-    size = len(groups) + 1
-    counts = [f"c{i}" for i in range(size)]
-    extra = list(dict.fromkeys([*hard_ids, *carry]))
-    signed = names.select(
-        *block,
-        F.col(norm).alias("norm"),
-        F.col(ord_col).alias("ord"),
-        F.length(norm).alias("len"),
-        token_count(F.col(norm)).alias("tokens"),
-        *extra,
-        *[c.alias(n) for c, n in zip(_signature(F.col(norm), groups), counts)],
-    ).filter("len > 0")
-    short_name = (F.col("tokens") <= 2).alias("few")
-    sig = F.concat_ws(",", *[F.col(c).cast("string") for c in ("few", *counts)]).alias("sig")
-    signed = signed.select(*block, "norm", "ord", "len", "tokens", *extra, short_name, *counts)
-    # Read three times below, and computed from whole names only once.
-    signed = materialize(signed.select("*", sig), "names")
-    payload = ["norm", "ord", "len", "tokens", "sig", *extra]
-
-    sigs = signed.select(*block, "few", "len", "sig", *counts).distinct()
-    tiles = sigs.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("n"))
-    sigs = sigs.join(tiles, block)
-
-    def side(df, suffix, tile_col):
-        renamed = [F.col(c).alias(f"{c}_{suffix}") for c in ("few", "len", "sig", *counts)]
-        return df.select(*block, tile_col.alias("tile"), *renamed)
-
-    one = side(sigs, "a", F.pmod(F.xxhash64("sig"), F.col("n")).cast("int"))
-    every = side(sigs, "b", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    shared = F.lit(0)
-    for c in counts:
-        shared = shared + F.least(f"{c}_a", f"{c}_b")
-    least = F.when(F.col("few_a") & F.col("few_b"), F.lit(short)).otherwise(F.lit(long))
-    len_a, len_b = F.col("len_a"), F.col("len_b")
-    compatible = (
-        one.join(every, [*block, "tile"])
-        .filter(_best_jaro(shared, len_a, len_b) >= _needed_jaro(least, PREFIX_LIMIT))
-        .select(*block, "sig_a", "sig_b", shared.alias("shared"))
-    )
-
-    def name_side(suffix):
-        return signed.select(*block, *[F.col(c).alias(f"{c}_{suffix}") for c in payload])
-
-    prefix = F.lit(0)
-    for k in range(1, PREFIX_LIMIT + 1):
-        head = (F.left(F.col("norm_a"), F.lit(k)) == F.left(F.col("norm_b"), F.lit(k)))
-        prefix = F.when(head & (F.least("len_a", "len_b") >= k), F.lit(k)).otherwise(prefix)
-    threshold = similarity_threshold(F.col("tokens_a"), F.col("tokens_b"), short, long)
-    return (
-        name_side("a")
-        .join(compatible, [*block, "sig_a"])
-        .join(name_side("b"), [*block, "sig_b"])
-        .filter(
-            (F.col("ord_a") < F.col("ord_b"))
-            & _agree(hard_ids)
-            & (_best_jaro(F.col("shared"), len_a, len_b) >= _needed_jaro(threshold, prefix))
-        )
-        .withColumn("sim", jaro_winkler(F.col("norm_a"), F.col("norm_b")))
-        .filter(F.col("sim") >= threshold)
-        .select(
-            *block, "ord_a", "ord_b", "norm_a", "norm_b", "sim",
-            *[f"{c}_{s}" for c in carry for s in ("a", "b")],
-        )
-    )
+    named = names.withColumnsRenamed({norm: "norm", ord_col: "ord"})
+    return _compared(named, list(block_cols), tile, short, long, hard_ids, carry, None).select(
+        *block_cols, "ord_a", "ord_b", "norm_a", "norm_b", "sim", *[f"{c}_{s}" for c in carry for s in ("a", "b")])
 
 
 def _compatible_edges(pairs: DataFrame, profiles: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -257,7 +232,8 @@ def _compatible_edges(pairs: DataFrame, profiles: DataFrame, ids: Sequence[str])
 
 def similarity_edges(
     df: DataFrame, ord_col: str = "ord", name: str = "name", area: str = "msa",
-    hard_ids: Sequence[str] = ID_COLUMNS, block: Column | None = None, **matching,
+    hard_ids: Sequence[str] = ID_COLUMNS, block: Column | None = None,
+    short: float = 0.95, long: float = 0.92, tile: int = TILE_NAMES,
 ) -> DataFrame:
     """Links between rows of one area and block whose names are alike and whose ids agree.
 
@@ -286,8 +262,9 @@ def similarity_edges(
         *[F.when(single, F.min(c)).otherwise("").alias(c) for c in ids],
     )
     names = materialize(names, "names")
+    # Links between names of one set of identifiers each are final: a forest of them leaves each task.
     pairs = materialize(
-        similar_names(names, ["area", "block"], hard_ids=ids, carry=["single"], **matching).select(
+        _compared(names, ["area", "block"], tile, short, long, ids, ["single"], "single").select(
             F.col("ord_a").alias("name_a"), F.col("ord_b").alias("name_b"),
             (F.col("single_a") & F.col("single_b")).alias("settled"),
         ),

@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
+from muster.functions import similarity
 from muster.functions.similarity import jaro_winkler_batch
 from muster.operators import components, joins, resolve
 
@@ -218,8 +220,61 @@ def test_result_does_not_depend_on_partitions(spark):
     assert len(seen) == 1
 
 
-def test_pairs_are_pruned_before_similarity(spark):
-    rows = [(i, "x", f"hot {w} {v}") for i, (w, v) in enumerate((w, v) for w in "abcdefgh" for v in ("lorem", "ipsum"))]
-    names = spark.createDataFrame(rows, "ord bigint, msa string, norm string")
+def words(count, seed=1):
+    """Different names of one block, some of them slips of others."""
+    rng = random.Random(seed)
+    parts = "al be co da en fi ga hy in jo ka lu me no op pra qui ro si ti um vi wa xe yo zen tri gen mat ser".split()
+    vocabulary = ["".join(rng.choice(parts) for _ in range(rng.randint(2, 4))) for _ in range(400)]
+    made = {}
+    while len(made) < count:
+        name = f"hot {rng.choice(vocabulary)} {rng.choice(vocabulary)}"
+        if rng.random() < 0.3:
+            at = rng.randrange(len(name))
+            name = name[:at] + rng.choice("abcdxyz") + name[at + 1 :]
+        made[name] = None
+    return list(made)
+
+
+@pytest.mark.parametrize("tile", [2000, 37])
+def test_similar_names_against_all_pairs(spark, tile):
+    names = words(300) + ["hot", "hot a", "é" * 3000, "é" * 2999 + "x", "ab", "ba"]
+    rows = [(i, "x" if i % 7 else "y", n) for i, n in enumerate(names)]
+    found = resolve.similar_names(spark.createDataFrame(rows, "ord bigint, msa string, norm string"), ["msa"], tile=tile)
+    want = set()
+    for i, a in enumerate(rows):
+        for b in rows[i + 1 :]:
+            few = max(len(a[2].split()), len(b[2].split())) <= 2
+            sim = jaro_winkler_batch([a[2]], [b[2]])[0] if a[1] == b[1] else 0
+            if sim >= (0.95 if few else 0.92):
+                want.add((a[1], a[0], b[0], a[2], b[2], round(sim, 9)))
+    assert {(r.msa, r.ord_a, r.ord_b, r.norm_a, r.norm_b, round(r.sim, 9)) for r in found.collect()} == want and len(want) > 10
+
+
+def test_few_pairs_of_a_large_block_are_compared(monkeypatch):
+    names, compared = words(4000), []
+    computed = similarity.jaro_winkler_batch
+    monkeypatch.setattr(similarity, "jaro_winkler_batch", lambda a, b: compared.append(len(a)) or computed(a, b))
+    similarity.similar_pairs(names, [False] * len(names), [0] * len(names), 0.95, 0.92)
+    assert sum(compared) < len(names) * (len(names) - 1) / 2 / 10
+
+
+def test_no_join_of_a_block_with_itself(spark):
+    names = spark.createDataFrame([(i, "x", n) for i, n in enumerate(words(30))], "ord bigint, msa string, norm string")
     plan = resolve.similar_names(names, ["msa"])._jdf.queryExecution().executedPlan().toString()
-    assert "ArrowEvalPython" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "MapInArrow" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_links_of_alike_names_are_a_forest(spark):
+    rows = [(i, "x", f"hot entity number {i:05d}", None, None, False, 1) for i in range(1500)]
+    edges = resolve.similarity_edges(spark.createDataFrame(rows, SCHEMA), tile=500)
+    assert edges.count() <= 6 * 1000  # six pairs of three tiles, less than two tiles' names from each
+    assert resolve.merge_by_similarity(spark.createDataFrame(rows, SCHEMA), tile=500).count() == 1
+
+
+def test_forest():
+    rng = random.Random(2)
+    links = [(rng.randrange(40), rng.randrange(40)) for _ in range(60)]
+    i, j = (np.array(x) for x in zip(*links))
+    kept = similarity.forest(i, j)
+    assert groups_of(40, links) == groups_of(40, [x for x, k in zip(links, kept) if k])
+    assert kept.sum() == 40 - len(set(groups_of(40, links).values()))
