@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.tables import areas, customers, suppliers, table, with_base
+from muster.defaults import FOUNDING_PHRASES
 from muster.operators import enrich, verify
 from muster.operators.columns import tag
 
@@ -23,29 +24,55 @@ def page_entities(spark, sf):
     return list_items(spark, sf).select("page_id", "item_pos", "name", "url")
 
 
+@query("nested_cards", with_base(select="""
+SELECT page_id, CAST(item_pos AS INTEGER) AS item_pos, name, CAST(item_pos AS VARCHAR) AS tagline FROM portfolio"""))
+def nested_cards(spark, sf):
+    """Cards that hold further elements of their own tag, in a container; what is outside is none."""
+    items = F.regexp_extract_all("html", F.lit(r"(?is)<li\b[^>]*>(.*?)</li\s*>"), F.lit(1))
+    card = lambda item, at: F.concat(
+        F.lit('<div class="card wide"><div><div>Nr.</div><h3>'), item, F.lit("</h3></div><div class='note'>"), at.cast("string"), F.lit("</div> tail</div>"))
+    cards = F.array_join(F.transform(items, card), "")
+    shaped = table(spark, sf, "pages").select("page_id", F.concat(
+        F.lit('<div class="card"><h3>Before</h3></div><section id="a" class="cards all"><!-- <div class="card"> -->'),
+        cards, F.lit("</section>"), F.col("html"), F.lit('<div class="card"><h3>After</h3></div>')).alias("html"))
+    rule = enrich.PageRule(
+        "cards", enrich.Element("div", "card"), "card", tagline_class="note", container=enrich.Element(css_class="cards"))
+    return enrich.extract_page_entities(shaped, rule).select("page_id", "item_pos", "name", "tagline")
+
+
 _ABOUT_URL = ("regexp_extract(url, '^(https?://[^/?#]+)', 1) || "
               "(['', '/about', '/team/', '/press'])[page_id % 4 + 1]")
 
 
+_STATED_HTML = "html || '<p>Established in ' || (1990 + page_id % 45) || '</p>'"
+
+
 @query("website_years", f"""
-WITH shaped AS (
-  SELECT page_id, rtrim({_ABOUT_URL}, '/') AS address,
-         regexp_extract(url, '^(https?://[^/?#]+)', 1) AS key, 1990 + page_id % 45 AS year
+WITH stated AS (
+  SELECT page_id, rtrim({_ABOUT_URL}, '/') AS address, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS key,
+         regexp_replace(regexp_replace(regexp_replace(regexp_replace({_STATED_HTML}, '(?is)<script[^>]*>.*?</script>', ' ', 'g'),
+           '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g') AS t
   FROM pages
 ),
+shaped AS (
+  SELECT address, key, list_min(list_filter(list_transform(list_concat(
+           {", ".join(f"regexp_extract_all(t, '(?i){p}', 1)" for p in FOUNDING_PHRASES)}), lambda y: CAST(y AS INTEGER)),
+         lambda y: y BETWEEN 1900 AND 2030)) AS year
+  FROM stated
+),
 ranked AS (
   SELECT key, year, CASE address[len(key) + 1:] WHEN '' THEN 1 WHEN '/about' THEN 2 WHEN '/team' THEN 6 END AS rank
-  FROM shaped WHERE year <= 2030
+  FROM shaped WHERE year IS NOT NULL
 )
 SELECT key, CAST(year AS INTEGER) AS year FROM ranked WHERE rank IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY key ORDER BY rank, year) = 1""")
 def website_years(spark, sf):
+    """The whole pages with one more statement each, as if they were the usual pages of their hosts."""
     paths = F.array(*[F.lit(p) for p in ("", "/about", "/team/", "/press")])
     shaped = table(spark, sf, "pages").select(
         F.concat(F.regexp_extract("url", r"^(https?://[^/?#]+)", 1),
                  F.get(paths, (F.col("page_id") % 4).cast("int"))).alias("url"),
-        F.concat(F.lit("<p>Established in "), (1990 + F.col("page_id") % 45).cast("string"),
-                 F.lit("</p>"), F.regexp_replace("html", r"(?i)(founded|established|since|est)", "x")).alias("html"),
+        F.concat("html", F.lit("<p>Established in "), (1990 + F.col("page_id") % 45).cast("string"), F.lit("</p>")).alias("html"),
     )
     return enrich.website_years(shaped)
 

@@ -250,3 +250,6 @@ ROSTER_FRONT = [
     "sbir_total_usd", "nih_grants", "nih_total_usd", "year_incorp", "industry", "tagline",
     "tto_source_name", "cik", "uei", "duns", "website", "employees", "sbir_first_year",
     "sbir_last_year"]
+
+# Tags of elements that have no end tag.
+VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]

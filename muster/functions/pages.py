@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from muster.defaults import CARD_STATUS_WORDS, ENTITIES, FOUNDING_PHRASES, YEAR_RANGE
+from muster.defaults import CARD_STATUS_WORDS, ENTITIES, FOUNDING_PHRASES, VOID_TAGS, YEAR_RANGE
 from muster.functions.exprs import strip, title_case
 
 
@@ -36,8 +36,17 @@ def founding_year(
     return F.array_min(F.filter(years, lambda y: y.between(low, high)))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with the value made once: it is the argument of a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def decoded(text: Column) -> Column:
     """Text with its character references replaced: numeric ones and the named ones of ``ENTITIES``."""
+    return _once(text, lambda t: F.when(F.contains(t, F.lit("&")), _replaced(t)).otherwise(t))
+
+
+def _replaced(text: Column) -> Column:
     parts = F.split(text, r"&#(?=(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)")
 
     def character(part):
@@ -58,9 +67,59 @@ def attribute(tag: str, name: str, html: Column) -> Column:
 
     The value may stand in double quotes, in single ones or in none.
     """
-    value = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    found = [F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*?\s{name}\s*=\s*{value}", g) for g in (1, 2, 3)]
-    return decoded(F.concat(*found))
+    value = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    found = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*?\s{name}\s*=\s*{value}", 1)
+    return decoded(F.regexp_replace(found, r"""(?s)^(["'])(.*)\1$""", "$2"))
+
+
+def elements(html: Column, tag: str | None = None, css_class: str | None = None, outermost: bool = False) -> Column:
+    """HTML of every element of the tag and class, in page order, each up to its own end tag.
+
+    Elements of the same tag inside it, and text after these, belong to an element; inside ones that fit are
+    elements of their own unless only the ``outermost`` are asked for.  One without an end tag ends with the page.  What
+    stands in comments, scripts and styles is no element.
+    """
+    marked = f"{class_of(css_class)}[^>]*" if css_class else ""
+    fits = rf"(?is)^<{tag or '[a-z][a-z0-9:-]*'}(?![\w:-])[^>]*{marked}>"
+    visible = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
+
+    def tags(parts):
+        return F.transform(parts, lambda p, at: F.struct(
+            at.alias("at"), F.lower(F.regexp_extract(p, r"^</?([A-Za-z][A-Za-z0-9:-]*)", 1)).alias("name"),
+            p.startswith(F.lit("</")).alias("closing"), p.rlike(fits).alias("fits")))
+
+    def own(tokens):
+        names = F.array_distinct(F.transform(F.filter(tokens, lambda t: t["fits"]), lambda t: t["name"]))
+        return _once(names, lambda known: F.filter(tokens, lambda t: F.array_contains(known, t["name"])))
+
+    def found(parts):
+        state = "struct<open:array<struct<at:int,name:string,depth:int>>,done:array<struct<at:int,until:int>>>"
+
+        def step(s, t):
+            # How deep each open element is in elements of its own tag; at zero its end tag is met.
+            moved = F.transform(s["open"], lambda o: F.struct(o["at"].alias("at"), o["name"].alias("name"), (
+                o["depth"] + F.when(o["name"] != t["name"], 0).when(t["closing"], -1).otherwise(1)).alias("depth")))
+            starts = t["fits"] & ((F.size(s["open"]) == 0) | F.lit(not outermost))
+            alone = t["name"].isin(*VOID_TAGS)
+            fresh = F.array(F.struct(t["at"].alias("at"), t["name"].alias("name"), F.lit(1).alias("depth")))
+            whole = F.array(F.struct(t["at"].alias("at"), t["at"].alias("until")))
+            ended = F.transform(F.filter(moved, lambda o: o["depth"] == 0), lambda o: F.struct(o["at"].alias("at"), t["at"].alias("until")))
+            still = F.filter(moved, lambda o: o["depth"] > 0)
+            return F.struct(
+                F.when(starts & ~alone, F.concat(still, fresh)).otherwise(still).alias("open"),
+                F.when(starts & alone, F.concat(s["done"], whole)).otherwise(F.concat(s["done"], ended)).alias("done"))
+
+        def finish(s):
+            rest = F.transform(s["open"], lambda o: F.struct(o["at"].alias("at"), F.size(parts).alias("until")))
+            return F.array_sort(F.concat(s["done"], rest))
+
+        empty = F.from_json(F.lit('{"open":[],"done":[]}'), state)
+        spans = F.aggregate(_once(tags(parts), own), empty, lambda s, t: step(s, t).cast(state), finish)
+        end = lambda e: F.regexp_extract(F.get(parts, e["until"]), r"^[^>]*>", 0)
+        return F.transform(spans, lambda e: F.concat(
+            F.array_join(F.slice(parts, e["at"] + 1, F.greatest(e["until"] - e["at"], F.lit(0))), ""), F.coalesce(end(e), F.lit(""))))
+
+    return _once(F.split(visible, "(?=<)"), found)
 
 
 def element_text(html: Column, opening: str) -> Column:

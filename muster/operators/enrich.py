@@ -19,6 +19,7 @@ from muster.functions.exprs import (
 )
 from muster.functions.names import cik_text
 from muster.functions.pages import (
+    elements,
     attribute,
     card_name,
     class_of,
@@ -134,23 +135,37 @@ def website_years(
     )
 
 
+@dataclass(frozen=True)
+class Element:
+    """Elements of a tag, a class or both."""
+
+    tag: str | None = None
+    css_class: str | None = None
+
+    def inside(self, html: Column, outermost: bool = False) -> Column:
+        return elements(html, self.tag, self.css_class, outermost)
+
+
 @dataclass(frozen=True)
 class PageRule:
     """How one kind of page lists entities.
 
-    ``item`` finds the HTML of one entity (its first group).  ``naming`` is how its name is found:
+    ``item`` finds the HTML of one entity: an expression (its first group), or the elements of a tag and class,
+    each up to its own end tag.  With a ``container`` only what is in such elements counts.
+    ``naming`` is how its name is found:
     ``text`` (plain text of the item), ``logo`` (file name of an image, else the link's host),
     ``card`` (heading, link or text lead) or ``alt`` (image text; the item is the image tag).
     """
 
     source: str
-    item: str
+    item: str | Element
     naming: str
     location: str | None = None
     tagline_class: str | None = None
     location_class: str | None = None
     title_class: str | None = None
     logo_class: str | None = None
+    container: Element | None = None
 
 
 # An item ends at its end tag or where the next one starts, so that items within an item are items too.
@@ -191,9 +206,14 @@ def extract_page_entities(pages: DataFrame, rule: PageRule, html: str = "html")
     """Entity rows of landed pages: ``name, source, tagline, location, url, item_pos`` and the
     page's own columns.  Items without a name are left out."""
     kept = [F.col(c).alias(f"page_{c}" if c == "url" else c) for c in pages.columns if c != html]
-    items = pages.select(
-        *kept, F.posexplode(F.regexp_extract_all(html, F.lit(rule.item), F.lit(1))).alias("item_pos", "item")
-    )
+    scope = F.col(html)
+    if rule.container:
+        scope = F.array_join(rule.container.inside(scope, outermost=True), "")
+    if isinstance(rule.item, Element):
+        listed = rule.item.inside(scope)
+    else:
+        listed = F.regexp_extract_all(scope, F.lit(rule.item), F.lit(1))
+    items = pages.select(*kept, F.posexplode(listed).alias("item_pos", "item"))
     item = F.col("item")
     tagline = classed_text(item, rule.tagline_class) if rule.tagline_class else F.lit("")
     place = classed_text(item, rule.location_class) if rule.location_class else F.lit(rule.location or "")

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from muster.functions import pages
 from muster.operators import columns, enrich, joins, sinks
 from muster.plans import geo, layers
 from muster.schemas import MSA_CONFIG_TYPE, ROSTER_TYPES
@@ -239,6 +240,32 @@ def test_references_quotes_and_nested_items(spark):
     assert [r.name for r in entities(spark, cards, enrich.PageRule("cards", enrich.card_item("company"), "card"))] == ["One & Two", "Three"]
 
 
+def test_elements_are_balanced(spark):
+    """Inner elements of the same tag, tails, containers, elements without end tag, comments and scripts."""
+    def found(html, **of):
+        return spark.createDataFrame([(html,)], "h string").select(pages.elements(F.col("h"), **of)).first()[0]
+
+    nested = '<ul class="x"><li>A<ul><li>B<br>b</li><LI>C</li></ul> tail</li><li id=d>D</ul>after'
+    assert found(nested, tag="li") == [
+        "<li>A<ul><li>B<br>b</li><LI>C</li></ul> tail</li>", "<li>B<br>b</li>", "<LI>C</li>", "<li id=d>D</ul>after"]
+    assert found(nested, tag="li", outermost=True) == ["<li>A<ul><li>B<br>b</li><LI>C</li></ul> tail</li>", "<li id=d>D</ul>after"]
+    marked = '<p class="card">1</p><div class="a card b"><div>2<div></div></div></div><div class="cardx">3</div><span class=card>4</span>'
+    assert found(marked, css_class="card") == ['<p class="card">1</p>', '<div class="a card b"><div>2<div></div></div></div>', "<span class=card>4</span>"]
+    assert found(marked, tag="div", css_class="card") == ['<div class="a card b"><div>2<div></div></div></div>']
+    hidden = "<!-- <b>no</b> --><script>var x = '<b>no</b>'</script></b><b>yes</b><br><img src=x><hr>"
+    assert found(hidden, tag="b") == ["<b>yes</b>"] and found(hidden, tag="img") == ["<img src=x>"]
+    assert found("", tag="b") == [] and found(None, tag="b") is None and found("<b", tag="b") == [] and found("no tags", tag="b") == []
+
+
+def test_container_of_items(spark):
+    html = "<nav><li>Menu</li></nav><div class='list'><ul><li>One<ul><li>In</li></ul> more</li></ul></div><li>Footer</li>"
+    rule = enrich.PageRule("list", enrich.Element("li"), "text", container=enrich.Element(css_class="list"))
+    assert [r.name for r in entities(spark, html, rule)] == ["One In more", "In"]
+    inner = "<div class='list'><div class='company'><div><h3>Eta</h3></div><div>x</div></div><div class='list'><div class='company'><strong>Iota</strong></div></div></div>"
+    rule = enrich.PageRule("cards", enrich.Element("div", "company"), "card", container=enrich.Element("div", "list"))
+    assert [r.name for r in entities(spark, inner, rule)] == ["Eta", "Iota"]
+
+
 def test_portfolio_noise_and_order(spark):
     found = spark.createDataFrame([("Menu", "x", 1), ("A", "x", 2), ("Acme", "x", 3)], "name string, msa string, ord int")
     built = layers.build_portfolio([columns.tag(found, source="s")], columns.tag(found, source="seed"))
