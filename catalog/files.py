@@ -20,10 +20,10 @@ def landing(spark, label: str) -> str:
     return f"{session_folder(spark)}/landing-{label}-{uuid.uuid4().hex}"
 
 
-def write_lines(df, header: str, path: str) -> None:
+def write_lines(df, header: str, path: str, compression: str = "none") -> None:
     """A text column as the lines of files that begin with the given header line."""
     df.select(df[df.columns[0]].alias(header)).write.options(
-        header=True, quote="", escape="", sep="\x01", encoding="ISO-8859-1"
+        header=True, quote="", escape="", sep="\x01", encoding="ISO-8859-1", compression=compression
     ).csv(path)
 
 
@@ -214,7 +214,8 @@ def merge_files(spark, source: str, prefix: str) -> None:
     system = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(path(prefix).getParent())
     for i, status in enumerate(system.globStatus(path(f"{source}/part-*"))):
-        system.rename(status.getPath(), path(f"{prefix}_{i}.tsv"))
+        ending = ".tsv.gz" if status.getPath().getName().endswith(".gz") else ".tsv"
+        system.rename(status.getPath(), path(f"{prefix}_{i}{ending}"))
 
 
 @query("load_filings", with_base(select="""
@@ -243,20 +244,20 @@ def load_filings(spark, sf):
 @query("quarter_filings", with_base(select="""
 SELECT q.quarter AS _quarter, ord AS accession, name, msa, strftime(o_orderdate, '%Y-%m-%d') AS filed,
        CASE WHEN q.quarter = '2020q1' THEN entity_type ELSE 'Other' END AS other_type
-FROM scoped_filings, (VALUES ('2020q1'), ('2020q2')) q(quarter)"""))
+FROM scoped_filings, (VALUES ('2020q1'), ('2020q2'), ('2020q4')) q(quarter)"""))
 def quarter_filings(spark, sf):
-    """Quarters with the same numbers, in two header layouts, and one that lacks a table."""
+    """Quarters with the same numbers, in two header layouts, one compressed, and one that lacks a table."""
     from catalog.tables import city_allowlist
 
     root = landing(spark, "quarters")
     rows = filing_rows(spark, sf)
-    for quarter, layout in (("2020q1", _TABLES), ("2020q2", _TABLES_RENAMED), ("2020q3", _TABLES)):
+    for quarter, layout in (("2020q1", _TABLES), ("2020q2", _TABLES_RENAMED), ("2020q3", _TABLES), ("2020q4", _TABLES)):
         for name, fields in layout.items():
             if (quarter, name) == ("2020q3", "offerings"):
                 continue
             shaped = rows if quarter == "2020q1" or name != "offerings" else rows.withColumn("ENTITYTYPE", F.lit("Other"))
             named = [F.col(_OLD_NAMES.get(f, f)) for f in fields]
-            write_lines(shaped.select(F.concat_ws("\t", *named).alias("line")), "\t".join(fields), f"{root}/parts/{quarter}/{name}")
+            write_lines(shaped.select(F.concat_ws("\t", *named).alias("line")), "\t".join(fields), f"{root}/parts/{quarter}/{name}", "gzip" if quarter == "2020q4" else "none")
             merge_files(spark, f"{root}/parts/{quarter}/{name}", f"{root}/{quarter}/{_FILE_NAMES[name]}")
     scoped = layers.load_filings(spark, f"{root}/20*", config.city_dimension(city_allowlist(spark, sf)))
     return scoped.select(

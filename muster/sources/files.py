@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -79,24 +80,48 @@ def listed_quarters(spark: SparkSession, root: str, prefix: str) -> set[str]:
     return {r.quarter for r in _listing(spark, root, prefix).select(quarter).distinct().collect()}
 
 
-def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Files by their header line.  Only first lines are read, many files at a time."""
-    layouts: dict[str, list[str]] = {}
-    with ThreadPoolExecutor(32) as pool:
-        for path, line in zip(paths, pool.map(lambda p: _first_line(spark, p), paths)):
-            layouts.setdefault(line.rstrip("\r"), []).append(path)
-    return layouts
+# A task per file that reads no further than its first line.
+_FIRST_LINES = {
+    "spark.sql.files.maxPartitionBytes": f"{1 << 60}b",
+    "spark.sql.files.openCostInBytes": f"{1 << 60}b",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
+}
+
+
+def header_lines(spark: SparkSession, path: str | Sequence[str], prefix: str | None = None) -> DataFrame:
+    """``path, line`` of the files below a path, as bytes, with files in compressed form decoded; empty files have none."""
 
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    reader = spark.read.options(recursiveFileLookup=True)
+    if prefix is not None:
+        reader = reader.option("pathGlobFilter", _glob_any_case(prefix))
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line"))
+    return lines.mapInArrow(first, "path string, line binary")
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "ISO-8859-1"))
+
+def _by_header(spark: SparkSession, path: str | Sequence[str], prefix: str | None = None) -> dict[str, list[str]]:
+    """Files by their header line.  Executors open them; the driver gets one line of each."""
+    before = {k: spark.conf.get(k, None) for k in _FIRST_LINES}
     try:
-        return reader.readLine() or ""
+        for k, v in _FIRST_LINES.items():
+            spark.conf.set(k, v)
+        found = header_lines(spark, path, prefix).collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = []
     finally:
-        reader.close()
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    layouts: dict[str, list[str]] = {}
+    for row in sorted(found):
+        layouts.setdefault(bytes(row.line).decode("latin-1"), []).append(unquote(row.path))
+    return layouts
 
 
 def read_table_files(spark: SparkSession, root: str, prefix: str) -> DataFrame | None:
@@ -106,10 +131,9 @@ def read_table_files(spark: SparkSession, root: str, prefix: str) -> DataFrame |
     names come out in upper case, and ``_quarter`` is the ``2020q1`` part of the path.  None when
     there are no such files.
     """
-    listing = sorted(row.path for row in _listing(spark, root, prefix).collect())
     quarter = F.lower(F.regexp_extract("_file", _QUARTER, 1)).alias("_quarter")
     table = None
-    for line, paths in sorted(_by_header(spark, listing).items()):
+    for line, paths in sorted(_by_header(spark, root, prefix).items()):
         header = [c.strip('"') for c in line.split("\t")]
         rows = read_tsv(spark, paths, header).select(
             *[quoted(c).alias(c.upper()) for c in header], quarter
@@ -120,9 +144,8 @@ def read_table_files(spark: SparkSession, root: str, prefix: str) -> DataFrame |
 
 def _csv_layouts(spark: SparkSession, path: str, **options) -> list[tuple[DataFrameReader, list[str]]]:
     """A reader and its files for each header line below a path, so that columns are found by name."""
-    listing = sorted(row.path for row in _listing(spark, path).collect())
     reader = lambda: spark.read.options(header=True, quote='"', escape='"', **options)
-    return [(reader(), paths) for _, paths in sorted(_by_header(spark, listing).items())]
+    return [(reader(), paths) for _, paths in sorted(_by_header(spark, path).items())]
 
 
 def read_bulk_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

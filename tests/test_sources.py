@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -240,6 +241,29 @@ def test_references_quotes_and_nested_items(spark):
     assert [r.name for r in entities(spark, cards, enrich.PageRule("cards", enrich.card_item("company"), "card"))] == ["One & Two", "Three"]
 
 
+def test_headers_are_read_by_executors(spark, tmp_path):
+    """Compressed files, names with blanks and signs, layouts of their own, empty files, long files."""
+    root = tmp_path / "layer"
+    (root / "2020Q1 x%41").mkdir(parents=True)
+    (root / "2020q2").mkdir()
+    (root / "2020Q1 x%41" / "Issuers.tsv").write_bytes("A\tNamé\n1\tSociété\n".encode("latin-1") + b"2\tx\n" * 50_000)
+    with gzip.open(root / "2020q2" / "ISSUERS.tsv.gz", "wb") as file:
+        file.write("NAMÉ\tB\r\nDrei\tzwei\r\n".encode("latin-1"))
+    (root / "2020q2" / "issuers_empty.tsv").write_bytes(b"")
+    settings = {k: spark.conf.get(k, None) for k in files._FIRST_LINES}
+    lines = files._by_header(spark, str(root), "issuers")
+    assert sorted(lines) == ["A\tNamé", "NAMÉ\tB"] and [len(p) for p in lines.values()] == [1, 1]
+    assert settings == {k: spark.conf.get(k, None) for k in files._FIRST_LINES}
+    table = files.read_table_files(spark, str(root), "issuers")
+    assert table.columns == ["A", "NAMÉ", "_quarter", "B"] and table.count() == 50_002
+    rows = table.filter("A = '1' OR B IS NOT NULL").select("A", "NAMÉ", "B", "_quarter").collect()
+    assert sorted(map(tuple, rows), key=str) == [("1", "Société", None, "2020q1"), (None, "Drei", "zwei", "2020q2")]
+    assert files.read_table_files(spark, str(root), "nothing") is None
+    with gzip.open(tmp_path / "bulk.csv.gz", "wt") as file:
+        file.write('City,Name\nRome,"A, B"\n')
+    assert [tuple(r) for r in files.read_bulk_csv(spark, str(tmp_path / "bulk.csv.gz")).select("Name", "City").collect()] == [("A, B", "Rome")]
+
+
 def test_elements_are_balanced(spark):
     """Inner elements of the same tag, tails, containers, elements without end tag, comments and scripts."""
     def found(html, **of):
