@@ -140,6 +140,12 @@ def bucket_counts(tokens: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def coarse(counts: bytes) -> bytes:
+    """The counts of 64 buckets, which the finer ones fall into; a full counter stays full."""
+    fine = np.frombuffer(counts, np.uint8).reshape(-1, 64)
+    return np.where((fine == 255).any(axis=0), 255, np.minimum(fine.sum(axis=0, dtype=np.int64), 255)).astype(np.uint8).tobytes()
+
+
 def most_overlap(one: bytes, other: bytes) -> int:
     """No two sets with these bucket counts share more tokens; a full counter bounds nothing."""
     a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (one, other))
@@ -402,9 +408,16 @@ def link_documents(
     members = materialize(members, "members")
     unions = members.select("g", "n", "tokens").mapInArrow(unite, "g long, n int, buckets binary")
     single = sketches.join(homes.select(F.col("sid").alias("g")), "g", "left_anti")
-    matrix = unions.unionByName(single).join(grouped.select("g").distinct(), "g", "left_semi").select("g", F.col("n").alias("least"), "buckets")
+    matrix = unions.unionByName(single).join(grouped.select("g").distinct(), "g", "left_semi")
     matrix = materialize(matrix, "matrix")
-    grouped = grouped.join(matrix, "g")
+
+    def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("g"), batch.column("n"), pa.array([coarse(b) for b in batch.column("buckets").to_pylist()], pa.binary())], ["g", "least", "buckets"])
+
+    # The entries of a token carry the outlines of their rows of the matrix; what passes is held against the rows themselves.
+    grouped = grouped.join(matrix.mapInArrow(outline, "g long, least int, buckets binary"), "g")
 
     def across_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of a token's groups of different components that sizes, positions and the matrix allow."""
@@ -429,7 +442,7 @@ def link_documents(
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], ["a", "b"])
 
     cross = grouped.repartition("token").sortWithinPartitions("token", "low", "g").mapInArrow(across_groups, "a long, b long").distinct()
-    cross = materialize(cross, "cross")
+    cross = bounded(materialize(cross, "cross"), matrix)
     wanted = ends(cross).join(members.select("g"), "g", "left_anti")
     known = sets.join(homes.select("sid"), "sid", "left_anti").select(F.col("sid").alias("g"), F.array("sid").alias("sids"), F.array("tokens").alias("tokens"))
     missing = materialize(wanted.join(known.select("g"), "g", "left_anti").withColumnRenamed("g", "sid"), "missing")

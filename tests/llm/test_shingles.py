@@ -3,7 +3,7 @@ import random
 import pytest
 
 from muster.llm import shingles
-from muster.llm.shingles import Common, bucket_counts, link_documents, most_overlap, needed, one_of_each, overlap
+from muster.llm.shingles import Common, bucket_counts, coarse, link_documents, most_overlap, needed, one_of_each, overlap
 
 import numpy as np
 
@@ -85,6 +85,7 @@ def test_bounds():
         pool = draw.integers(0, 2 ** 63, 400).astype(np.uint64)
         one, other = (np.unique(draw.choice(pool, draw.integers(1, 390))) for _ in range(2))
         assert overlap(one, other) == len(np.intersect1d(one, other)) <= most_overlap(bucket_counts(one), bucket_counts(other))
+        assert most_overlap(bucket_counts(one), bucket_counts(other)) <= most_overlap(coarse(bucket_counts(one)), coarse(bucket_counts(other)))
     for a in range(1, 40):
         for b in range(1, 40):
             least = needed(a, b, 85)
