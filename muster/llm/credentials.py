@@ -1,15 +1,17 @@
 """Secrets in texts: fixed patterns, and formats inferred from labelled credentials.
 
-Credentials of each kind are read as strings of character classes.  Their prefix tree becomes a probabilistic
-automaton by state merging: two states merge if, by Hoeffding's bound, they end and continue alike, and so do
-all states below them.  Every other long token of a text is scored by its likelihood under each kind's
-automaton, against one inferred in the same way from ordinary tokens.
+Credentials that the fixed patterns label are read as strings of character classes, apart from a literal prefix that
+several of a kind share.  Their prefix tree becomes a probabilistic automaton by state merging: two states merge if,
+by Hoeffding's bound, they end and continue alike, and so do all states below them.  Every token of a text is scored
+by its likelihood under each format's automaton, against those inferred in the same way from words and from other
+tokens with digits.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import os
 import re
 from collections.abc import Iterator
 
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from muster.llm.batches import pieces
+from muster.llm.batches import Bounded, pieces
 
 KINDS = ["assign", "access", "hex"]
 FOUND = "format"
@@ -26,16 +28,29 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-ORDINARY = "ordinary"
-SAMPLE = 800  # credentials of each kind, and ordinary tokens, that inference may see
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_](?:[A-Za-z0-9+/_=.~-]{6,}[A-Za-z0-9+/_=])")
+LEAST_LENGTH = 8
+WORDS, NUMBERS = "words", "numbers"  # other tokens without and with digits
+SAMPLE = 800  # credentials of each kind, words and other tokens with digits that inference may see
 CONFIDENCE = 0.05
+SHARE_PREFIX = 5  # credentials that make a prefix a format of its own
+LEAST_SHARE = 0.5  # of the shortest labelled credential of a format, which a token must have at least
 _SMOOTH = 0.02
+_PREFIX = re.compile(r"(?:[A-Za-z]{2,10}[_-]){1,3}(?=.)")
+_LETTERS = str.maketrans({**dict.fromkeys("0123456789", "d"), **dict.fromkeys("abcdef", "h"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "l"),
+                          **dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "u")})
 
 
 def symbols(token: str) -> str:
-    """Character classes: digit, lower-case letter within and beyond hexadecimal, capital, or the sign itself."""
-    return "".join("d" if "0" <= c <= "9" else "h" if "a" <= c <= "f" else "l" if "a" <= c <= "z" else "u" if "A" <= c <= "Z" else c for c in token)
+    """Character classes: digit, lower-case letter within and beyond hexadecimal, capital, or the sign itself.
+
+    A token without lower-case letters counts as if its letters were such: formats are read in either case.
+    """
+    return (token.lower() if token.upper() == token else token).translate(_LETTERS)
+
+
+def is_word(token: str) -> bool:
+    return token.isalpha() and (token.islower() or token.isupper() or token.istitle())
 
 
 class Automaton:
@@ -112,7 +127,7 @@ class Automaton:
                 kept.append(state)
 
     def score(self, word: str) -> float:
-        """Mean log likelihood of a symbol string's moves and end; what was never seen has a small share."""
+        """Log likelihood of a symbol string's moves and end; what was never seen has a small share."""
         total, state = 0.0, self.root
         for s in word:
             to = self.moves[state].get(s) if state is not None else None
@@ -122,35 +137,73 @@ class Automaton:
                 total += math.log((to[1] + _SMOOTH) / (self.passed[state] + 1))
                 state = to[0]
         total += math.log((self.ended[state] + _SMOOTH) / (self.passed[state] + 1)) if state is not None else math.log(_SMOOTH / 10)
-        return total / (len(word) + 1)
+        return total
+
+
+class Format:
+    """What credentials of a kind look like: literal prefix, automaton of the rest, least length and likelihood."""
+
+    def __init__(self, kind: str, prefix: str, tokens: list[str]):
+        self.kind, self.prefix = kind, prefix
+        self.least_length = max(LEAST_LENGTH, int(LEAST_SHARE * min(len(t) for t in tokens)))
+        words = [symbols(t[len(prefix):]) for t in tokens]
+        # From ten on, every fifth credential is held back to find the likelihood that credentials have; the twentieth part may be less likely.
+        held = words[::5] if len(words) >= 10 else words
+        self.automaton = Automaton([w for i, w in enumerate(words) if i % 5] if len(words) >= 10 else words).merge()
+        likely = sorted(self.automaton.score(w) / (len(w) + 1) for w in held)
+        self.least = likely[len(likely) // 20] - (0 if len(words) >= 10 else 0.1)
+
+    def score(self, token: str) -> float | None:
+        """Log likelihood of a token; None if it is none of this format."""
+        if len(token) < self.least_length or not token.startswith(self.prefix):
+            return None
+        word = symbols(token[len(self.prefix):])
+        own = self.automaton.score(word)
+        return own if own >= self.least * (len(word) + 1) else None
 
 
 class Formats:
-    """One automaton per kind with its least score, and one of ordinary tokens."""
+    """The formats of each kind of credentials, and automata of ordinary tokens to hold against them.
+
+    Credentials that are plain words teach no format.  Any number of credentials makes one, be it a single one.
+    """
 
-    def __init__(self, known: dict[str, list[str]], ordinary: list[str]):
-        self.ordinary = Automaton([symbols(t) for t in ordinary]).merge()
-        self.kinds: dict[str, tuple[Automaton, float]] = {}
+    def __init__(self, known: dict[str, list[str]], ordinary: dict[str, list[str]]):
+        self.ordinary = [Automaton([symbols(t) for t in tokens]).merge() for _, tokens in sorted(ordinary.items()) if tokens]
+        self.formats: list[Format] = []
         for kind, tokens in sorted(known.items()):
-            words = [symbols(t) for t in tokens]
-            if len(words) >= 20:
-                # Every fifth credential is held back to find the score that credentials have.
-                fit = Automaton([w for i, w in enumerate(words) if i % 5]).merge()
-                held = sorted(fit.score(w) for w in words[::5])
-                self.kinds[kind] = (fit, held[len(held) // 20])
-        self.memo: dict[str, tuple[str, float] | None] = {}
+            groups: dict[str, list[str]] = {}
+            for t in tokens:
+                if not is_word(t) and len(t) >= LEAST_LENGTH:
+                    found = _PREFIX.match(t)
+                    groups.setdefault(found[0] if found else "", []).append(t)
+            rest = groups.pop("", [])
+            for prefix, own in sorted(groups.items()):
+                if len(own) >= SHARE_PREFIX:
+                    self.formats.append(Format(kind, prefix, own))
+                else:
+                    rest += own
+            if rest:
+                shared = os.path.commonprefix(rest)[:4] if len(rest) >= SHARE_PREFIX else ""
+                self.formats.append(Format(kind, shared if len(shared) == 4 else "", rest))
+        self.memo = Bounded()
 
     def judge(self, token: str) -> tuple[str, float] | None:
-        """The likeliest kind of a token and by how much it beats ordinary tokens; None if it is ordinary."""
-        word = symbols(token)
-        if word not in self.memo:
-            if len(self.memo) > 200_000:
-                self.memo.clear()
-            plain = self.ordinary.score(word)
-            scores = [(fit.score(word), least, kind) for kind, (fit, least) in self.kinds.items()]
-            passed = [(s - plain, kind) for s, least, kind in scores if s >= least and s > plain]
-            self.memo[word] = (max(passed)[1], max(passed)[0]) if passed else None
-        return self.memo[word]
+        """The likeliest kind of a token and by how much its log likelihood beats ordinary tokens; None if it is ordinary."""
+        if is_word(token) or not self.formats:
+            return None
+        if token not in self.memo:
+            self.memo.make_room()
+            scores = [(own, f.kind) for f in self.formats if (own := f.score(token)) is not None]
+            verdict = None
+            if scores:
+                word = symbols(token)
+                best, kind = max(scores)
+                plain = max((a.score(word) for a in self.ordinary), default=-math.inf)
+                if best > plain:
+                    verdict = (kind, best - plain if self.ordinary else best)
+            self.memo.keep(token, verdict)
+        return self.memo[token]
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -167,19 +220,20 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def candidates(text: str, base: list[tuple]) -> Iterator[tuple[int, int, str]]:
-    """Long tokens with letters and digits that no base span touches."""
+    """Tokens of eight characters or more, plain words aside, that no base span touches."""
+    at = 0
     for m in CANDIDATE.finditer(text):
-        token = m[0]
-        if not token.isalpha() and any(c.isdigit() for c in token) and any(c.isalpha() for c in token):
-            if not any(s < m.end() and m.start() < e for s, e, *_ in base):
-                yield (*m.span(), token)
+        while at < len(base) and base[at][1] <= m.start():
+            at += 1
+        if not is_word(m[0]) and not any(s < m.end() and m.start() < e for s, e, *_ in base[at:at + 4]):
+            yield (*m.span(), m[0])
 
 
-def fit_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Formats:
+def fit_formats(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Formats:
     """Infer the formats from the credentials that the fixed patterns label.
 
-    At most ``sample`` different ones of each kind and as many ordinary tokens are learned from, those with
-    the least hash.  Kinds with fewer than 20 have no automaton.
+    At most ``sample`` different ones of each kind, as many words and as many other tokens with digits are learned
+    from, those with the least hash.
     """
     texts = docs.select(F.col(text_col).alias("text")).filter("text IS NOT NULL")
 
@@ -188,9 +242,10 @@ def fit_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         least: dict[str, dict[str, int]] = {}
         for batch in pieces(batches, "text"):
             for text in batch.column("text").to_pylist():
-                found = [(kind, token) for *_, kind, token in base_spans(text)]
-                words = CANDIDATE.findall(text)
-                found += [(ORDINARY, w) for w in words if w.isalpha()]
+                base = base_spans(text)
+                found = {(kind, token) for *_, kind, token in base}
+                found |= {(NUMBERS, t) for _, _, t in candidates(text, base) if any("0" <= c <= "9" for c in t)}
+                found |= {(WORDS, w) for w in CANDIDATE.findall(text) if w.isalpha()}
                 for kind, token in found:
                     own = least.setdefault(kind, {})
                     if token not in own:
@@ -201,19 +256,23 @@ def fit_formats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         yield pa.RecordBatch.from_pylist([{"kind": k, "token": t, "h": h} for k, t, h in rows],
                                          pa.schema([("kind", pa.string()), ("token", pa.string()), ("h", pa.int64())]))
 
-    rows = texts.mapInArrow(gather, "kind string, token string, h long").distinct()
-    place = F.row_number().over(Window.partitionBy("kind").orderBy("h"))
+    rows = texts.mapInArrow(gather, "kind string, token string, h long").withColumn("part", F.spark_partition_id() % 199).distinct()
+    # The least of each share of the tasks first, so that no task reads what all others pass on.
+    for place in (["kind", "part"], ["kind"]):
+        rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(*place).orderBy("h", "token"))).filter(F.col("n") <= sample)
+        rows = rows.select("kind", "token", "h").distinct() if "part" in place else rows
     known: dict[str, list[str]] = {}
-    for r in rows.withColumn("n", place).filter(F.col("n") <= sample).orderBy("kind", "h").collect():
+    for r in rows.orderBy("kind", "h", "token").collect():
         known.setdefault(r["kind"], []).append(r["token"])
-    return Formats({k: v for k, v in known.items() if k != ORDINARY}, known.get(ORDINARY, []))
+    return Formats({k: v for k, v in known.items() if k in KINDS}, {k: v for k, v in known.items() if k not in KINDS})
 
 
 def find_secrets(docs: DataFrame, formats: Formats | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Secrets of every row: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans, found``.
 
     ``base_sha256`` is of the fixed patterns' spans alone; ``spans`` has these and those of kind ``format``,
-    by start and then kind; ``found`` lists all as structs with the secret and the format's score.
+    by start and then kind; ``found`` lists all as structs with the secret and its log likelihood as a credential
+    over that as an ordinary token, null where a base credential looks ordinary.
     Offsets count code points, ends are exclusive.  A null text is empty; rows are judged one by one.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -229,7 +288,7 @@ def find_secrets(docs: DataFrame, formats: Formats | None, id_col: str = "doc_id
             for text in batch.column("text").to_pylist():
                 text = text or ""
                 base = base_spans(text)
-                every = [(s, e, k, text[s:e], None) for s, e, k, _ in base]
+                every = [(s, e, k, text[s:e], (own and own.judge(c) or (k, None))[1]) for s, e, k, c in base]
                 for s, e, token in candidates(text, base) if own is not None else ():
                     verdict = own.judge(token)
                     if verdict is not None:

@@ -40,14 +40,60 @@ def test_spans_and_digest(spark):
         assert all(f.secret == text[f.start:f.end] for f in r.found)
 
 
-def test_formats_are_learned():
+def made(draw, alphabet, count):
+    return "".join(draw.choice(alphabet) for _ in range(count))
+
+
+LOWER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+SHAPES = {
+    "ghp": lambda d: "ghp_" + made(d, LOWER + LOWER.upper() + DIGITS, 36),
+    "live": lambda d: "sk_live_" + made(d, LOWER + LOWER.upper() + DIGITS, 24),
+    "hex": lambda d: made(d, "abcdef" + DIGITS, d.choice([32, 40])),
+    "capital hex": lambda d: made(d, "ABCDEF" + DIGITS, 40),
+    "groups": lambda d: "-".join(made(d, LOWER.upper() + DIGITS, 5) for _ in range(5)),
+}
+ORDINARY = {
+    "card": lambda d: made(d, DIGITS, 16),
+    "address": lambda d: ".".join(str(d.randint(10, 255)) for _ in range(4)),
+    "date": lambda d: f"{d.randint(1990, 2030)}-{d.randint(10, 12)}-{d.randint(10, 28)}",
+    "slug": lambda d: "-".join(made(d, LOWER, d.randint(3, 8)) for _ in range(4)) + f"-{d.randint(1, 99)}",
+    "path": lambda d: "/" + "/".join(made(d, LOWER, d.randint(3, 8)) for _ in range(3)) + f"/{d.randint(1, 999)}.html",
+    "name": lambda d: made(d, LOWER, 9) + "_" + made(d, LOWER, 6),
+}
+
+
+def test_formats_find_unlabelled_credentials(spark):
     draw = random.Random(1)
-    key = lambda: "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(4)) + "-" + "".join(draw.choice("0123456789") for _ in range(16))
-    plain = ["".join(draw.choice(["ta", "re", "mi"]) for _ in range(10)) for _ in range(200)]
-    formats = Formats({"assign": [key() for _ in range(200)]}, plain)
-    assert sum(formats.judge(key()) is not None for _ in range(100)) >= 90
-    assert sum(formats.judge(p) is not None for p in plain) == 0
-    assert formats.judge("a1" * 12) is None
+    # Half of the credentials are labelled by an assignment; the others stand alone, and so do ordinary tokens.
+    rows, wanted, plain = [], {}, {}
+    for n in range(150):
+        for name, make in SHAPES.items():
+            rows.append((len(rows), f"see token = {make(draw)} in the settings of it", "x"))
+            if name != "hex":
+                token = make(draw)
+                wanted[len(rows)] = (name, token)
+                rows.append((len(rows), f"they sent ({token}), and no word of it", "x"))
+        for name, make in ORDINARY.items():
+            plain[len(rows)] = name
+            rows.append((len(rows), f"read {make(draw)} again, said something", "x"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind string").repartition(5)
+    found = {r.doc_id: r for r in find_secrets(docs, fit_formats(docs)).collect()}
+    hit = {name: [] for name in SHAPES if name != "hex"}
+    for i, (name, token) in wanted.items():
+        hit[name].append(any(f.secret == token and f.kind == "format" and f.score > 0 for f in found[i].found))
+    assert all(sum(h) >= 0.85 * len(h) for h in hit.values()), {k: sum(h) / len(h) for k, h in hit.items()}
+    assert sum(map(sum, hit.values())) >= 0.9 * len(wanted)
+    alarms = [plain[i] for i in plain if found[i].spans]
+    assert len(alarms) <= 0.02 * len(plain), alarms
+
+
+def test_few_credentials_make_a_format():
+    draw = random.Random(2)
+    words = {"numbers": [ORDINARY["card"](draw) for _ in range(50)], "words": [made(draw, LOWER, 9) for _ in range(50)]}
+    formats = Formats({"assign": [SHAPES["hex"](draw) for _ in range(8)]}, words)
+    assert sum(formats.judge(SHAPES["hex"](draw)) is not None for _ in range(50)) >= 25
+    assert formats.judge(ORDINARY["card"](draw)) is None and formats.judge(made(draw, LOWER, 9)) is None
+    assert Formats({"assign": ["changeme", "letmein12"[:7]]}, words).formats == [] and Formats({}, {}).judge("a1" * 20) is None
 
 
 def test_states_merge_to_a_loop():
@@ -60,7 +106,7 @@ def test_states_merge_to_a_loop():
             waiting += [to for to, _ in automaton.moves[state].values()]
     assert len(reached) <= 4
     assert automaton.score("aaaa") > automaton.score("ab")
-    assert symbols("aF9z_") == "hudl_"
+    assert symbols("aF9z_") == "hudl_" and symbols("F9Z") == "hdl"
 
 
 def test_no_rows(spark):
