@@ -26,6 +26,8 @@ KEY = b"surrogates of muster"
 KEY_SETTING = "muster.surrogates.key"
 MAX_ROUNDS = 200
 WIDEN = 8  # draws after which mail names and domains get one more letter or digit
+LENGTHEN = 20  # draws after which names get longer
+SHORT_ROUNDS = 2  # rounds before names take the length that their number needs; mail names and domains have three times as many
 
 # Titles before names, by gender.
 MALE = ["Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Don", "г-н", "господин"]
@@ -100,6 +102,35 @@ def _titled(text: str, at: int) -> list[tuple[int, str]]:
     return taken
 
 
+def _named(titled: list[tuple[str, list[tuple[int, str]]]]) -> list[tuple[int, int, str, str, str]]:
+    """The entities of a text's titled names, given as gender of the title and words.
+
+    The last word is the surname, unless it stands alone and is only a given name elsewhere in the text.  A given
+    name has one gender in a text if its titles, or else those of the surnames after it, tell just one.
+    """
+    firsts = {word.casefold() for _, taken in titled for _, word in taken[:-1]}
+    lasts = {taken[-1][1].casefold() for _, taken in titled if len(taken) > 1}
+    told: dict[tuple[bool, str], set[str]] = {}
+    parts = []
+    for gender, taken in titled:
+        alone = taken[0][1].casefold()
+        given = len(taken) if len(taken) == 1 and alone in firsts and alone not in lasts else len(taken) - 1
+        parts.append((gender, taken, given))
+        if gender != "n":
+            for i, (_, word) in enumerate(taken):
+                told.setdefault((i < given, word.casefold()), set()).add(gender)
+    out = []
+    for gender, taken, given in parts:
+        last = taken[-1][1].casefold()
+        for i, (at, word) in enumerate(taken):
+            norm, part = word.casefold(), "surname"
+            if i < given:
+                known = told.get((True, norm)) or (told.get((False, last), set()) if given < len(taken) else set())
+                part = f"given-{min(known) if gender == 'n' and len(known) == 1 else gender}"
+            out.append((at, at + len(word), part, f"{part}:{script(word)}", norm))
+    return out
+
+
 def _mentions(text: str, named: list[tuple[int, int, str, str, str]]) -> list[tuple[int, int, str, str, str]]:
     """Every other capitalized mention of the parts of ``named``, the titled names of a text.
 
@@ -162,12 +193,7 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
             if 15 <= len(norm) <= 34 and sum(c.isdigit() for c in norm) >= 10:
                 found.append((m.start(), m.end(), "account", f"account:{len(norm)}", norm))
     if any(t in text for t in _TITLES):
-        named = []
-        for m in TITLE.finditer(text):
-            taken = _titled(text, m.end())
-            for i, (at, word) in enumerate(taken):
-                part = "surname" if i == len(taken) - 1 else f"given-{_TITLES[m[1]]}"
-                named.append((at, at + len(word), part, f"{part}:{script(word)}", word.casefold()))
+        named = _named([(_TITLES[m[1]], taken) for m in TITLE.finditer(text) if (taken := _titled(text, m.end()))])
         found += named + (_mentions(text, named) if named else [])
     found.sort(key=lambda x: (x[0], -x[1]))
     kept: list[tuple[int, int, str, str, str]] = []
@@ -232,13 +258,39 @@ def surrogate(space: str, norm: str, key: bytes, attempt: int) -> str:
         names = GIVEN[detail, kind[-1]]
         name = names[draw.below(len(names))].casefold()
         # Beyond as many entities as names, a second name is joined on.
-        return name if attempt < 20 else f"{name}-{names[draw.below(len(names))].casefold()}" + "".join(SYLLABLES[detail][draw.below(len(SYLLABLES[detail]))] for _ in range((attempt - 20) // 20))
+        return name if attempt < LENGTHEN else f"{name}-{names[draw.below(len(names))].casefold()}" + "".join(SYLLABLES[detail][draw.below(len(SYLLABLES[detail]))] for _ in range((attempt - LENGTHEN) // LENGTHEN))
     if kind == "surname":
         own = SYLLABLES[detail]
-        return "".join(own[draw.below(len(own))] for _ in range(2 + (len(norm) > 5) + (len(norm) > 8) + attempt // 20))
+        return "".join(own[draw.below(len(own))] for _ in range(2 + (len(norm) > 5) + (len(norm) > 8) + attempt // LENGTHEN))
     return _shaped(draw, norm) + _more(draw, norm, attempt)
 
 
+def draw_number(space: str, entities_of_space: int, turn: int) -> int:
+    """Which draw an entity takes in a round, so that few rounds settle a space of any size.
+
+    After the first rounds, names take at once as many words or syllables as give four times as many names as the
+    space has entities; mail names and domains as many further letters or digits.
+    """
+    kind, _, detail = space.partition(":")
+    room = 4 * entities_of_space
+    if kind.startswith("given"):
+        names = len(GIVEN[detail, kind[-1]])
+        if turn < SHORT_ROUNDS or room <= 2 * names:
+            return turn
+        longer, has = 1, names * names
+        while has < room:
+            longer, has = longer + 1, has * len(SYLLABLES[detail])
+        return turn + LENGTHEN * longer
+    if kind == "surname" and turn >= SHORT_ROUNDS:
+        longer, has = 0, len(SYLLABLES[detail]) ** 2
+        while has < room:
+            longer, has = longer + 1, has * len(SYLLABLES[detail])
+        return turn + LENGTHEN * longer
+    if kind in ("mail", "domain") and turn >= 3 * SHORT_ROUNDS:
+        return turn + WIDEN * len(str(room))
+    return turn
+
+
 def render(kind: str, surface: str, made: str) -> str:
     """The surrogate in the format of the text: signs where they were, capitals as they were."""
     if kind in ("phone", "card", "ssn", "account"):
@@ -259,14 +311,16 @@ def resolve(found: DataFrame, key: bytes) -> DataFrame:
     A draw that is an original of its space, that a settled entity has, or that an entity of lesser hash also drew,
     is drawn again.  All checks are joins and aggregations over the table.
     """
-    schema = "space string, norm string, h long, surrogate string"
-    open_ones = materialize(found.select("space", "norm", F.xxhash64("space", "norm").alias("h")), "entities")
+    schema = "space string, norm string, h long, size long, surrogate string"
+    sizes = found.groupBy("space").agg(F.count(F.lit(1)).alias("size"))
+    open_ones = materialize(found.join(sizes, "space").select("space", "norm", F.xxhash64("space", "norm").alias("h"), "size"), "entities")
     settled = None
     for attempt in range(MAX_ROUNDS):
         def draw(batches: Iterator[pa.RecordBatch], attempt=attempt) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                made = [surrogate(s, n, key, attempt) for s, n in zip(batch.column("space").to_pylist(), batch.column("norm").to_pylist())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["space", "norm", "h", "surrogate"])
+                rows = zip(*(batch.column(c).to_pylist() for c in ("space", "norm", "size")))
+                made = [surrogate(s, n, key, draw_number(s, size, attempt)) for s, n, size in rows]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["space", "norm", "h", "size", "surrogate"])
 
         drawn = materialize(open_ones.mapInArrow(draw, schema), "drawn")
         first = drawn.groupBy("space", "surrogate").agg(F.min(F.struct("h", "norm")).alias("w"))
@@ -283,6 +337,15 @@ def resolve(found: DataFrame, key: bytes) -> DataFrame:
     raise RuntimeError(f"surrogates not settled after {MAX_ROUNDS} draws")
 
 
+def _genders(found: DataFrame) -> DataFrame:
+    """``space, norm, as``: given names after neutral titles only, and the space of the one gender the table knows them by."""
+    given = found.filter("space LIKE 'given-%'").select("norm", F.substring("space", 7, 1).alias("gender"), F.expr("substring(space, 9)").alias("script"))
+    known = given.groupBy("norm", "script").agg(F.collect_set("gender").alias("g"))  # of three at most
+    one = known.filter("array_contains(g, 'n') AND size(g) = 2")
+    return one.select(F.concat(F.lit("given-n:"), "script").alias("space"), "norm",
+                      F.concat(F.lit("given-"), F.element_at(F.array_remove("g", "n"), 1), F.lit(":"), "script").alias("as"))
+
+
 def replace_entities(docs: DataFrame, text_col: str = "text", key: bytes | None = None, count_col: str | None = None) -> DataFrame:
     """The rows of ``docs`` with surrogates in their texts, all other columns as they are.
 
@@ -320,8 +383,11 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: bytes | None
     affected = materialize(affected, "affected")
     plain = rows.mapInArrow(part(False), ", ".join(types))
     spans = affected.select("_row", F.explode("_spans").alias("s")).select("_row", "s.start", "s.end", "s.kind", "s.space", "s.norm")
-    mapping = resolve(materialize(spans.select("space", "norm").distinct(), "distinct"), key)
-    mapping = materialize(mapping, "mapping")
+    distinct = materialize(spans.select("space", "norm").distinct(), "distinct")
+    told = _genders(distinct)
+    mapping = resolve(materialize(distinct.join(told.select("space", "norm"), ["space", "norm"], "left_anti"), "told"), key)
+    same = told.join(mapping.withColumnRenamed("space", "as"), ["as", "norm"]).select("space", "norm", "surrogate")
+    mapping = materialize(mapping.unionByName(same), "mapping")
     by_row = spans.join(mapping, ["space", "norm"]).groupBy("_row").agg(F.collect_list(F.struct("start", "end", "kind", "surrogate")).alias("_new"))
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,6 +30,30 @@ def test_all_words_and_mentions_of_a_name():
         ("Kent", "surname"), ("Kent", "surname")]
 
 
+def test_one_person_has_one_name_under_different_titles(spark):
+    texts = ["Ms Mary Jones spoke. Dr. Mary Jones agreed, and so did Mary.", "Mr John left. Mr John Smith stayed. Dr. John spoke.", "Prof. Mary Kent wrote.",
+             "Ms Day came. Dr. Kim Day left.", "Mr Kim Day came. Ms Kim Lee came. Dr. Kim Poe left."]
+    assert [[k for *_, k in kinds(t)] for t in texts] == [
+        ["given-f", "surname", "given-f", "surname", "given-f"], ["given-m", "given-m", "surname", "given-m"], ["given-n", "surname"],
+        ["surname", "given-f", "surname"], ["given-m", "surname", "given-f", "surname", "given-n", "surname"]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = {r.doc_id: r.text for r in replace_entities(docs).collect()}
+    first, last = made[0].split()[1:3]
+    assert made[0] == f"Ms {first} {last} spoke. Dr. {first} {last} agreed, and so did {first}."
+    assert made[2].startswith(f"Prof. {first} ")
+    own, name = made[1].split()[1], made[1].split()[5]
+    assert made[1] == f"Mr {own} left. Mr {own} {name} stayed. Dr. {own} spoke."
+
+
+def test_rounds_do_not_grow_with_names(spark, monkeypatch):
+    monkeypatch.setattr("muster.llm.surrogates.MAX_ROUNDS", 12)
+    rows = [("given-f:LATIN", f"name{i}") for i in range(3000)] + [("given-m:GREEK", f"n{i}") for i in range(3)]
+    rows += [("surname:LATIN", f"s{i}") for i in range(3000)] + [("mail:x.de", str(i)) for i in range(10)]
+    settled = resolve(spark.createDataFrame(rows, "space string, norm string"), b"k").collect()
+    assert len(settled) == len(rows) == len({(r.space, r.surrogate) for r in settled})
+    assert not {(r.space, r.surrogate) for r in settled} & set(rows)
+
+
 def test_mentions_get_the_surrogate_of_the_name(spark):
     docs = spark.createDataFrame([(1, "Mr. John Smith came. Smith said that John Smith's car went."), (2, "John Smith has no title here.")], "doc_id long, text string")
     text = {r.doc_id: r.text for r in replace_entities(docs, count_col="n").collect()}
