@@ -34,6 +34,7 @@ THRESHOLD = 0.3
 WIDTH = 24  # letters of a word read at once; longer words are read in overlapping parts
 _CODES, _START, _END = 64, 62, 63
 _MEMO = 50_000
+_WORDS_AT_ONCE, _ROWS_AT_ONCE = 1024, 2048
 _FACTORS = np.random.default_rng(1).integers(1, 2 ** 31, 8).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -73,8 +74,8 @@ def triple_codes(words: list[bytes]):
         if found is None:
             continue
         i, j, k, weights = found
-        for at in range(0, len(own), 8192):
-            chosen = own[at:at + 8192]
+        for at in range(0, len(own), _WORDS_AT_ONCE):
+            chosen = own[at:at + _WORDS_AT_ONCE]
             raw = b"".join(bytes([_START]) + words[x] + bytes([_END]) for x in chosen)
             codes = np.frombuffer(raw, np.uint8).reshape(len(chosen), length + 2).astype(np.int32)
             yield np.array(chosen), (codes[:, i] * _CODES + codes[:, j]) * _CODES + codes[:, k], weights
@@ -99,14 +100,26 @@ def kernel(words: list[bytes], table: np.ndarray, index: np.ndarray | None = Non
     return out
 
 
-def _train(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, turns: int = 30) -> np.ndarray:
-    """Linear machine with squared hinge loss, by Newton steps on the points within the margin."""
-    solution = np.zeros(features.shape[1])
+def _train(rows: list[np.ndarray], sign: np.ndarray, weight: np.ndarray, turns: int = 30) -> np.ndarray:
+    """Linear machine with squared hinge loss, by Newton steps on the points within the margin.
+
+    The points are the rows of several arrays one after the other; a bias is added, and few are widened at a time.
+    """
+    width = rows[0].shape[1] + 1
+    solution = np.zeros(width)
     for _ in range(turns):
-        inside = sign * (features @ solution) < 1
-        x, w = features[inside], weight[inside]
-        system = x.T @ (x * w[:, None]) + PENALTY * np.eye(features.shape[1])
-        following = np.linalg.solve(system, x.T @ (w * sign[inside]))
+        system, right, start = PENALTY * np.eye(width), np.zeros(width), 0
+        for own in rows:
+            for at in range(0, len(own), _ROWS_AT_ONCE):
+                x = np.ones((len(own[at:at + _ROWS_AT_ONCE]), width))
+                x[:, :-1] = own[at:at + _ROWS_AT_ONCE]
+                y, w = sign[start:start + len(x)], weight[start:start + len(x)]
+                inside = y * (x @ solution) < 1
+                x, y, w = x[inside], y[inside], w[inside]
+                system += x.T @ (x * w[:, None])
+                right += x.T @ (w * y)
+                start += len(inside)
+        following = np.linalg.solve(system, right)
         if np.allclose(following, solution, atol=1e-6):
             break
         solution = following
@@ -238,17 +251,14 @@ class WordMachine:
         whiten = vectors[:, solid] / np.sqrt(values[solid])
         table = np.ascontiguousarray(dense.T @ whiten.astype(np.float32))
 
-        def features(words):
-            return np.hstack([kernel(words, table, index), np.ones((len(words), 1), np.float32)]).astype(np.float64)
-
-        clean_rows, bearer_rows = features(known), features([suspects[i] for i in bearers])
+        clean_rows, bearer_rows = [kernel(known, table, index)], kernel([suspects[i] for i in bearers], table, index)
         chosen = np.ones(len(bearers), bool)
         for _ in range(rounds):
-            rows = np.vstack([bearer_rows[chosen], clean_rows])
-            sign = np.concatenate([np.ones(chosen.sum()), -np.ones(len(clean_rows))])
-            weight = np.concatenate([0.5 * weights[chosen] / weights[chosen].sum(), np.full(len(clean_rows), 0.5 / len(clean_rows))])
-            solution = _train(rows, sign, weight)
-            still = bearer_rows @ solution > 0
+            n_known = sum(map(len, clean_rows))
+            sign = np.concatenate([np.ones(chosen.sum()), -np.ones(n_known)])
+            weight = np.concatenate([0.5 * weights[chosen] / weights[chosen].sum(), np.full(n_known, 0.5 / n_known)])
+            solution = _train([bearer_rows[chosen], *clean_rows], sign, weight)
+            still = bearer_rows @ solution[:-1] + solution[-1] > 0
             # Words of clean texts that come nearest to a toxic one join the training.
             whole = cls((table @ solution[:-1].astype(np.float32))[index], float(solution[-1]))
             value = whole.words(rest)
@@ -256,7 +266,7 @@ class WordMachine:
             if near:
                 taken = set(near)
                 rest = [w for w in rest if w not in taken]
-                clean_rows = np.vstack([clean_rows, features(near)])
+                clean_rows.append(kernel(near, table, index))
             if still.any():
                 chosen = still
         return cls((table @ solution[:-1].astype(np.float32))[index], float(solution[-1]))
@@ -353,11 +363,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
     words = F.transform(F.array_distinct(F.split("text", r"\s+")), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("w")))
     words = F.transform(F.slice(F.array_sort(words), 1, sample_words), lambda s: s["w"])
-    found = texts.join(F.broadcast(marked), "doc_id").select("label", "_h", words.alias("words")).toPandas()
-    found = found.sort_values(["label", "_h"], kind="stable")
-    found = found[found.groupby("label").cumcount() < found["label"].map(sample)]
-    bags = [[p for w in own for p in parts(letters(w))] for own in found["words"]]
-    return WordMachine.fit(bags, found["label"].to_numpy())
+    found = texts.join(F.broadcast(marked), "doc_id").select("label", "_h", words.alias("words")).toArrow()
+    found = found.sort_by([("label", "ascending"), ("_h", "ascending")])
+    bags, known, one = [], [], {}  # a word of many texts is held once
+    for batch in found.to_batches(max_chunksize=64):
+        for label, own in zip(batch.column("label").to_pylist(), batch.column("words")):
+            if known.count(label) < sample[label]:
+                known.append(label)
+                bags.append([one.setdefault(p, p) for w in own.as_py() for p in parts(letters(w))])
+    del found, one
+    return WordMachine.fit(bags, np.array(known, np.int64))
 
 
 def score_toxicity(docs: DataFrame, machine: WordMachine | None, id_col: str = "doc_id", text_col: str = "text",
