@@ -53,20 +53,21 @@ def _rollup(
     amount: Column | None = None, low_high: Column | None = None, distinct: Column | None = None,
 ) -> DataFrame:
     """One row per key with the first known values, ``rows``, and sum, range and number of different
-    values where asked for, from one reading of the rows.
+    values where asked for.
 
     The rows of a key mostly repeat its values.  They are therefore first reduced to their different
     value combinations by hash aggregation, before anything is shuffled; only these few are put in
-    order.
+    order.  Values to be counted differ from row to row and would undo that, so a second, narrow
+    reading of keys and counted values reduces them apart; both results meet in the last grouping.
     """
     groups = [c.alias(f"_k_{n}") for n, c in keys.items()]
     values = [c.alias(f"_v_{n}") for n, c in firsts.items()]
     extra = [] if low_high is None else [low_high.alias("_range")]
-    extra += [] if distinct is None else [distinct.alias("_id")]
     totals = [] if amount is None else [F.sum(amount).alias("_sum")]
-    combinations = rows.groupBy(*groups, *values, *extra).agg(
+    reduced = rows.groupBy(*groups, *values, *extra).agg(
         F.min(order).alias("_ord"), F.count(F.lit(1)).alias("_rows"), *totals
     )
+    by = [f"_k_{n}" for n in keys]
     aggregates = [first_known(F.col(f"_v_{n}"), F.col("_ord")).alias(n) for n in firsts]
     aggregates.append(F.sum("_rows").alias("rows"))
     if amount is not None:
@@ -74,8 +75,11 @@ def _rollup(
     if low_high is not None:
         aggregates += [F.min("_range").alias("low"), F.max("_range").alias("high")]
     if distinct is not None:
-        aggregates.append(F.count_distinct("_id").alias("different"))
-    return combinations.groupBy(*[F.col(f"_k_{n}").alias(n) for n in keys]).agg(*aggregates)
+        seen = rows.select(*groups, distinct.alias("_id")).filter("_id IS NOT NULL").distinct()
+        seen = seen.groupBy(*by).agg(F.count(F.lit(1)).alias("_different"))
+        reduced = reduced.unionByName(seen, allowMissingColumns=True)
+        aggregates.append(F.coalesce(F.sum("_different"), F.lit(0).cast("bigint")).alias("different"))
+    return reduced.groupBy(*[F.col(f"_k_{n}").alias(n) for n in keys]).agg(*aggregates)
 
 
 def rollup_filings(filings: DataFrame, ord_col: str = "ord") -> DataFrame:
