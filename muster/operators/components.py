@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.operators.joins import HOT_ROWS, join_counted
-from muster.session import discard, materialize
+from muster.session import discard, materialize_counted
 
 MAX_ROUNDS = 100
 
@@ -62,10 +62,9 @@ def _small_star(edges: DataFrame, hot_rows: int | None) -> DataFrame:
 
 def _written(edges: DataFrame) -> tuple[DataFrame, int, int]:
     """The edges written once, and how many there are and have moved, counted as they are written."""
-    seen = Observation()
-    counted = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("moved").alias("moved"))
-    table = materialize(counted, "edges")
-    return table, seen.get["n"], seen.get["moved"]
+    counts = {"n": F.count(F.lit(1)), "moved": F.count_if("moved")}
+    table, seen = materialize_counted(edges, "edges", counts)
+    return table, seen["n"], seen["moved"]
 
 
 def linked_components(

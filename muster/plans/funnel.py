@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster import defaults
@@ -25,7 +24,7 @@ from muster.operators.joins import mark_listed, with_ticker
 from muster.operators.resolve import merge_by_groups, merge_by_identity, merge_by_similarity
 from muster.operators.rules import founded_year, priority_score
 from muster.schemas import ROSTER_TYPES
-from muster.session import materialize
+from muster.session import materialize_counted
 
 BACKFILL_FIELDS = [*ROSTER_TYPES, "founded_year"]
 
@@ -81,15 +80,21 @@ FILL_STEPS = [
 ]
 
 
-def _resolved(roster: DataFrame, config: FunnelConfig) -> list[DataFrame]:
-    """The roster after each resolution step; each result is written before the next step."""
-    by_identity = materialize(merge_by_identity(roster), "resolved")
-    by_name = materialize(merge_by_similarity(by_identity), "resolved")
-    if config.merge_groups is None:
-        return [by_identity, by_name, by_name]
-    return [
-        by_identity, by_name, materialize(merge_by_groups(by_name, config.merge_groups), "resolved")
-    ]
+def _resolved(roster: DataFrame, config: FunnelConfig) -> tuple[DataFrame, list[int]]:
+    """The roster after all resolution steps, and its rows before the first and after each of them.
+
+    The roster and each result are written before the next step, which reads them several times.
+    """
+    steps = [merge_by_identity, merge_by_similarity]
+    if config.merge_groups is not None:
+        steps.append(lambda rows: merge_by_groups(rows, config.merge_groups))
+    every_row = {"n": F.count(F.lit(1))}
+    rows, counts = materialize_counted(roster, "roster", every_row)
+    sizes = [counts["n"]]
+    for step in steps:
+        rows, counts = materialize_counted(step(rows), "resolved", every_row)
+        sizes.append(counts["n"])
+    return rows, sizes + sizes[-1:] * (len(RESOLVE_STEPS) - len(steps))
 
 
 def filter_checks(config: FunnelConfig) -> list[tuple[str, Column]]:
@@ -155,73 +160,44 @@ def score_and_enrich(kept: DataFrame, config: FunnelConfig) -> DataFrame:
 
 
 def funnel_audit(
-    roster: DataFrame, resolved: Sequence[DataFrame], tagged: DataFrame, final: DataFrame
+    spark: SparkSession, sizes: Sequence[int], dropped: Mapping[str, int], filled: Mapping[str, int]
 ) -> DataFrame:
     """``step_name, rows_in, rows_out, rows_removed, reason`` of every step, in order.
 
-    Counts come from the written tables; a dozen rows are all that is put together here.
+    ``sizes`` are the rows before the first and after each resolution step, ``dropped`` the rows that
+    each filter dropped, ``filled`` the cells that each lookup filled; all were counted on writing.
     """
-    spark = roster.sparkSession
-    steps = [(i, n, r, None) for i, (n, r) in enumerate(RESOLVE_STEPS + FILTER_STEPS)]
-    steps += [(len(steps) + i, n, None, by) for i, (n, by) in enumerate(FILL_STEPS)]
-    table = spark.createDataFrame(steps, "pos int, step_name string, reason string, filled_by string")
-    sizes = None
-    for pos, stage in enumerate([roster, *resolved], start=-1):
-        size = stage.agg(F.count(F.lit(1)).alias("n")).select(F.lit(pos).alias("pos"), "n")
-        sizes = size if sizes is None else sizes.unionByName(size)
-    in_order = W.orderBy("pos")
-    # The first size counts as rows gained, so that what is left is the negative running sum.
-    gone = F.coalesce(F.lag("n").over(in_order), F.lit(0)) - F.col("n")
-    position = F.create_map(*[F.lit(x) for pos, name, *_ in steps for x in (name, pos)])
-    dropped = (
-        tagged.filter("drop_step IS NOT NULL")
-        .groupBy("drop_step")
-        .agg(F.count(F.lit(1)).alias("removed"))
-        .select(F.try_element_at(position, F.col("drop_step")).alias("pos"), "removed")
-    )
-    removed = sizes.select("pos", gone.alias("removed")).unionByName(dropped)
-    filled = final.groupBy(F.col("_year_source").alias("filled_by")).agg(
-        F.count(F.lit(1)).alias("filled")
-    )
-    zero = F.lit(0).cast("bigint")
-    cells = F.concat(
-        F.lit("filled +"), F.coalesce("filled", zero).cast("string"), F.lit(" founded_year cells")
-    )
-    return (
-        removed.join(table, "pos", "full_outer")
-        .join(filled, "filled_by", "left")
-        .withColumn("rows_removed", F.coalesce("removed", zero))
-        .withColumn("rows_out", -F.sum("rows_removed").over(in_order))
-        .filter("pos >= 0")
-        .orderBy("pos")
-        .select(
-            "step_name",
-            (F.col("rows_out") + F.col("rows_removed")).alias("rows_in"),
-            "rows_out",
-            "rows_removed",
-            F.coalesce("reason", cells).alias("reason"),
-        )
-    )
+    removed = [(name, n - m, reason) for (name, reason), n, m in zip(RESOLVE_STEPS, sizes, sizes[1:])]
+    removed += [(name, dropped[name], reason) for name, reason in FILTER_STEPS]
+    removed += [(name, 0, f"filled +{filled[by]} founded_year cells") for name, by in FILL_STEPS]
+    rows, left = [], sizes[0]
+    for pos, (name, gone, reason) in enumerate(removed):
+        rows.append((pos, name, left, left - gone, gone, reason))
+        left -= gone
+    schema = "pos int, step_name string, rows_in bigint, rows_out bigint, rows_removed bigint, reason string"
+    return spark.createDataFrame(rows, schema).orderBy("pos").drop("pos")
 
 
 def run_funnel(roster: DataFrame, config: FunnelConfig = FunnelConfig()) -> FunnelResult:
     """Funnel over a roster with a unique ``ord``.
 
-    Three resolution steps, one tagging pass and one enrichment pass are written to the shared
-    folder; results and audit read from there.
+    The roster, three resolution steps, one tagging pass and one enrichment pass are written to the
+    shared folder; results read from there, and the audit's counts are taken on writing.
     """
-    resolved = _resolved(roster, config)
-    tagged = materialize(tag_drops(resolved[-1], config), "tagged")
+    resolved, sizes = _resolved(roster, config)
+    drops = {name: F.count_if(F.col("drop_step") == name) for name, _ in FILTER_STEPS}
+    tagged, dropped = materialize_counted(tag_drops(resolved, config), "tagged", drops)
     reasons = F.create_map(*[F.lit(x) for step in FILTER_STEPS for x in step])
     rejects = tagged.filter("drop_step IS NOT NULL").withColumn(
         "drop_reason", F.concat_ws(": ", "drop_step", F.try_element_at(reasons, F.col("drop_step")))
     )
     kept = tagged.filter("drop_step IS NULL").drop("drop_step", "ticker")
-    final = materialize(score_and_enrich(kept, config), "prospects")
+    fills = {by: F.count_if(F.col("_year_source") == by) for _, by in FILL_STEPS}
+    final, filled = materialize_counted(score_and_enrich(kept, config), "prospects", fills)
     return FunnelResult(
         kept=final.drop("_year_source"),
         rejects=rejects,
-        audit=funnel_audit(roster, resolved, tagged, final),
+        audit=funnel_audit(roster.sparkSession, sizes, dropped, filled),
     )
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -52,6 +53,19 @@ def materialize(df: DataFrame, label: str = "stage", split_by: str | None = None
     return table
 
 
+def materialize_counted(
+    df: DataFrame, label: str, counts: Mapping[str, Column]
+) -> tuple[DataFrame, dict[str, int]]:
+    """As ``materialize``, with aggregates of the rows, taken while they are written.
+
+    They are observed in the tasks that write, each of which counts once even if it is run again, and
+    cost no job of their own.
+    """
+    seen = Observation()
+    table = materialize(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), label)
+    return table, seen.get
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

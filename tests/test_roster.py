@@ -193,6 +193,7 @@ def test_funnel(spark):
         "Public Pharma": "Step8_public_cos", "Robot Bio": "Step9_nonwetlab_excl"}
     assert {r.ticker for r in result.rejects.collect()} == {None, "PPH"}
 
+    assert result.audit.inputFiles() == []  # counted on writing, no table is read for it
     audit = result.audit.collect()
     assert [r.rows_removed for r in audit] == [1, 1, 0, 1, 1, 1, 1, 2, 1, 1, 0, 0]
     assert audit[0].rows_in == 14 and audit[-1].rows_out == len(kept)
@@ -223,3 +224,9 @@ def test_drift(spark):
     ours = spark.createDataFrame([("a", 1, 1, 0), ("b", 1, 1, 0)], "step_name string, rows_in int, rows_out int, rows_removed int")
     theirs = spark.createDataFrame([("a", 1, 1, 0), ("c", 1, 1, 0)], "step_name string, rows_in int, rows_out int, rows_removed int")
     assert {r.step_name: r.drift for r in verify.drift_check(ours, theirs).collect()} == {"a": False, "b": True, "c": True}
+
+
+def test_funnel_of_no_rows(spark):
+    result = funnel.run_funnel(make_roster(spark).filter("false"), make_config(spark))
+    assert {(r.rows_in, r.rows_out, r.rows_removed) for r in result.audit.collect()} == {(0, 0, 0)}
+    assert result.kept.count() == result.rejects.count() == 0
