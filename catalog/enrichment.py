@@ -164,6 +164,32 @@ def substring_spot_check(spark, sf):
     return verify.spot_check(roster, _INCLUDED, _EXCLUDED)
 
 
+@query("spot_check_list", f"""
+WITH wanted AS (
+  SELECT min(p_partkey) AS pos, p_name AS company, p_brand, CASE WHEN min(p_partkey) % 3 = 0 THEN '' ELSE p_brand END AS msa
+  FROM part GROUP BY p_name, p_brand
+),
+names AS (SELECT {_NAMES} AS norm, p_brand AS area, count(*) AS n FROM part GROUP BY 1, 2),
+hits AS (
+  SELECT pos, sum(n) AS n FROM wanted JOIN names ON contains(norm, lower(company)) AND (msa = '' OR msa = area)
+  GROUP BY pos
+)
+SELECT pos, CASE WHEN pos % 2 = 0 THEN 'expected_included' ELSE 'expected_excluded' END AS category, company, msa,
+       n IS NOT NULL AS found_in_output, CAST(coalesce(n, 0) AS BIGINT) AS match_count,
+       CASE WHEN (n IS NOT NULL) = (pos % 2 = 0) THEN 'PASS' ELSE 'FAIL' END AS result
+FROM wanted LEFT JOIN hits USING (pos)""")
+def spot_check_list(spark, sf):
+    """Every different part of a brand, in a list of its own, found among all parts."""
+    parts = table(spark, sf, "part")
+    wanted = parts.groupBy(F.col("p_name").alias("company"), "p_brand").agg(F.min("p_partkey").alias("pos"))
+    wanted = wanted.select(
+        "pos", F.when(F.col("pos") % 2 == 0, "expected_included").otherwise("expected_excluded").alias("category"),
+        "company", F.when(F.col("pos") % 3 == 0, "").otherwise(F.col("p_brand")).alias("msa"),
+    )
+    roster = parts.select(F.concat("p_name", F.lit(" LLC")).alias("name"), F.col("p_brand").alias("msa"))
+    return verify.spot_check_list(roster, wanted)
+
+
 @query("reconcile_counts", with_base("""ours AS (
   SELECT area AS msa, count(*) FILTER (c_custkey % 2 = 0) AS form_d, count(*) FILTER (c_custkey % 3 = 0) AS sbir
   FROM customers GROUP BY area

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from muster.defaults import SPOT_CHECK_SUFFIXES
 from muster.functions.exprs import ratio
 from muster.functions.names import cik_text, normalize_name
+from muster.operators.joins import settled
 from muster.operators.report import sample_rows
 from muster.operators.rules import ratio_flag
+from muster.session import materialize
 
 
 def spot_norm(name: Column) -> Column:
@@ -58,6 +60,72 @@ def spot_check(
     )
 
 
+ANCHORS = (8, 3, 2, 1, 0)  # lengths of the strings by which names of a list are found, greatest first
+
+
+def _pieces(text: Column, length: Column) -> Column:
+    """Different substrings of a length; none where the text is shorter."""
+    starts = F.sequence(F.lit(1), F.length(text) - length + 1)
+    cut = F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, length)))
+    return F.when(F.length(text) >= length, cut)
+
+
+def containing_names(roster: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``pos, n``: how many rows of the roster have a name that contains a wanted one, by an index.
+
+    ``roster`` has ``norm, area``, ``wanted`` has ``pos, norm, area``; an empty area stands for all.  A
+    name that contains another contains each of its substrings, hence the one of them that is rarest in
+    the roster.  Only names that share this anchor meet, each pair once, and are compared in whole.
+    Equal names of an area count as one row until the end.
+    """
+    names = roster.filter("norm IS NOT NULL").groupBy("norm", F.coalesce("area", F.lit("")).alias("area"))
+    names = materialize(names.agg(F.count(F.lit(1)).alias("n")), "names")
+    sized = F.coalesce(*[F.when(F.length("norm") >= k, F.lit(k)) for k in ANCHORS])
+    wanted = settled(wanted.filter("norm IS NOT NULL").withColumn("size", sized))
+    choices = wanted.select("pos", "norm", "area", F.explode(_pieces(F.col("norm"), F.col("size"))).alias("anchor"))
+    every = F.flatten(F.filter(
+        F.array(*[_pieces(F.col("norm"), F.lit(k)) for k in ANCHORS]), lambda found: found.isNotNull()
+    ))
+    placed = names.select("norm", "area", "n", F.explode(every).alias("anchor"))
+    frequent = (
+        placed.select("anchor")
+        .join(settled(choices.select("anchor").distinct()), "anchor", "left_semi")
+        .groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    # A name with an anchor that the roster lacks is not there.
+    times = F.coalesce("times", F.lit(0).cast("bigint"))
+    rarest = choices.join(frequent, "anchor", "left").groupBy("pos").agg(
+        F.min_by(F.struct("anchor", "norm", "area"), F.struct(times.alias("times"), "anchor")).alias("least")
+    )
+    index = settled(rarest.select(
+        "pos", F.col("least.anchor").alias("anchor"), F.col("least.norm").alias("part"),
+        F.col("least.area").alias("within"),
+    ))
+    met = placed.join(index, "anchor").filter(
+        F.contains(F.col("norm"), F.col("part")) & ((F.col("within") == "") | (F.col("within") == F.col("area")))
+    )
+    return met.groupBy("pos").agg(F.sum("n").alias("n"))
+
+
+def spot_check_list(roster: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``spot_check`` for a table ``pos, category, company, msa`` of any length; ``pos`` is unique.
+
+    The plan does not grow with the list, and a name of the roster meets only those names of the list
+    whose rarest piece it has.  An empty or null area stands for all.
+    """
+    names = roster.select(spot_norm(F.col("name")).alias("norm"), F.col("msa").alias("area"))
+    parts = wanted.select("pos", spot_norm(F.col("company")).alias("norm"), F.coalesce("msa", F.lit("")).alias("area"))
+    count = F.coalesce("n", F.lit(0).cast("bigint"))
+    passed = (count > 0) == (F.col("category") == "expected_included")
+    return wanted.join(containing_names(names, parts), "pos", "left").select(
+        "pos", "category", "company", "msa",
+        (count > 0).alias("found_in_output"),
+        count.alias("match_count"),
+        F.when(passed, "PASS").otherwise("FAIL").alias("result"),
+    )
+
+
 def reconcile(roster: DataFrame, areas: DataFrame, external: DataFrame) -> DataFrame:
     """Counts per area and source against external totals of the area's states.
 

@@ -138,6 +138,20 @@ def test_spot_check(spark):
     assert [(r.match_count, r.result) for r in rows] == [(1, "PASS"), (0, "FAIL"), (1, "FAIL"), (0, "PASS")]
 
 
+def test_listed_names_are_found_like_literal_ones(spark):
+    names = ["Acme Bio, Inc.", "ACME BIO LABS", "Acme Bio, Inc.", "Beta", "", None, "Ab", "xacme biosystems", "grand acme bio north"]
+    df = spark.createDataFrame([(n, "xyz"[i % 3] if i % 4 else None) for i, n in enumerate(names)], "name string, msa string")
+    included = [("Acme Bio", "x"), ("Acme Bio", ""), ("b", ""), ("", ""), ("Inc", "y"), ("me biosys", ""), ("nowhere to be found", ""), ("AB", "z")]
+    excluded = ["Beta Inc", "Gamma", "acme bio"]
+    literal = verify.spot_check(df, included, excluded).collect()
+    listed = [("expected_included", n, m) for n, m in included] + [("expected_excluded", n, "") for n in excluded]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(listed)], "pos int, category string, company string, msa string")
+    assert verify.spot_check_list(df, table).orderBy("pos").drop("pos").collect() == literal
+    nothing = verify.spot_check_list(df.filter("false"), table).collect()
+    assert len(nothing) == len(listed) and not any(r.match_count for r in nothing)
+    assert verify.spot_check_list(df, table.filter("false")).count() == 0
+
+
 def make_roster(spark):
     schema = ", ".join(f"{n} {t}" for n, t in ROSTER_TYPES.items()) + ", ord bigint"
     base = dict.fromkeys(ROSTER_TYPES)
