@@ -52,9 +52,14 @@ def settled(dim: DataFrame) -> DataFrame:
 def lookup(rows: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Left or left-anti join with a dimension of one row per key; rows without a key are kept.
 
-    The input is read once, whatever the dimension's size.
+    The input is read once, whatever the dimension's size.  Rows without a key match nothing; where the
+    join shuffles, they are dealt by a hash of their other columns, so that no task gets all of them.
     """
-    return rows.join(settled(dim), key, how)
+    known = F.xxhash64(key)
+    others = [c for c, kind in rows.dtypes if c != key and "map<" not in kind and kind != "variant"]
+    dealt = F.when(F.col(key).isNull(), F.xxhash64(*others)).otherwise(known) if others else known
+    matched = settled(dim).withColumn("_dealt", known)
+    return rows.withColumn("_dealt", dealt).join(matched, [key, "_dealt"], how).drop("_dealt")
 
 
 def scope(df: DataFrame, dim: DataFrame, on: Sequence[str], keep: Column | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from muster import defaults
-from muster.operators import enrich, filters, report, rollup, rules, verify
+from muster.operators import enrich, filters, joins, report, rollup, rules, verify
 from muster.plans import funnel, reports, roster
 from muster.schemas import ROSTER_TYPES
 
@@ -152,6 +152,30 @@ def test_listed_names_are_found_like_literal_ones(spark):
     assert verify.spot_check_list(df, table.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_rows_without_key_are_no_hot_key(spark, how):
+    rows = spark.range(20000).select("id", F.when(F.col("id") % 10 == 0, (F.col("id") % 400).cast("string")).alias("k"))
+    dim = spark.range(0, 400, 20).select(F.col("id").cast("string").alias("k"), F.col("id").alias("found"))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in off}
+    try:
+        for name, setting in off.items():
+            spark.conf.set(name, setting)
+        out = joins.lookup(rows, dim, "k", how)
+        tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        got = sorted(out.collect(), key=lambda r: r.id)
+    finally:
+        for name, setting in before.items():
+            spark.conf.set(name, setting)
+    listed = [i for i in range(20000) if i % 20 == 0]
+    if how == "left":
+        assert out.columns == ["k", "id", "found"] and len(got) == 20000
+        assert [(r.id, r.found) for r in got if r.found is not None] == [(i, i % 400) for i in listed]
+    else:
+        assert out.columns == ["k", "id"] and [r.id for r in got] == [i for i in range(20000) if i % 20]
+    assert len(tasks) == 8 and max(tasks) < 1.5 * sum(tasks) / 8
+
+
 def make_roster(spark):
     schema = ", ".join(f"{n} {t}" for n, t in ROSTER_TYPES.items()) + ", ord bigint"
     base = dict.fromkeys(ROSTER_TYPES)
