@@ -116,3 +116,13 @@ FROM orders GROUP BY 1, 2""")
 def allowlist_grouped(spark, sf):
     grouped = config.cities_by_state(order_allowlist(spark, sf))
     return grouped.withColumn("cities", F.array_join("cities", ","))
+
+
+@query("allowlist_pages", """
+WITH listed AS (SELECT DISTINCT o_orderstatus AS msa, left(o_orderpriority, 1) AS state, ' C' || o_custkey AS city FROM orders),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY msa, state ORDER BY city) - 1) // 50 AS page FROM listed)
+SELECT msa, state, page, string_agg(city, ',' ORDER BY city) AS cities FROM placed GROUP BY msa, state, page""")
+def allowlist_pages(spark, sf):
+    """Lists of fifty names a row."""
+    pages = config.city_pages(order_allowlist(spark, sf), 50)
+    return pages.withColumn("cities", F.array_join("cities", ","))

@@ -14,6 +14,7 @@ from muster import defaults
 from muster.functions.exprs import award_search_url, filing_search_url, year_bucket
 from muster.operators.columns import ensure_columns
 from muster.operators.rules import sample_band
+from muster.session import materialize
 
 
 def interim_counts(roster: DataFrame) -> DataFrame:
@@ -97,6 +98,38 @@ def grouped_values(df: DataFrame, keys: Sequence[str], value: str, name: str) ->
     return df.groupBy(*keys).agg(F.array_sort(F.collect_set(value)).alias(name))
 
 
+PAGE_VALUES = 10_000
+
+
+def paged_values(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, page_values: int = PAGE_VALUES
+) -> DataFrame:
+    """Distinct values of each group in order, ``page_values`` to a row, with ``page`` from 0.
+
+    For groups whose list is too long for one cell.  The values are written in ranges of (group, value);
+    a value's place is its place in its range, after the group's values in the ranges before, so that no
+    task needs a whole group.  Null is a group of its own, but no value; a group without values has no page.
+    """
+    keys = list(keys)
+    different = df.select(*keys, F.col(value).alias("_value")).filter("_value IS NOT NULL").distinct()
+    ranges = different.repartitionByRange(*keys, "_value").withColumn("_range", F.spark_partition_id())
+    # Ranges are drawn from samples, so they are written before they are read twice.
+    ranges = materialize(ranges, "ranges")
+    sizes = ranges.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    offsets = sizes.select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_range").alias("_of_range"),
+        F.coalesce(before, F.lit(0).cast("bigint")).alias("_before"),
+    )
+    same = F.col("_range") == F.col("_of_range")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    inside = F.row_number().over(W.partitionBy("_range", *keys).orderBy("_value")) - 1
+    placed = ranges.withColumn("_inside", inside).join(offsets, same)
+    page = F.floor((F.col("_before") + F.col("_inside")) / F.lit(page_values)).cast("bigint")
+    return placed.groupBy(*keys, page.alias("page")).agg(F.array_sort(F.collect_list("_value")).alias(name))
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 

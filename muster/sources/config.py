@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from muster import schemas
 from muster.defaults import BACKFILL_SKIPPED_FIELDS
 from muster.functions.exprs import lower_key, upper_key
-from muster.operators.report import first_per_key, grouped_values, last_per_key
+from muster.operators.report import (
+    PAGE_VALUES,
+    first_per_key,
+    grouped_values,
+    last_per_key,
+    paged_values,
+)
 from muster.sources.files import read_json_config
 
 
@@ -35,6 +41,11 @@ def cities_by_state(allowlist: DataFrame) -> DataFrame:
     return grouped_values(allowlist, ["msa", "state"], "city_normalized", "cities")
 
 
+def city_pages(allowlist: DataFrame, page_values: int = PAGE_VALUES) -> DataFrame:
+    """``msa, state, page, cities``: as ``cities_by_state``, long lists in several rows."""
+    return paged_values(allowlist, ["msa", "state"], "city_normalized", "cities", page_values)
+
+
 ALLOWLIST_WIDTH = 16  # columns an allowlist may have
 
 

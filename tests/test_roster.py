@@ -152,6 +152,19 @@ def test_listed_names_are_found_like_literal_ones(spark):
     assert verify.spot_check_list(df, table.filter("false")).count() == 0
 
 
+def test_paged_values(spark):
+    rows = [(("hot", None, "b")[i % 3], f"v{i % 700:04d}" if i % 11 else None) for i in range(3000)] + [("bare", None), ("one", "x")]
+    df = spark.createDataFrame(rows, "g string, v string").repartition(5)
+    lists = {}
+    for g, v in rows:
+        if v is not None:
+            lists.setdefault(g, set()).add(v)
+    pages = report.paged_values(df, ["g"], "v", "vs", 64).collect()
+    expected = {(g, i // 64): sorted(vs)[i:i + 64] for g, vs in lists.items() for i in range(0, len(vs), 64)}
+    assert {(r.g, r.page): r.vs for r in pages} == expected and len(pages) == len(expected)
+    assert report.paged_values(df.filter("false"), ["g"], "v", "vs").count() == 0
+
+
 @pytest.mark.parametrize("how", ["left", "left_anti"])
 def test_rows_without_key_are_no_hot_key(spark, how):
     rows = spark.range(20000).select("id", F.when(F.col("id") % 10 == 0, (F.col("id") % 400).cast("string")).alias("k"))
