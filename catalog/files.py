@@ -12,7 +12,7 @@ from catalog.tables import award_rows, customers, filing_rows, grant_rows, suppl
 from muster.functions.exprs import money
 from muster.operators import columns, joins, rollup, sinks
 from muster.plans import layers
-from muster.session import session_folder
+from muster.session import materialize, session_folder
 from muster.sources import config, files
 
 
@@ -218,6 +218,11 @@ def merge_files(spark, source: str, prefix: str) -> None:
         system.rename(status.getPath(), path(f"{prefix}_{i}{ending}"))
 
 
+def landed_filings(spark, sf):
+    """The filings, joined once and spread over tasks by size, as the tables of all quarters are written from them."""
+    return materialize(filing_rows(spark, sf).drop("ord", "YEAROFINC_VALUE_ENTERED").hint("rebalance"), "filings")
+
+
 @query("load_filings", with_base(select="""
 SELECT ord AS accession, name, msa, industry, strftime(o_orderdate, '%Y-%m-%d') AS filed,
        entity_type AS other_type
@@ -226,11 +231,11 @@ def load_filings(spark, sf):
     """Three tab-separated tables written, read, joined and scoped."""
     from catalog.tables import city_allowlist
 
-    tables = {}
+    rows, tables = landed_filings(spark, sf), {}
     for name, fields in _TABLES.items():
         path = landing(spark, name)
         line = F.concat_ws("\t", *fields)
-        write_lines(filing_rows(spark, sf).select(line.alias("line")), "\t".join(fields), path)
+        write_lines(rows.select(line.alias("line")), "\t".join(fields), path)
         tables[name] = columns.upper_columns(files.read_tsv(spark, path).drop("_file"))
     joined = joins.join_filing_tables(*tables.values())
     scoped = layers.scope_filings(joined, config.city_dimension(city_allowlist(spark, sf)))
@@ -250,7 +255,7 @@ def quarter_filings(spark, sf):
     from catalog.tables import city_allowlist
 
     root = landing(spark, "quarters")
-    rows = filing_rows(spark, sf)
+    rows = landed_filings(spark, sf)
     for quarter, layout in (("2020q1", _TABLES), ("2020q2", _TABLES_RENAMED), ("2020q3", _TABLES), ("2020q4", _TABLES)):
         for name, fields in layout.items():
             if (quarter, name) == ("2020q3", "offerings"):

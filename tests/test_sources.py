@@ -295,3 +295,35 @@ def test_portfolio_noise_and_order(spark):
     built = layers.build_portfolio([columns.tag(found, source="s")], columns.tag(found, source="seed"))
     assert [(r.name, r.source) for r in built.orderBy("input", "pos").collect()] == [("Acme", "s"), ("Acme", "seed")]
     assert built.select(F.max("location")).first()[0] == ""
+
+
+def test_headers_take_one_row_of_each_file(spark, tmp_path):
+    """No Python function is fed the files: it would be sent every row, even if it stopped after the first."""
+    for i in range(3):
+        write(tmp_path / f"{i}.tsv", f"A{i}\tB\n" + "1\t2\n" * 20_000)
+    lines = files.header_lines(spark, str(tmp_path))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" in plan and "Arrow" not in plan and "Python" not in plan
+    layouts = files._by_header(spark, str(tmp_path))
+    assert {k: [p[-5:] for p in v] for k, v in layouts.items()} == {f"A{i}\tB": [f"{i}.tsv"] for i in range(3)}
+
+
+@pytest.mark.parametrize("name", ["load_filings", "quarter_filings"])
+def test_filings_are_made_once(spark, monkeypatch, name):
+    """However many tables of however many quarters are written from them."""
+    from catalog import files as queries
+    from catalog import tables
+
+    made = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: (made.add(1), x)[1]).asNondeterministic()
+    fields = ["ACCESSIONNUMBER", "CIK", "ENTITYNAME", "CITY", "STATEORCOUNTRY", "ZIPCODE", "ENTITYTYPE",
+              "YEAROFINC_VALUE_ENTERED", "INDUSTRYGROUPTYPE", "FILING_DATE"]
+    rows = [(str(i), "1", f"Firm {i}", " Boston", "ma", "02101", "Corp", None, "Biotechnology", "2020-01-02", i) for i in range(7)]
+    filings = spark.createDataFrame(rows, ", ".join(f"{f} string" for f in fields) + ", ord long")
+    filings = filings.withColumn("ACCESSIONNUMBER", count("ACCESSIONNUMBER"))
+    cities = spark.createDataFrame([("x", "boston", "MA", 1)], "msa string, city_normalized string, state string, ord int")
+    monkeypatch.setattr(queries, "filing_rows", lambda *_: filings)
+    monkeypatch.setattr(tables, "city_allowlist", lambda *_: cities)
+    found = getattr(queries, name)(spark, "none").collect()
+    assert sorted(r.accession for r in found) == sorted([*range(7)] * (3 if name == "quarter_filings" else 1))
+    assert made.value == 7
