@@ -7,6 +7,7 @@ the first bin with room, which a tournament tree of the bins' free capacities fi
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -36,45 +37,60 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
+MEMO_BYTES = 48 << 20  # of chunks, in each of two generations
+
+
 class ChunkIds(Bounded):
     """Packed little-endian ids of a chunk without white space, tokenized when first met.
 
     White space always parts words in this vocabulary, so the ids of a text are those of its chunks in order.
     Chunks of letters with a plain ending go to the model at once, all others through the whole tokenizer.
+    A full memo becomes the earlier one, from which chunks that are met again come back.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = MEMO_BYTES):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(limit)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.words = Bounded()
-
-    def _pack(self, ids) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def _word(self, word: str) -> bytes | None:
-        """Ids of a chunk of letters; None if its form needs the whole tokenizer."""
-        lower = word.lower() if word.isascii() else "".join(c.lower() for c in word)
-        found = self.words.get(lower)
-        if found is None:
-            if not lower.isalpha() or not unicodedata.is_normalized("NFC", word):
-                return None
-            self.words.make_room()
-            text = lower if lower.isascii() else "".join(self.letters[b] for b in lower.encode())
-            found = self._pack([t.id for t in self.model.tokenize(text)])
-            self.words.keep(lower, found)
-        return found
+        self.earlier: dict[str, bytes] = {}
 
-    def __missing__(self, chunk: str) -> bytes:
+    def make_room(self) -> bool:
+        if self.held < self.limit:
+            return False
+        self.earlier = dict(self)
+        return super().make_room()
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _model_ids(self, letters: str) -> bytes:
+        return self._pack([t.id for t in self.model.tokenize(letters)])
+
+    def _lower(self, word: str) -> str:
+        """A word of letters as the model takes it; nothing if its form needs the whole tokenizer."""
+        if word.isascii():
+            return word.lower()
+        lower = "".join([c.lower() for c in word])
+        return lower if lower.isalpha() and unicodedata.is_normalized("NFC", word) else ""
+
+    def _ids(self, chunk: str) -> bytes:
         word = chunk.rstrip(_ENDINGS)
-        ids = self._word(word) if word.isalpha() else None
-        if ids is not None and len(word) < len(chunk):
-            ids += self[chunk[len(word):]]
+        lower = self._lower(word) if word.isalpha() else ""
+        if not lower:
+            return self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        if len(word) < len(chunk):
+            return self[word] + self[chunk[len(word):]]
+        if not lower.isascii():
+            return self._model_ids("".join([self.letters[b] for b in lower.encode()]))
+        return self._model_ids(lower) if lower == word else self[lower]
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.earlier.get(chunk)
         if ids is None:
-            ids = self._pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+            ids = self._ids(chunk)
         self.keep(chunk, ids)
         return ids
 

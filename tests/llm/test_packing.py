@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from muster.llm.packing import first_fit, pack_documents, token_pieces
+from muster.llm.packing import ChunkIds, first_fit, pack_documents, token_pieces
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -78,3 +78,17 @@ def test_first_fit_is_first_fit_decreasing(seed):
 
 def test_first_fit_of_nothing():
     assert [len(x) for x in first_fit(np.zeros(0, np.int64), 8)] == [0, 0]
+
+
+def test_a_full_memo_keeps_what_is_met_again():
+    """Frequent chunks are tokenized once, however many others fill the memo between; ids stay those of the tokenizer."""
+    ids = ChunkIds(PATH, limit=20_000)
+    asked = []
+    model_ids = ids._model_ids
+    ids._model_ids = lambda letters: (asked.append(letters), model_ids(letters))[1]
+    letters = "abcdefghij"
+    for i in range(400):
+        text = f"Frequent {letters[i % 10]}{letters[i // 10 % 10]}{letters[i // 100]}zq, FREQUENT été! İx. ﬁn"
+        assert ids.of(text) == np.array(whole(text)[:-1], "<u4").tobytes()
+        assert len(ids) + len(ids.earlier) < 300
+    assert asked.count("frequent") == 1 and len(asked) > 400
