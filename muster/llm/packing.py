@@ -7,10 +7,14 @@ the first bin with room, which a tournament tree of the bins' free capacities fi
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,25 +41,104 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
-MEMO_BYTES = 48 << 20  # of chunks, in each of two generations
+_SUFFIX = "</w>"
+
+
+@lru_cache(1)
+def _encoder(path: str) -> tuple[Callable[[str], list[int]], tuple[str, ...]]:
+    """A function from words, each with a space behind it for the mark of a word's end, to ids; and the special tokens.
+
+    A merge is known here by the bytes it makes.  That gives the ids of the vocabulary's own merges, as these are
+    numbered in order and the bytes of each come about by it alone (a test goes through all of them).
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    byte = {c: b for b, c in _byte_letters().items()}
+    ranks = {bytes(byte[c] for c in t.removesuffix(_SUFFIX)) + b" " * t.endswith(_SUFFIX): i for t, i in content["model"]["vocab"].items()}
+    encoding = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+    return encoding.encode_ordinary, tuple(t["content"] for t in content["added_tokens"])
+
+
+_SPACE, _LETTER, _OTHER, _DIGIT, _FAR = range(5)
+# By the product of the kinds of two neighbours: whether a word ends between them.  Each digit is a word.
+_ENDS = np.array([p in (_LETTER * _OTHER, _LETTER * _DIGIT, _OTHER * _DIGIT, _DIGIT * _DIGIT) for p in range(10)])
+_CONTRACTION = re.compile("'(?:[stmd]|re|ve|ll)")
+
+
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """Kind of each character of the basic plane; surrogates, private use, compatibility forms and unassigned are far."""
+    by_category = {"L": _LETTER, "N": _DIGIT, "Cn": _FAR}
+    categories = [unicodedata.category(chr(c)) for c in range(1 << 16)]
+    kinds = np.array([by_category.get(c, by_category.get(c[0], _OTHER)) for c in categories], np.uint8)
+    kinds[[c for c in range(1 << 16) if chr(c).isspace() and not 0x1C <= c <= 0x1F]] = _SPACE
+    kinds[0xD800:0xFF00] = _FAR
+    return kinds
+
+
+def parted(text: str) -> str | None:
+    """The words of a text as the vocabulary parts them, in lower case, a space or more behind each.
+
+    Nothing if the text is not in composed form or has characters that are left to the whole tokenizer.
+    """
+    if not text.isascii():
+        if not unicodedata.is_normalized("NFC", text):
+            return None
+        text = text.replace("\u03a3", "\u03c3")  # letters are lowered one by one, so it has no final form
+    text = text.lower()
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    if len(codes) == 0:
+        return ""
+    if not text.isascii() and codes.max() >= 1 << 16:
+        return None
+    kinds = _kinds()[codes]
+    if kinds.max() == _FAR:
+        return None
+    ends = _ENDS[kinds[1:] * kinds[:-1]]
+    for m in _CONTRACTION.finditer(text):
+        start, end = m.span()
+        if start == 0 or kinds[start - 1] != _OTHER:
+            ends[start] = False
+            ends[end - 1:end] = True
+    at = np.arange(len(codes))
+    at[1:] += np.cumsum(ends)
+    out = np.full(at[-1] + 2, ord(" "), "<u4")
+    out[at] = np.where(kinds == _SPACE, np.uint32(ord(" ")), codes)
+    return out.tobytes().decode("utf-32-le")
+
+
+MEMO_BYTES = 16 << 20  # of chunks, in each of two generations
+SEGMENT = 1 << 16
+_CUT = re.compile("[ \n\t]")
 
 
 class ChunkIds(Bounded):
-    """Packed little-endian ids of a chunk without white space, tokenized when first met.
+    """Packed little-endian ids of texts, and of chunks without white space, tokenized when first met.
 
     White space always parts words in this vocabulary, so the ids of a text are those of its chunks in order.
-    Chunks of letters with a plain ending go to the model at once, all others through the whole tokenizer.
-    A full memo becomes the earlier one, from which chunks that are met again come back.
+    Texts go in segments of whole chunks to the encoder of words.  A segment that cannot be parted into words here
+    has its chunks looked up: those of letters with a plain ending go to the model at once, all others through the
+    whole tokenizer.  A full memo becomes the earlier one, from which chunks that are met again come back.
     """
 
     def __init__(self, path: str, limit: int = MEMO_BYTES):
-        from tokenizers import Tokenizer
-
         super().__init__(limit)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.path = path
         self.letters = _byte_letters()
         self.earlier: dict[str, bytes] = {}
+        self.encode, self.special = _encoder(path)
+
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    @cached_property
+    def model(self):
+        return self.tokenizer.model
 
     def make_room(self) -> bool:
         if self.held < self.limit:
@@ -94,10 +177,25 @@ class ChunkIds(Bounded):
         self.keep(chunk, ids)
         return ids
 
-    def of(self, text: str) -> bytes:
+    def _looked_up(self, text: str) -> bytes:
         self.make_room()
         return b"".join([self[c] for c in text.replace("\n", " ").replace("\t", " ").split(" ") if c])
 
+    def _segment(self, text: str) -> bytes:
+        words = None if any(t in text for t in self.special) else parted(text)
+        return self._looked_up(text) if words is None else array("I", self.encode(words)).tobytes()
+
+    def of(self, text: str) -> bytes:
+        if len(text) <= SEGMENT:
+            return self._segment(text)
+        found, start = [], 0
+        while start < len(text):
+            cut = _CUT.search(text, start + SEGMENT)
+            stop = cut.end() if cut else len(text)
+            found.append(self._segment(text[start:stop]))
+            start = stop
+        return b"".join(found)
+
 
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",

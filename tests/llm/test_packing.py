@@ -1,3 +1,5 @@
+import json
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from muster.llm.packing import ChunkIds, first_fit, pack_documents, token_pieces
+from muster.llm.packing import SEGMENT, ChunkIds, _byte_letters, first_fit, pack_documents, parted, token_pieces
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -92,3 +94,57 @@ def test_a_full_memo_keeps_what_is_met_again():
         assert ids.of(text) == np.array(whole(text)[:-1], "<u4").tobytes()
         assert len(ids) + len(ids.earlier) < 300
     assert asked.count("frequent") == 1 and len(asked) > 400
+
+
+def _same(ids, text):
+    assert ids.of(text) == np.array(whole(text)[:-1], "<u4").tobytes(), repr(text)
+
+
+def test_words_are_tokenized_without_a_memo():
+    """Any number of different words is held by no memo, and no word goes to the whole tokenizer."""
+    ids = ChunkIds(PATH)
+    draw = random.Random(7)
+    for _ in range(200):
+        _same(ids, " ".join("".join(draw.choices("aehilnorstué", k=draw.randint(1, 14))) for _ in range(50)) + ",*** it's 12.")
+    assert len(ids) == 0 and "tokenizer" not in vars(ids)
+
+
+def test_texts_are_parted_like_the_tokenizer_does():
+    ids = ChunkIds(PATH)
+    draw = random.Random(3)
+    marks = ["'", "'s", "'T", "'re", "'VE", "d", "ll", "m", "Z", "\u00df", "\u00e9", "e\u0301", "\u03a3", "\u0130", "1", "\u00b2", "\u2167", "\u0663", " ", "\n",
+             "\x1c", "\x85", "\xa0", "_", ".", ",***", "\u6f22", "\u2019", "\u3000", "\ufb01", "\U0001f600", "\u1c89", "the", "<|endoftext|>"]
+    for _ in range(4000):
+        _same(ids, "".join(draw.choices(marks, k=draw.randint(0, 12))))
+    assert [parted(t) for t in ("e\u0301", "\U0001f600", "\ufb01", "\u1c89")] == [None] * 4
+    assert parted("Don't a1")[:-1].split() == ["don", "'t", "a", "1"]
+
+
+def test_long_texts_go_in_segments():
+    ids = ChunkIds(PATH)
+    for filler in ("x" * 17, "word", "\U0001f600 na\u00efve"):
+        _same(ids, f"{filler}\n" * (3 * SEGMENT // len(filler)))
+    _same(ids, "y" * (2 * SEGMENT) + " end")
+
+
+def test_bytes_of_every_merge_come_about_by_it_alone():
+    """So merging by bytes gives the ids of merging by pairs."""
+    with open(PATH, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    byte = {c: b for b, c in _byte_letters().items()}
+
+    def read(token):
+        return bytes(byte[c] for c in token.removesuffix("</w>")) + b" " * token.endswith("</w>")
+
+    ranks = {read(t): i for t, i in model["vocab"].items()}
+    assert len(ranks) == len(model["vocab"])
+    for number, (left, right) in enumerate(model["merges"], start=512):
+        left, right = read(left), read(right)
+        assert ranks[left + right] == number
+        parts = [bytes([b]) for b in left + right]
+        while True:
+            rank, at = min((ranks.get(a + b, number), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if rank >= number:
+                break
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        assert parts == [left, right]
