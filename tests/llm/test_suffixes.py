@@ -67,3 +67,16 @@ def test_no_rows(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     short = spark.createDataFrame([(1, "short"), (2, "short")], "doc_id long, text string")
     assert [r.n_removed for r in remove_repeats(short).collect()] == [0, 0]
+
+
+def test_planted_passages_of_over_50_words(spark):
+    """Passages that repeat across documents go if they have 400 bytes, first occurrence included, and stay if they have 399."""
+    draw = random.Random(12)
+    word = lambda size: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size))
+    long, short = " ".join([*(word(6) for _ in range(56)), word(8)]), " ".join([*(word(6) for _ in range(56)), word(7)])
+    assert (len(long), len(short), len(long.split())) == (400, 399, 57)
+    texts = [str(i) + " ".join(word(6) for _ in range(90)) + f"<{i}" + passage + f"{i}>" for i, passage in enumerate([long] * 3 + [short] * 3 + [""] * 3)]
+    rows = remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sorted(rows, key=lambda r: r.doc_id)]
+    assert got == brute(texts, 400)
+    assert [g[1:3] for g in got] == [(400, 1)] * 3 + [(0, 0)] * 6
